@@ -21,6 +21,7 @@ def build(master: str | None = None, name: str = "cascata", **extra: str) -> Spa
             "spark.driver.bindAddress": "127.0.0.1",
             "spark.driver.host": "127.0.0.1",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "12g",
         }.items():
             builder = builder.config(key, value)
