@@ -25,6 +25,7 @@ def successes(ledger: DataFrame, table: str) -> DataFrame:
 class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        spark.createDataFrame([], SCHEMA).write.mode("ignore").parquet(path)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(SCHEMA).parquet(self.path)

@@ -76,9 +76,10 @@ def landing_path(table: str, day: date) -> str:
     return f"{table}/{table}_{day:%Y-%m-%d}.csv"
 
 
-def save_table(df: DataFrame, name: str) -> None:
-    """Create or replace a catalog table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Create or replace a catalog table, at ``path`` if given."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 NUMBERS = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType)
@@ -100,5 +101,11 @@ def export_csv(df: DataFrame, path: str) -> bool:
     """Header and rows as CSV; an empty table writes nothing and gives False."""
     if df.isEmpty():
         return False
-    export_grid(df).write.mode("overwrite").csv(path, header=True, emptyValue="")
+    export_grid(df).write.mode("overwrite").csv(
+        path,
+        header=True,
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
     return True
