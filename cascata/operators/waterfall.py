@@ -2,11 +2,11 @@
 
 A metric counts or sums rows of a source at a *role*: the columns of the row that form the cell
 key (this month's cell, next month's cell, the cell of the cancellation month, the cell the
-account left, ...). Many metrics share one pass:
+account left, ...). Conditions, values and keys are SQL expressions. Many metrics share one pass:
 
 1. each source is grouped once by all columns its roles need. Partial aggregation keeps a hot
    cell to one row per task;
-2. the small grouped result is fanned out to one row per role;
+2. each row of the small grouped result is repeated once per role it matters for;
 3. all sources are unioned and grouped once by cell. Some roles also define which cells exist
    (the grid); cells that no such role touches are dropped, so the grid needs no join.
 
@@ -16,28 +16,24 @@ OR-ed per (cell, id) and then summed per cell. The id-level group has a state of
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cascata.operators.lookups import union_all
-
-Maker = Callable[[], Column]
+ONE = "1L"
 
 
 @dataclass(frozen=True)
 class Role:
     """Where a source row lands in the grid.
 
-    ``key``: one column per dimension. ``grid``: rows for which this role makes a grid cell.
+    ``key``: an expression per dimension. ``grid``: rows for which this role makes a grid cell.
     """
 
-    key: dict[str, Maker]
-    grid: Maker | None = None
+    key: dict[str, str]
+    grid: str | None = None
 
 
 @dataclass(frozen=True)
@@ -46,8 +42,8 @@ class Part:
 
     source: str
     role: str
-    where: Maker
-    value: Maker | None = None  # None counts rows
+    where: str
+    value: str = ONE  # one per row, that is a count
     sign: int = 1
     distinct: bool = False
 
@@ -65,7 +61,15 @@ class Source:
     frame: DataFrame
     roles: dict[str, Role]
     group: Sequence[str]
-    id: Maker | None = None
+    id: str | None = None
+
+
+@dataclass
+class _Piece:
+    """Rows of (dims, __grid, __role, measures) and, per metric, the terms to add up."""
+
+    rows: DataFrame
+    terms: dict[str, list[tuple[int, str]]]
 
 
 @dataclass
@@ -76,132 +80,136 @@ class Waterfall:
 
     def build(self) -> DataFrame:
         """Grid cells with every metric, 0 where nothing contributes."""
-        names = [m.name for m in self.metrics]
-        pieces = [
-            piece
-            for name, source in self.sources.items()
-            for piece in (self._sums(name, source), self._distinct(name, source))
-            if piece is not None
-        ]
-        types = {n: _common_type(p.schema[n].dataType.simpleString() for p in pieces if n in p.columns) for n in names}
-        cells = (
-            union_all([_with_all(p, self.dims, types) for p in pieces])
-            .groupBy(*self.dims)
-            .agg(
-                F.bool_or("__grid").alias("__grid"),
-                *[F.sum(n).alias(n) for n in names],
-            )
-            .where("__grid")
-        )
-        known = reduce(and_, [F.col(d).isNotNull() for d in self.dims])
-        zero = {n: F.lit(0).cast(cells.schema[n].dataType) for n in names}
-        return cells.select(
+        pieces, first_role = [], 0
+        for name, source in self.sources.items():
+            for make in (self._sums, self._distinct):
+                piece = make(name, source, first_role)
+                if piece is not None:
+                    pieces.append(piece)
+                first_role += len(source.roles)
+        rows = pieces[0].rows
+        for piece in pieces[1:]:
+            rows = rows.unionByName(piece.rows, allowMissingColumns=True)
+        known = " AND ".join(f"{d} IS NOT NULL" for d in self.dims)
+        totals = []
+        for m in self.metrics:
+            terms = [t for p in pieces for t in p.terms.get(m.name, [])]
+            cases = " ".join(f"WHEN __role = {role} THEN {value}" for role, value in terms)
+            totals.append(F.expr(f"sum(CASE {cases} END)" if cases else "0L").alias(m.name))
+        cells = rows.groupBy(*self.dims).agg(F.expr("bool_or(__grid)").alias("__grid"), *totals)
+        return cells.where("__grid").selectExpr(
             *self.dims,
-            *[F.when(known, F.coalesce(F.col(n), zero[n])).otherwise(zero[n]).alias(n) for n in names],
+            *[f"coalesce(CASE WHEN {known} THEN {m.name} END, 0) AS {m.name}" for m in self.metrics],
         )
 
-    def _parts(self, source: str, distinct: bool) -> list[tuple[str, str, Part]]:
+    def _parts(self, source: str, distinct: bool) -> list[tuple[str, Part]]:
         return [
-            (f"__p{i}_{j}", m.name, part)
-            for i, m in enumerate(self.metrics)
-            for j, part in enumerate(m.parts)
+            (m.name, part)
+            for m in self.metrics
+            for part in m.parts
             if part.source == source and part.distinct == distinct
         ]
 
-    def _sums(self, name: str, source: Source) -> DataFrame | None:
+    def _known(self, role: Role) -> str:
+        return " AND ".join(f"({role.key[d]}) IS NOT NULL" for d in self.dims)
+
+    def _sums(self, name: str, source: Source, first_role: int) -> _Piece | None:
         parts = self._parts(name, distinct=False)
-        makers = {r: role.grid for r, role in source.roles.items() if role.grid}
-        if not parts and not makers:
+        roles = list(source.roles.items())
+        if not parts and not any(role.grid for _, role in roles):
             return None
-        marks = [F.bool_or(grid()).alias(f"__g_{r}") for r, grid in makers.items()]
-        sums = [F.sum(_measure(part)).alias(column) for column, _, part in parts]
+        # Terms that differ only in role or sign share one measure.
+        measures = {key: f"{name}_{k}" for k, key in enumerate(dict.fromkeys((p.where, p.value) for _, p in parts))}
+        marks = [
+            F.expr(f"bool_or({role.grid})").alias(f"__g{k}")
+            for k, (_, role) in enumerate(roles)
+            if role.grid
+        ]
+        sums = [
+            F.expr(f"sum(CASE WHEN {where} THEN {value} END)").alias(column)
+            for (where, value), column in measures.items()
+        ]
         small = source.frame.groupBy(*source.group).agg(*marks, *sums)
-        names = [m.name for m in self.metrics if any(n == m.name for _, n, _ in parts)]
-        types = {
-            n: _common_type(small.schema[c].dataType.simpleString() for c, m, _ in parts if m == n)
-            for n in names
-        }
-        rows = []
-        for r, role in source.roles.items():
-            mine = {n: [] for n in names}
-            for column, metric, part in parts:
-                if part.role == r:
-                    mine[metric].append(F.col(column) * part.sign)
-            if r not in makers and not any(mine.values()):
-                continue
-            cells = [_total(mine[n]).cast(types[n]).alias(n) for n in names]
-            grid = F.coalesce(F.col(f"__g_{r}"), F.lit(False)) if r in makers else F.lit(False)
-            rows.append(_role_row(self.dims, role, grid, cells, [c for c in mine.values() if c]))
-        return small.select(F.inline(F.array(*rows))).where(F.col("__grid").isNotNull())
-
-    def _distinct(self, name: str, source: Source) -> DataFrame | None:
+        guards, grids = [], []
+        terms: dict[str, list[tuple[int, str]]] = {}
+        for k, (role_name, role) in enumerate(roles):
+            used = {}
+            for metric, part in parts:
+                if part.role == role_name:
+                    column = measures[part.where, part.value]
+                    used.setdefault(metric, []).append((part.sign, column))
+            for metric, columns in used.items():
+                terms.setdefault(metric, []).append((first_role + k, _added(columns)))
+            seen = dict.fromkeys(column for columns in used.values() for _, column in columns)
+            touched = " OR ".join(f"{column} IS NOT NULL" for column in seen) or "FALSE"
+            guard = f"({self._known(role)} AND ({touched}))"
+            if role.grid:
+                guard = f"coalesce(__g{k}, FALSE) OR {guard}"
+                grids.append(f"WHEN {first_role + k} THEN coalesce(__g{k}, FALSE)")
+            guards.append(guard)
+        grid = f"CASE __role {' '.join(grids)} ELSE FALSE END" if grids else "FALSE"
+        rows = self._fan_out(small, roles, guards, first_role, [*small.columns])
+        return _Piece(
+            rows.selectExpr(*self._dims_of(roles, first_role), f"{grid} AS __grid", "__role", *measures.values()),
+            terms,
+        )
+
+    def _distinct(self, name: str, source: Source, first_role: int) -> _Piece | None:
         parts = self._parts(name, distinct=True)
         if not parts:
             return None
-        rows = []
-        none = F.lit(0).cast("long")
-        for r, role in source.roles.items():
-            flags = [
-                F.when(part.where(), F.lit(1 << bit).cast("long")).otherwise(none)
-                for bit, (_, _, part) in enumerate(parts)
-                if part.role == r
+        roles = list(source.roles.items())
+        bits, guards = [], []
+        for k, (role_name, role) in enumerate(roles):
+            mine = [
+                f"CASE WHEN {p.where} THEN {1 << bit}L ELSE 0L END"
+                for bit, (_, p) in enumerate(parts)
+                if p.role == role_name
             ]
-            if not flags:
-                continue
-            bits = reduce(Column.bitwiseOR, flags)
-            keys = [role.key[d]() for d in self.dims]
-            known = reduce(and_, [k.isNotNull() for k in keys])
-            cell = F.struct(*[k.alias(d) for k, d in zip(keys, self.dims)], bits.alias("__bits"))
-            rows.append(F.when(known & (bits != 0), cell))
-        tagged = source.frame.select(
-            source.id().alias("__id"), F.inline(F.array(*rows))
-        ).where(F.col("__bits").isNotNull() & F.col("__id").isNotNull())
-        per_id = tagged.groupBy(*self.dims, "__id").agg(F.bit_or("__bits").alias("__bits"))
-        totals: dict[str, list[Column]] = {}
-        for bit, (_, metric, part) in enumerate(parts):
-            one = F.shiftright(F.col("__bits"), bit).bitwiseAND(F.lit(1)) * part.sign
-            totals.setdefault(metric, []).append(F.sum(one))
-        sums = [_total(t).alias(metric) for metric, t in totals.items()]
-        return per_id.groupBy(*self.dims).agg(*sums).withColumn("__grid", F.lit(False))
-
-
-def _measure(part: Part) -> Column:
-    value = F.lit(1).cast("long") if part.value is None else part.value()
-    return F.when(part.where(), value)
-
-
-def _total(columns: list[Column]) -> Column:
-    """Sum where null terms count as 0, but null when all terms are null."""
-    if not columns:
-        return F.lit(None)
-    if len(columns) == 1:
-        return columns[0]
-    total = F.lit(0)
-    for c in columns:
-        total = total + F.coalesce(c, F.lit(0))
-    return F.when(F.coalesce(*columns).isNotNull(), total)
-
-
-def _common_type(types) -> str:
-    """Type that holds the sum of all given ones: double, the widest decimal, or bigint."""
-    types = set(types)
-    if types & {"double", "float"}:
-        return "double"
-    scales = [int(t.rstrip(")").split(",")[1]) for t in types if t.startswith("decimal")]
-    return f"decimal(38,{max(scales)})" if scales else "bigint"
-
-
-def _role_row(dims, role: Role, grid: Column, cells: list[Column], measured) -> Column:
-    keys = {d: role.key[d]() for d in dims}
-    known = reduce(and_, [k.isNotNull() for k in keys.values()])
-    used = reduce(or_, [t.isNotNull() for terms in measured for t in terms], F.lit(False))
-    named = [k.alias(d) for d, k in keys.items()]
-    return F.when(grid | (known & used), F.struct(*named, grid.alias("__grid"), *cells))
-
-
-def _with_all(df: DataFrame, dims: Sequence[str], types: dict[str, str]) -> DataFrame:
-    """All metric columns in their common types, absent ones as null."""
-    metrics = [
-        (F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in types.items()
-    ]
-    return df.select(*dims, "__grid", *metrics)
+            hits = [p.where for _, p in parts if p.role == role_name]
+            any_hit = " OR ".join(f"({w})" for w in hits) or "FALSE"
+            guards.append(f"({self._known(role)}) AND ({any_hit})")
+            if mine:
+                bits.append(f"WHEN {first_role + k} THEN {' | '.join(mine)}")
+        tagged = self._fan_out(
+            source.frame.withColumn("__id", F.expr(source.id)).where("__id IS NOT NULL"),
+            roles, guards, first_role, None,
+        ).selectExpr(
+            *self._dims_of(roles, first_role), "__id", f"CASE __role {' '.join(bits)} END AS __bits"
+        )
+        per_id = tagged.groupBy(*self.dims, "__id").agg(F.expr("bit_or(__bits)").alias("__bits"))
+        terms: dict[str, list[tuple[int, str]]] = {}
+        sums = []
+        for bit, (metric, part) in enumerate(parts):
+            column = f"{name}_d{bit}"
+            sums.append(F.expr(f"sum(shiftright(__bits, {bit}) & 1L)").alias(column))
+            terms.setdefault(metric, []).append((part.sign, column))
+        counts = per_id.groupBy(*self.dims).agg(*sums)
+        rows = counts.selectExpr(
+            *self.dims, "FALSE AS __grid", f"{first_role} AS __role",
+            *[f"{name}_d{bit}" for bit in range(len(parts))],
+        )
+        return _Piece(rows, {m: [(first_role, _added(columns))] for m, columns in terms.items()})
+
+    def _fan_out(self, df, roles, guards, first_role, columns) -> DataFrame:
+        """Repeat a row per role whose guard holds, tagged with the role number."""
+        numbers = ", ".join(f"CASE WHEN {g} THEN {first_role + k} END" for k, g in enumerate(guards))
+        kept = columns or ["*"]
+        return df.selectExpr(*kept, f"explode(array({numbers})) AS __role").where("__role IS NOT NULL")
+
+    def _dims_of(self, roles, first_role) -> list[str]:
+        out = []
+        for d in self.dims:
+            keys = [role.key[d] for _, role in roles]
+            if len(set(keys)) == 1:
+                out.append(f"{keys[0]} AS {d}")
+            else:
+                whens = " ".join(f"WHEN {first_role + k} THEN {key}" for k, key in enumerate(keys))
+                out.append(f"CASE __role {whens} END AS {d}")
+        return out
+
+
+def _added(columns: Sequence[tuple[int, str]]) -> str:
+    """Signed sum of columns, nulls as 0; a single column keeps its null."""
+    signed = [("-" if sign < 0 else "") + column for sign, column in columns]
+    return signed[0] if len(signed) == 1 else " + ".join(f"coalesce({x}, 0)" for x in signed)

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cascata.functions import business as B
-from cascata.functions import dates as D
 from cascata.functions import text as T
-from cascata.operators.waterfall import Metric, Part, Role, Source, Waterfall
+from cascata.operators.waterfall import ONE, Metric, Part, Role, Source, Waterfall
 from cascata.sources.scans import latest_snapshot
 
 DIMS = ("Canal", "Equipe", "Regiao_Macro", "Mes_Base", "Tamanho")
@@ -91,22 +90,25 @@ def payment_rows(payments: DataFrame, version: str) -> DataFrame:
 # ---- roles ---------------------------------------------------------------------------------
 
 
-def _key(version: str, channel, team, region, month, size, flag=None, state=None):
-    names = dict(zip(DIMS, (channel, team, region, month, size)))
-    if version in (FULL, FULL2):
-        names[FLAG] = flag
-    if version == UF:
-        names[STATE] = state
-    as_maker = lambda x: (lambda: c(x)) if isinstance(x, str) else x
-    return {k: as_maker(v) for k, v in names.items()}
+def _filled(column: str) -> str:
+    return f"({column} IS NOT NULL AND {column} <> '')"
 
 
-def _next(name: str):
-    return lambda: D.shift_months(c(name), 1)
+def _next(column: str) -> str:
+    return f"add_months({column}, 1)"
 
 
-def _fixed(flag: str):
-    return lambda: F.lit(flag)
+def _quoted(text: str) -> str:
+    return f"'{text}'"
+
+
+def _key(version, channel, team, region, month, size, flag=None, state=None) -> dict[str, str]:
+    key = dict(zip(DIMS, (channel, team, region, month, size)))
+    if version in (FULL, FULL2):
+        key[FLAG] = flag
+    if version == UF:
+        key[STATE] = state
+    return key
 
 
 def _revenue_roles(version: str) -> dict[str, Role]:
@@ -115,14 +117,13 @@ def _revenue_roles(version: str) -> dict[str, Role]:
 
     here = ("canal_conta", "coordenador_ajustado")
     left = ("out_canal", "out_equipe")
-    filled = lambda: T.is_filled(c("canal_conta"))
+    filled = _filled("canal_conta")
     wide = version == FULL2
     roles = {
         "CUR": Role(at(*here, "mes_base"), filled),
         "NEXT": Role(at(*here, _next("mes_base")), filled if wide else None),
         "CHURN": Role(
-            at(*here, "dt_cancelado"),
-            (lambda: filled() & c("dt_cancelado").isNotNull()) if wide else None,
+            at(*here, "dt_cancelado"), f"{filled} AND dt_cancelado IS NOT NULL" if wide else None
         ),
         "RAW": Role(at("canal_conta", "cordenador", "mes_base")),
     }
@@ -134,9 +135,9 @@ def _revenue_roles(version: str) -> dict[str, Role]:
         return roles
     # Values a cell loses are not split by transfer flag here: both flags of a cell show them.
     for flag in (B.YES, B.NO):
-        own = lambda f=flag: (c("status_migrado") == B.MIGRATED) & (c("transf") == f)
-        roles[f"OUT_CUR:{flag}"] = Role(at(*left, "mes_base", _fixed(flag)), own)
-        roles[f"OUT_CHURN:{flag}"] = Role(at(*left, "dt_cancelado", _fixed(flag)))
+        own = f"{MOVED} AND transf = {_quoted(flag)}"
+        roles[f"OUT_CUR:{flag}"] = Role(at(*left, "mes_base", _quoted(flag)), own)
+        roles[f"OUT_CHURN:{flag}"] = Role(at(*left, "dt_cancelado", _quoted(flag)))
     return roles
 
 
@@ -144,13 +145,12 @@ def _plan_roles(version: str) -> dict[str, Role]:
     """Plans are never transfers, so they sit in the 'Não' cells only."""
 
     def at(month):
-        return _key(version, "canal", "equipe", "reg", month, "tam", _fixed(B.NO))
+        return _key(version, "canal", "equipe", "reg", month, "tam", _quoted(B.NO))
 
-    filled = lambda: T.is_filled(c("canal"))
-    sized = lambda: filled() & T.is_filled(c("tam"))
+    filled = _filled("canal")
     wide = version == FULL2
     return {
-        "CUR": Role(at("competencia"), filled if wide else sized),
+        "CUR": Role(at("competencia"), filled if wide else f"{filled} AND {_filled('tam')}"),
         "NEXT": Role(at(_next("competencia")), filled if wide else None),
         "CHURN": Role(at("mes_churn")),
     }
@@ -158,80 +158,37 @@ def _plan_roles(version: str) -> dict[str, Role]:
 
 # ---- metrics -------------------------------------------------------------------------------
 
+ANY = "TRUE"
+NEW, UP, DOWN = (f"classificacao = '{v}'" for v in (B.NEW, B.UP, B.DOWN))
+CHURNED, RECOVERED = (f"classificacao_churn = '{v}'" for v in (B.CHURN, B.RECOVERED))
+PAID, MOVED = f"status_ts = '{B.PAID_STATUS}'", f"status_migrado = '{B.MIGRATED}'"
+KEPT = "(dt_cancelado IS NULL OR dt_cancelado <> mes_base)"
+BILLED, DELTA, PRICE = "faturado_mes", "delta", "valor"
+PLAN_NEW, PLAN_CHURN = "status_recorrente = 'Novo'", "status_recorrente = 'Churn'"
+PLAN_PAID = "status = 'PAID'"
+PLAN_KEPT = "(mes_churn IS NULL OR mes_churn <> competencia)"
+PLAN_KEPT_FULL2 = (
+    f"{PLAN_KEPT} AND (canal NOT IN ('Online', 'ND') OR coalesce(coordenador_conta, '') = '')"
+)
+# The amount test binds to the second condition only.
+PLAN_PAYING = "(mes_churn IS NULL OR (mes_churn <> competencia AND valor > 0))"
+# Signed in the last six calendar days and not cancelled in the same month.
+LATE_DAYS = (
+    "day_base > date_sub(last_day(mes_base), 6) AND day_base <= last_day(mes_base) AND "
+    "(dt_cancelado IS NULL OR trunc(dt_cancelado, 'MM') <> trunc(mes_base, 'MM'))"
+)
 
-def _is(column: str, value):
-    return lambda: c(column) == value
-
-
-def _all(*tests):
-    def test():
-        out = tests[0]()
-        for t in tests[1:]:
-            out = out & t()
-        return out
-
-    return test
-
-
-def _any_row() -> Column:
-    return F.lit(True)
-
-
-def _nonzero(*columns: str):
-    def test():
-        out = B.nonzero(c(columns[0]))
-        for name in columns[1:]:
-            out = out | B.nonzero(c(name))
-        return out
-
-    return test
 
+def _nonzero(*columns: str) -> str:
+    return "(" + " OR ".join(f"{x} <> 0" for x in columns) + ")"
 
-def _sum_of(*columns: str):
-    def value():
-        out = F.coalesce(c(columns[0]), F.lit(0))
-        for name in columns[1:]:
-            out = out + F.coalesce(c(name), F.lit(0))
-        return out
 
-    return value
-
-
-def _col(name: str):
-    return lambda: c(name)
-
-
-def _kept() -> Column:
-    return c("dt_cancelado").isNull() | (c("dt_cancelado") != c("mes_base"))
-
-
-def _plan_kept() -> Column:
-    return c("mes_churn").isNull() | (c("mes_churn") != c("competencia"))
-
-
-def _plan_kept_in_full2() -> Column:
-    teamless = F.coalesce(c("coordenador_conta"), F.lit("")) == ""
-    return _plan_kept() & (~c("canal").isin("Online", "ND") | teamless)
-
-
-def _plan_paying() -> Column:
-    """The amount test binds to the second condition only."""
-    return c("mes_churn").isNull() | ((c("mes_churn") != c("competencia")) & (c("valor") > 0))
-
-
-def _late_days() -> Column:
-    """Signed in the last six calendar days and not cancelled in the same month."""
-    return D.in_last_days(c("day_base"), c("mes_base"), 6) & B.not_cancelled_in_month(
-        c("dt_cancelado"), c("mes_base")
-    )
+def _sum_of(*columns: str) -> str:
+    return " + ".join(f"coalesce({x}, 0)" for x in columns)
 
 
-NEW, UP, DOWN = (_is("classificacao", v) for v in (B.NEW, B.UP, B.DOWN))
-CHURNED, RECOVERED = (_is("classificacao_churn", v) for v in (B.CHURN, B.RECOVERED))
-PAID, MOVED = _is("status_ts", B.PAID_STATUS), _is("status_migrado", B.MIGRATED)
-BILLED, DELTA, PRICE = _col("faturado_mes"), _col("delta"), _col("valor")
-PLAN_NEW, PLAN_CHURN = _is("status_recorrente", "Novo"), _is("status_recorrente", "Churn")
-PLAN_PAID = _is("status", "PAID")
+def _all(*tests: str) -> str:
+    return " AND ".join(tests)
 
 
 class _Spec:
@@ -242,7 +199,7 @@ class _Spec:
         self.full = version in (FULL, FULL2)
         self.metrics: list[Metric] = []
 
-    def _part(self, source, role, where, value, sign, distinct) -> list[Part]:
+    def _part(self, source, role, where, value, sign, distinct=False) -> list[Part]:
         if role.startswith("OUT") and self.version == FULL2:
             roles = [f"{role}:{flag}" for flag in (B.YES, B.NO)]
         else:
@@ -251,16 +208,16 @@ class _Spec:
 
     def rows(self, role, where, sign=1):
         """Revenue rows; distinct accounts where the table counts accounts."""
-        return self._part("revenue", role, where, None, sign, not self.full)
+        return self._part("revenue", role, where, ONE, sign, not self.full)
 
     def total(self, role, where, value, sign=1):
-        return self._part("revenue", role, where, value, sign, False)
+        return self._part("revenue", role, where, value, sign)
 
-    def plans(self, role, where, value=None, sign=1):
-        return self._part("plans", role, where, value, sign, False) if self.full else []
+    def plans(self, role, where, value=ONE, sign=1):
+        return self._part("plans", role, where, value, sign) if self.full else []
 
-    def payments(self, where, value=None):
-        return self._part("payments", "CUR", where, value, 1, False)
+    def payments(self, where, value=ONE):
+        return self._part("payments", "CUR", where, value, 1)
 
     def add(self, name, *groups):
         self.metrics.append(Metric(name, tuple(p for g in groups for p in g)))
@@ -269,12 +226,12 @@ class _Spec:
 def _opening(s: _Spec) -> None:
     wide = s.version == FULL2
     moves = [s.rows("CUR", MOVED), s.rows("OUT_CUR", MOVED, -1)] if s.full else []
-    plan_rule = _plan_kept_in_full2 if wide else _plan_kept
-    s.add("base_inicial_qtd", s.rows("NEXT", _kept), *moves, s.plans("NEXT", plan_rule))
+    plan_rule = PLAN_KEPT_FULL2 if wide else PLAN_KEPT
+    s.add("base_inicial_qtd", s.rows("NEXT", KEPT), *moves, s.plans("NEXT", plan_rule))
     s.add("novos_qtd", s.rows("CUR", NEW), s.plans("CUR", PLAN_NEW))
-    s.add("churn_qtd", s.rows("CHURN", CHURNED, -1), s.plans("CHURN", PLAN_CHURN, None, -1))
-    billed = _all(_kept, lambda: c("faturado_mes") > 0) if wide else _kept
-    plan_billed = _plan_paying if wide else _plan_kept
+    s.add("churn_qtd", s.rows("CHURN", CHURNED, -1), s.plans("CHURN", PLAN_CHURN, ONE, -1))
+    billed = _all(KEPT, "faturado_mes > 0") if wide else KEPT
+    plan_billed = PLAN_PAYING if wide else PLAN_KEPT
     s.add("base_inicial_valor", s.total("NEXT", billed, BILLED), s.plans("NEXT", plan_billed, PRICE))
     s.add("novos_valor", s.total("CUR", NEW, BILLED), s.plans("CUR", PLAN_NEW, PRICE))
     s.add("up_valor", s.total("CUR", UP, DELTA))
@@ -289,31 +246,31 @@ def _opening(s: _Spec) -> None:
 def _addons_and_payments(s: _Spec) -> None:
     vip, top = "faturado_mes_bairro_vip", "faturado_mes_topo_fixo"
     s.add("campanha_qtd", s.rows("CUR", _nonzero("faturado_mes_campanha")))
-    s.add("campanha_valor", s.total("CUR", _any_row, _col("faturado_mes_campanha")))
+    s.add("campanha_valor", s.total("CUR", ANY, "faturado_mes_campanha"))
     s.add("sva_qtd", s.rows("CUR", _nonzero(vip, top)))
-    s.add("sva_valor", s.total("CUR", _any_row, _sum_of(vip, top)))
+    s.add("sva_valor", s.total("CUR", ANY, _sum_of(vip, top)))
     kinds = {"adiantados": "antecipado", "no_mes": "no_mes", "transcorridos": "transcorrido"}
     for name, column in kinds.items():
         plans = s.plans("CUR", PLAN_PAID, PRICE) if name == "no_mes" else []
-        s.add(f"pagamentos_{name}_valor", s.payments(_any_row, _col(column)), plans)
-    s.add("pagamento_campanha_valor", s.total("CUR", _any_row, _col("pago_mes_campanha")))
-    s.add("pagamento_sva_valor", s.total("CUR", _any_row, _sum_of("pago_mes_bairro", "pago_mes_topo")))
+        s.add(f"pagamentos_{name}_valor", s.payments(ANY, column), plans)
+    s.add("pagamento_campanha_valor", s.total("CUR", ANY, "pago_mes_campanha"))
+    s.add("pagamento_sva_valor", s.total("CUR", ANY, _sum_of("pago_mes_bairro", "pago_mes_topo")))
     for name, column in kinds.items():
         plans = s.plans("CUR", PLAN_PAID) if name == "no_mes" else []
         s.add(f"pagamentos_{name}_qtd", s.payments(_nonzero(column)), plans)
-    s.add("pagamento_campanha_qtd", s.total("RAW", _any_row, _col("apoio_qtd_campanha")))
-    s.add("pagamento_sva_qtd", s.total("RAW", _any_row, _col("apoio_qtd_sva")))
+    s.add("pagamento_campanha_qtd", s.total("RAW", ANY, "apoio_qtd_campanha"))
+    s.add("pagamento_sva_qtd", s.total("RAW", ANY, "apoio_qtd_sva"))
     s.add("up_qtd", s.rows("CUR", UP))
     s.add("down_qtd", s.rows("CUR", DOWN))
 
 
 def _paid_only(s: _Spec) -> None:
     if s.version == FULL2:
-        plans = [s.plans("NEXT", _plan_paying, PRICE)]
+        plans = [s.plans("NEXT", PLAN_PAYING, PRICE)]
     else:
-        same_month = lambda: c("status_recorrente").isin("flat", "Churn")
+        same_month = "status_recorrente IN ('flat', 'Churn')"
         plans = [s.plans("CUR", same_month, PRICE), s.plans("CHURN", PLAN_CHURN, PRICE)]
-    s.add("base_inicial_pago_valor", s.total("NEXT", _all(PAID, _kept), BILLED), *plans)
+    s.add("base_inicial_pago_valor", s.total("NEXT", _all(PAID, KEPT), BILLED), *plans)
     s.add("novos_pago_valor", s.total("CUR", _all(PAID, NEW), BILLED), s.plans("CUR", PLAN_NEW, PRICE))
     s.add("up_pago_valor", s.total("CUR", _all(PAID, UP), DELTA))
     s.add("down_pago_valor", s.total("CUR", _all(PAID, DOWN), DELTA))
@@ -342,17 +299,17 @@ def _migration(s: _Spec) -> None:
 
 
 def _full_only(s: _Spec) -> None:
-    at_once = _all(CHURNED, MOVED, lambda: c("mes_base") == c("dt_cancelado"))
+    at_once = _all(CHURNED, MOVED, "mes_base = dt_cancelado")
     for side, role in (("in", "CHURN"), ("out", "OUT_CHURN")):
         s.add(f"churn_{side}_bi_qtd", s.rows(role, at_once, -1))
         s.add(f"churn_{side}_bi_valor", s.total(role, at_once, BILLED, -1))
     if s.version == FULL2:
         stored = "volume_transcorrido"
-        s.add(f"{stored}_valor", s.total("NEXT", _any_row, _col(stored)))
-        s.add(f"{stored}_qtd", s.rows("NEXT", lambda: c(stored) > 0))
+        s.add(f"{stored}_valor", s.total("NEXT", ANY, stored))
+        s.add(f"{stored}_qtd", s.rows("NEXT", f"{stored} > 0"))
     else:
-        s.add("volume_transcorrido_valor", s.total("NEXT", _late_days, BILLED))
-        s.add("volume_transcorrido_qtd", s.rows("NEXT", _late_days))
+        s.add("volume_transcorrido_valor", s.total("NEXT", LATE_DAYS, BILLED))
+        s.add("volume_transcorrido_qtd", s.rows("NEXT", LATE_DAYS))
 
 
 def metrics(version: str) -> list[Metric]:
@@ -372,11 +329,8 @@ def metrics(version: str) -> list[Metric]:
 
 def _upper_team(roles: dict[str, Role]) -> dict[str, Role]:
     """Team keys upper-cased and trimmed, so spellings of one team meet in one cell."""
-    out = {}
-    for name, role in roles.items():
-        team = role.key["Equipe"]
-        out[name] = Role({**role.key, "Equipe": lambda t=team: T.clean_upper(t())}, role.grid)
-    return out
+    upper = lambda key: {**key, "Equipe": f"upper(trim({key['Equipe']}))"}
+    return {name: Role(upper(role.key), role.grid) for name, role in roles.items()}
 
 
 def _cells(version, enriched, payments=None, plans=None, normalize_keys=False, with_metrics=True):
@@ -395,7 +349,7 @@ def _cells(version, enriched, payments=None, plans=None, normalize_keys=False, w
     sources = {
         "revenue": Source(
             revenue_rows(enriched), fix(_revenue_roles(version)), group,
-            id=lambda: c("advertiser_id"),
+            id="advertiser_id",
         )
     }
     if payments is not None:

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cascata.functions import business as B
-from cascata.functions import dates as D
 from cascata.functions import text as T
 from cascata.operators.ordered import add_delta
-from cascata.operators.waterfall import Metric, Part, Role, Source, Waterfall
+from cascata.operators.waterfall import ONE, Metric, Part, Role, Source, Waterfall
 from cascata.sources.scans import latest_snapshot
 
 DIMS = ("Canal", "Equipe", "Regiao_Macro", "Mes_Base", "Tamanho")
@@ -44,50 +43,39 @@ def plans_by_account(plans: DataFrame, bounded: bool = False) -> DataFrame:
 
 
 def _metrics() -> list[Metric]:
-    c = F.col
-    base = lambda: c("mes_churn").isNull() | (c("mes_churn") != c("competencia"))
-    status = lambda s: lambda: c("status_recorrente") == s
-    change = lambda s: lambda: c("classifica_up") == s
-    paid = lambda: c("status") == "PAID"
-    price, delta = (lambda: c("valor_mensal")), (lambda: c("delta"))
-    count = lambda n, role, where, sign=1: Metric(
-        n, (Part("plans", role, where, None, sign, True),)
-    )
-    total = lambda n, role, where, value, sign=1: Metric(
-        n, (Part("plans", role, where, value, sign),)
-    )
+    kept = "(mes_churn IS NULL OR mes_churn <> competencia)"
+    new, gone = "status_recorrente = 'Novo'", "status_recorrente = 'Churn'"
+    up, down = (f"classifica_up = '{v}'" for v in (B.UP, B.DOWN))
+
+    def count(name, role, where, sign=1):
+        return Metric(name, (Part("plans", role, where, ONE, sign, True),))
+
+    def total(name, role, where, value, sign=1):
+        return Metric(name, (Part("plans", role, where, value, sign),))
+
     return [
-        count("base_inicial_qtd", "NEXT", base),
-        count("novos_qtd", "CUR", status("Novo")),
-        count("churn_qtd", "CHURN", status("Churn"), -1),
-        total("base_inicial_valor", "NEXT", base, price),
-        total("novos_valor", "CUR", status("Novo"), price),
-        total("up_valor", "CUR", change(B.UP), delta),
-        total("down_valor", "CUR", change(B.DOWN), delta),
-        total("churn_valor", "CHURN", status("Churn"), price, -1),
-        count("up_qtd", "CUR", change(B.UP)),
-        count("down_qtd", "CUR", change(B.DOWN)),
-        total("pagamentos_no_mes_valor", "CUR", paid, price),
+        count("base_inicial_qtd", "NEXT", kept),
+        count("novos_qtd", "CUR", new),
+        count("churn_qtd", "CHURN", gone, -1),
+        total("base_inicial_valor", "NEXT", kept, "valor_mensal"),
+        total("novos_valor", "CUR", new, "valor_mensal"),
+        total("up_valor", "CUR", up, "delta"),
+        total("down_valor", "CUR", down, "delta"),
+        total("churn_valor", "CHURN", gone, "valor_mensal", -1),
+        count("up_qtd", "CUR", up),
+        count("down_qtd", "CUR", down),
+        total("pagamentos_no_mes_valor", "CUR", "status = 'PAID'", "valor_mensal"),
     ]
 
 
 def _roles() -> dict[str, Role]:
-    c = F.col
-
     def at(month):
-        return {
-            "Canal": lambda: c("canal"),
-            "Equipe": lambda: c("equipe_ajustada"),
-            "Regiao_Macro": lambda: c("regionalizacao"),
-            "Mes_Base": month,
-            "Tamanho": lambda: c("tamanho"),
-        }
+        return dict(zip(DIMS, ("canal", "equipe_ajustada", "regionalizacao", month, "tamanho")))
 
-    grid = lambda: T.is_filled(c("canal")) & c("competencia").isNotNull()
     return {
-        "CUR": Role(at(lambda: c("competencia")), grid),
-        "NEXT": Role(at(lambda: D.shift_months(c("competencia"), 1))),
-        "CHURN": Role(at(lambda: c("mes_churn"))),
+        "CUR": Role(at("competencia"), "canal <> '' AND competencia IS NOT NULL"),
+        "NEXT": Role(at("add_months(competencia, 1)")),
+        "CHURN": Role(at("mes_churn")),
     }
 
 
@@ -100,12 +88,12 @@ def bd_planos_periodicos(
     report does, so (1, 23) and (12, 3) are one; ``separate_ids`` keeps them apart.
     """
     rows = plans_by_account(plans, bounded).withColumn("mes_churn", F.col("mes_churn").cast("date"))
-    a, b = F.col("id_conta_olx"), F.col("id_contrato")
+    joined = "concat(CAST(id_conta_olx AS STRING), CAST(id_contrato AS STRING))"
     source = Source(
         rows,
         _roles(),
         ["canal", "equipe_ajustada", "regionalizacao", "competencia", "tamanho", "mes_churn"],
-        id=lambda: F.struct(a, b) if separate_ids else T.join_key(a, b),
+        id="struct(id_conta_olx, id_contrato)" if separate_ids else joined,
     )
     cells = Waterfall(DIMS, _metrics() if metrics else [], {"plans": source}).build()
     cells = cells.where(T.is_filled(F.col("Regiao_Macro")) & T.is_filled(F.col("Tamanho")))

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call-site capture costs more than the plans take to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

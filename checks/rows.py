@@ -101,7 +101,7 @@ def p8(i):
     GOLD + f" SELECT {ID}, dt_cancelado FROM gold WHERE dt_cancelado IS NULL OR dt_cancelado <> mes_base",
 )
 def p9(i):
-    return i.gold.where(grids._kept()).select("advertiser_id", "mes_base", "dt_cancelado")
+    return i.gold.where(grids.KEPT).select("advertiser_id", "mes_base", "dt_cancelado")
 
 
 @check("P10_this_and_last_month", PAIDS + f" SELECT advertiser_id, mes_pago, status_ts, dt FROM paids WHERE {S.TWO_MONTHS}")

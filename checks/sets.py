@@ -10,7 +10,7 @@ from cascata.operators.lookups import (
     add_member_flag, distinct_keys, exact_or_latest, keys_of_both, union_all, union_distinct,
 )
 from cascata.operators.ordered import add_delta, add_previous, first_per, latest_per
-from cascata.operators.waterfall import Metric, Part, Role, Source, Waterfall
+from cascata.operators.waterfall import ONE, Metric, Part, Role, Source, Waterfall
 from cascata.plans import chain, daily, grids, recurring, revenue
 from cascata.sources import scans
 from checks import fixtures as X
@@ -64,10 +64,7 @@ NAMED = "canal_conta AS Canal, coordenador_ajustado AS Equipe, regionalizacao AS
 
 def _cell_counts(frame, dims, keys, terms):
     """A small waterfall: the join of a grid with several metrics, as one grouping."""
-    roles = {
-        name: Role({d: (lambda x=x: x if not isinstance(x, str) else c(x)) for d, x in zip(dims, cols)}, grid)
-        for name, (cols, grid) in keys.items()
-    }
+    roles = {name: Role(dict(zip(dims, cols)), grid) for name, (cols, grid) in keys.items()}
     metrics = [Metric(n, (Part("rows", role, where, value),)) for n, role, where, value in terms]
     group = ["canal_conta", "coordenador_ajustado", "reg", "mes_base", "tam", "transf", "out_canal", "out_equipe"]
     return Waterfall(list(dims), metrics, {"rows": Source(frame, roles, group)}).build()
@@ -86,9 +83,9 @@ def j4(i):
     dims = [*grids.DIMS, grids.FLAG]
     here = ("canal_conta", "coordenador_ajustado", "reg", "mes_base", "tam", "transf")
     return _cell_counts(
-        grids.revenue_rows(i.enriched()), dims, {"CUR": (here, lambda: F.lit(True))},
+        grids.revenue_rows(i.enriched()), dims, {"CUR": (here, "TRUE")},
         [
-            ("novos_qtd", "CUR", grids.NEW, None),
+            ("novos_qtd", "CUR", grids.NEW, ONE),
             ("up_valor", "CUR", grids.UP, grids.DELTA),
         ],
     )
@@ -108,13 +105,13 @@ def j5(i):
     dims = [*grids.DIMS, grids.FLAG]
     here = ("canal_conta", "coordenador_ajustado", "reg", "mes_base", "tam", "transf")
     left = ("out_canal", "out_equipe", "reg", "mes_base", "tam")
-    roles = {"CUR": (here, lambda: F.lit(True))}
+    roles = {"CUR": (here, "TRUE")}
     for flag in ("Sim", "Não"):
-        roles[flag] = ((*left, F.lit(flag)), None)
+        roles[flag] = ((*left, f"'{flag}'"), None)
     frame = grids.revenue_rows(i.enriched())
     cells = _cell_counts(
         frame, dims, roles,
-        [("s_sim", "Sim", grids.MOVED, None), ("s_nao", "Não", grids.MOVED, None)],
+        [("s_sim", "Sim", grids.MOVED, ONE), ("s_nao", "Não", grids.MOVED, ONE)],
     )
     return cells.withColumn("saidas", c("s_sim") + c("s_nao")).drop("s_sim", "s_nao")
 
@@ -212,13 +209,12 @@ def j13(i):
 )
 def j14(i):
     dims = ("canal_conta", "mes_base")
-    key = lambda month: {"canal_conta": lambda: c("canal_conta"), "mes_base": month}
     roles = {
-        "CUR": Role(key(lambda: c("mes_base")), lambda: F.lit(True)),
-        "NEXT": Role(key(lambda: D.shift_months(c("mes_base"), 1))),
+        "CUR": Role({"canal_conta": "canal_conta", "mes_base": "mes_base"}, "TRUE"),
+        "NEXT": Role({"canal_conta": "canal_conta", "mes_base": "add_months(mes_base, 1)"}),
     }
     metrics = [
-        Metric("base", (Part("gold", "NEXT", grids._kept),)),
+        Metric("base", (Part("gold", "NEXT", grids.KEPT),)),
         Metric("up", (Part("gold", "CUR", grids.UP, grids.DELTA),)),
     ]
     return Waterfall(dims, metrics, {"gold": Source(i.gold, roles, list(dims))}).build()
@@ -294,12 +290,12 @@ def a1(i):
 )
 def a2(i):
     dims = ("Canal", "Equipe")
-    key = {"Canal": lambda: c("canal_conta"), "Equipe": lambda: c("coordenador_ajustado")}
+    key = {"Canal": "canal_conta", "Equipe": "coordenador_ajustado"}
     parts = [("novos", grids.NEW), ("migrados", grids.MOVED)]
     metrics = [Metric(n, (Part("rows", "CUR", where, distinct=True),)) for n, where in parts]
     source = Source(
-        i.enriched(), {"CUR": Role(key, lambda: F.lit(True))},
-        ["canal_conta", "coordenador_ajustado"], id=lambda: c("advertiser_id"),
+        i.enriched(), {"CUR": Role(key, "TRUE")},
+        ["canal_conta", "coordenador_ajustado"], id="advertiser_id",
     )
     return Waterfall(dims, metrics, {"rows": source}).build()
 
@@ -323,7 +319,7 @@ def a3(i):
 def a5(i):
     return by_cell(
         i,
-        F.sum(grids._sum_of("faturado_mes_bairro_vip", "faturado_mes_topo_fixo")()).alias("addons"),
+        F.expr("sum(" + grids._sum_of("faturado_mes_bairro_vip", "faturado_mes_topo_fixo") + ")").alias("addons"),
         F.sum(T.first_number(c("pacote"))).alias("sizes"),
     )
 
