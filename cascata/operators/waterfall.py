@@ -56,12 +56,17 @@ class Metric:
 
 @dataclass
 class Source:
-    """A frame, its roles, the columns the roles read and the id for distinct counts."""
+    """A frame, its roles, the columns the roles read and the id for distinct counts.
+
+    ``one_pass`` carries the sums through the (cell, id) grouping too. It moves wider rows but
+    reads the frame once, which pays where the frame is costly and has few sums.
+    """
 
     frame: DataFrame
     roles: dict[str, Role]
     group: Sequence[str]
     id: str | None = None
+    one_pass: bool = False
 
 
 @dataclass
@@ -82,7 +87,8 @@ class Waterfall:
         """Grid cells with every metric, 0 where nothing contributes."""
         pieces, first_role = [], 0
         for name, source in self.sources.items():
-            for make in (self._sums, self._distinct):
+            passes = (self._together,) if source.one_pass else (self._sums, self._distinct)
+            for make in passes:
                 piece = make(name, source, first_role)
                 if piece is not None:
                     pieces.append(piece)
@@ -191,6 +197,51 @@ class Waterfall:
         )
         return _Piece(rows, {m: [(first_role, _added(columns))] for m, columns in terms.items()})
 
+    def _together(self, name: str, source: Source, first_role: int) -> _Piece:
+        counted, summed = self._parts(name, distinct=True), self._parts(name, distinct=False)
+        roles = list(source.roles.items())
+        numbers = {role_name: first_role + k for k, (role_name, _) in enumerate(roles)}
+        guards, grids = [], []
+        for role_name, role in roles:
+            hits = [f"({p.where})" for _, p in counted + summed if p.role == role_name]
+            guard = f"({self._known(role)}) AND ({' OR '.join(hits) or 'FALSE'})"
+            guards.append(f"({role.grid}) OR {guard}" if role.grid else guard)
+            if role.grid:
+                grids.append(f"WHEN {numbers[role_name]} THEN coalesce({role.grid}, FALSE)")
+        rows = self._fan_out(
+            source.frame.withColumn("__id", F.expr(source.id)), roles, guards, first_role, None
+        )
+        at = lambda p: f"__role = {numbers[p.role]} AND ({p.where})"
+        bits = [
+            f"CASE WHEN __id IS NOT NULL AND {at(p)} THEN {1 << bit}L ELSE 0L END"
+            for bit, (_, p) in enumerate(counted)
+        ]
+        values = [f"CASE WHEN {at(p)} THEN {p.value} END AS {name}_{k}" for k, (_, p) in enumerate(summed)]
+        sums = [F.sum(f"{name}_{k}").alias(f"{name}_{k}") for k in range(len(summed))]
+        per_id = (
+            rows.selectExpr(
+                *self._dims_of(roles, first_role), "__id",
+                f"CASE __role {' '.join(grids)} ELSE FALSE END AS __grid" if grids else "FALSE AS __grid",
+                f"{' | '.join(bits) or '0L'} AS __bits", *values,
+            )
+            .groupBy(*self.dims, "__id")
+            .agg(F.bool_or("__grid").alias("__grid"), F.bit_or("__bits").alias("__bits"), *sums)
+        )
+        counts = [
+            F.expr(f"sum(shiftright(__bits, {bit}) & 1L)").alias(f"{name}_d{bit}")
+            for bit in range(len(counted))
+        ]
+        cells = per_id.groupBy(*self.dims).agg(F.bool_or("__grid").alias("__grid"), *counts, *sums)
+        terms: dict[str, list[tuple[int, str]]] = {}
+        for bit, (metric, part) in enumerate(counted):
+            terms.setdefault(metric, []).append((part.sign, f"{name}_d{bit}"))
+        for k, (metric, part) in enumerate(summed):
+            terms.setdefault(metric, []).append((part.sign, f"{name}_{k}"))
+        return _Piece(
+            cells.withColumn("__role", F.lit(first_role)),
+            {m: [(first_role, _added(columns))] for m, columns in terms.items()},
+        )
+
     def _fan_out(self, df, roles, guards, first_role, columns) -> DataFrame:
         """Repeat a row per role whose guard holds, tagged with the role number."""
         numbers = ", ".join(f"CASE WHEN {g} THEN {first_role + k} END" for k, g in enumerate(guards))

@@ -94,6 +94,7 @@ def bd_planos_periodicos(
         _roles(),
         ["canal", "equipe_ajustada", "regionalizacao", "competencia", "tamanho", "mes_churn"],
         id="struct(id_conta_olx, id_contrato)" if separate_ids else joined,
+        one_pass=metrics,
     )
     cells = Waterfall(DIMS, _metrics() if metrics else [], {"plans": source}).build()
     cells = cells.where(T.is_filled(F.col("Regiao_Macro")) & T.is_filled(F.col("Tamanho")))
