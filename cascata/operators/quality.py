@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +52,6 @@ def run_gate(checks: dict[str, Callable[[], DataFrame]]) -> tuple[bool, list[str
             row = build().first()
             if not row["passed"]:
                 failures.append(row["message"])
-        except PySparkException as e:
+        except Exception as e:  # driver and executor errors alike
             failures.append(f"{name}: error in check, {type(e).__name__}")
     return not failures, failures

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,6 +139,6 @@ def run_chain(
             sinks.overwrite(step.build(frames, as_of), path)
             frames[step.name] = spark.read.parquet(path)
             outcomes.append(Outcome(step.name, DONE))
-        except PySparkException as e:
+        except Exception as e:  # driver and executor errors alike
             outcomes.append(Outcome(step.name, FAILED, f"{type(e).__name__}: {e}"))
     return outcomes

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +33,7 @@ class Ledger:
         """No successful load yet. An unreadable ledger counts as a first load."""
         try:
             return successes(self.read(), table).isEmpty()
-        except PySparkException:
+        except Exception:  # driver and executor errors alike
             return True
 
     def mark(
