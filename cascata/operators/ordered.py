@@ -2,19 +2,23 @@
 
 A plain ``lag`` window sorts all rows of one key in one task. That is right when a key holds
 few rows, which ``bounded=True`` states (for example rows that are unique per key and month).
-Otherwise keys above ``hot_rows`` rows are cut into pieces that follow the order, each piece is
-lagged on its own, and the last row of the piece before is carried over.
+Otherwise keys above ``hot_rows`` rows take a second path: their identical rows are collapsed to
+one with a count, the rest is cut into pieces that follow the order, each piece is lagged on its
+own, and the last row of the piece before is carried over. Both paths give the same result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-PIECE_BITS = 8
+PIECES = 256
+COPIES_PER_TASK = 1_000_000
 
 
 def _order_columns(order: Sequence[str]) -> list[Column]:
@@ -32,93 +36,114 @@ def add_previous(
 ) -> DataFrame:
     """Add ``new_name = value of the row before`` for every ``{new_name: column}``.
 
-    ``order`` sorts nulls first. Rows that tie on it are ordered by a hash of the whole row, so
-    the result does not depend on the partitioning. ``default`` fills the first row of a key.
+    ``order`` has one or two columns and sorts nulls first; the second must be a number or a
+    date. Rows that tie on it are ordered by a hash of the whole row, so the result does not
+    depend on the partitioning. ``default`` fills the first row of a key.
     """
     if bounded:
-        w = Window.partitionBy(*keys).orderBy(*_order_columns(order))
-        return df.withColumns({new: F.lag(col, 1, default).over(w) for new, col in values.items()})
-    return _add_previous_split(df, keys, order, values, default, hot_rows)
+        return _lag(df, keys, _order_columns(order), values, default)
+    match = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
+    # At most rows / hot_rows keys, so the broadcast stays small. With no hot key AQE drops the
+    # second scan.
+    hot, same = F.broadcast(_hot_keys(df, keys, hot_rows)), reduce(and_, match)
+    tie = F.xxhash64(*df.columns)
+    cold = _lag(df.join(hot, same, "left_anti"), keys, [*_order_columns(order), tie], values, default)
+    cut = _lag_in_pieces(df.join(hot, same, "left_semi"), keys, order, values, default)
+    return cold.unionByName(cut)
+
+
+def _lag(df, keys, order, values, default) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumns({new: F.lag(col, 1, default).over(w) for new, col in values.items()})
 
 
 def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most rows / hot_rows of them."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     return counts.where(F.col("__n") > hot_rows).select(
-        *[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__hot")
+        *[F.col(k).alias(f"__hot_{k}") for k in keys]
     )
 
 
-def _same_keys(keys: Sequence[str]) -> Column:
-    out = F.lit(True)
-    for k in keys:
-        out = out & F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
-    return out
-
+def _lag_in_pieces(df, keys, order, values, default) -> DataFrame:
+    """Lag of keys too large for one task.
 
-def _add_previous_split(df, keys, order, values, default, hot_rows):
-    """Lag with hot keys cut into pieces that follow the order.
-
-    A piece is one value of the leading order column and, inside it, a range of the second order
-    column (by quantiles of the key) or of the row hash. A key has a bounded number of pieces per
-    leading value, so the pass over piece ends stays small. The end of the piece before is added
-    as one carrier row in front of a piece: no join, and one shuffle of the wide rows.
+    The piece numbers grow with the order: the leading order column, then a range of the second
+    one by the key's quantiles, then, where a range is a single value, the top bits of the row
+    hash. So a key has a bounded number of pieces per leading value, and the pass over the piece
+    ends stays small. The end of the piece before enters as one carrier row in front of a piece.
     """
     columns = df.columns
-    head = order[0]
-    hot = _hot_keys(df, keys, hot_rows)
-    if len(order) > 1:
-        shares = [i / 2**PIECE_BITS for i in range(1, 2**PIECE_BITS)]
-        marks = F.percentile_approx(F.col(order[1]), shares, 2 ** (PIECE_BITS + 2))
-        hot = (
-            df.join(F.broadcast(hot), _same_keys(keys))
-            .groupBy(*[f"__hot_{k}" for k in keys], "__hot")
-            .agg(marks.alias("__marks"))
-        )
-        cut = F.size(F.filter(F.col("__marks"), lambda m: m < F.col(order[1])))
+    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
+    rows = rows.withColumn("__hash", F.xxhash64(*columns))
+    by_hash = F.shiftright("__hash", 56)
+    if len(order) == 1:
+        rows = rows.withColumns({"__range": F.lit(0), "__part": by_hash})
     else:
-        cut = F.shiftright(F.col("__hash"), 64 - PIECE_BITS).cast("int")
-    is_hot = F.coalesce(F.col("__hot"), F.lit(False))
-    tagged = (
-        df.withColumn("__hash", F.xxhash64(*columns))
-        .join(F.broadcast(hot), _same_keys(keys), "left")
-        .select(
-            *columns,
-            "__hash",
-            is_hot.alias("__is_hot"),
-            F.when(is_hot, F.col(head)).alias("__head"),
-            F.when(is_hot, cut).alias("__piece"),
-            F.struct(*[F.col(c).alias(new) for new, c in values.items()]).alias("__vals"),
-        )
-    )
-    piece = [*keys, "__head", "__piece"]
-    position = F.struct(*order, "__hash")
-    ends = tagged.where("__is_hot").groupBy(*piece).agg(F.max_by("__vals", position).alias("__end"))
-    by_key = Window.partitionBy(*keys).orderBy(*_order_columns(["__head", "__piece"]))
+        rows = _with_ranges(rows, keys, order[1], by_hash)
+    piece = [*keys, order[0], "__range", "__part"]
+    own = F.struct(*[F.col(c).alias(new) for new, c in values.items()])
+    position = F.struct(*order, "__hash", F.struct(*columns))
+    ends = rows.groupBy(*piece).agg(F.max_by(own, position).alias("__end"))
+    by_key = Window.partitionBy(*keys).orderBy(*_order_columns([order[0], "__range", "__part"]))
     carriers = (
-        ends.withColumn("__vals", F.lag("__end").over(by_key))
-        .where(F.col("__vals").isNotNull())
-        .select(*piece, "__vals", F.lit(True).alias("__carrier"))
+        ends.withColumn("__own", F.lag("__end").over(by_key))
+        .where(F.col("__own").isNotNull())
+        .select(*piece, "__own", F.lit(True).alias("__carrier"))
     )
-    rows = tagged.withColumn("__carrier", F.lit(False)).unionByName(
+    both = rows.withColumns({"__own": own, "__carrier": F.lit(False)}).unionByName(
         carriers, allowMissingColumns=True
     )
     within = Window.partitionBy(*piece).orderBy(
-        F.col("__carrier").desc(), *_order_columns([*order, "__hash"])
+        F.col("__carrier").desc(), *_order_columns([*order, "__hash", *columns])
     )
+    lagged = both.withColumn("__before", F.lag("__own").over(within)).where(~F.col("__carrier"))
     before = F.col("__before")
-    filled = {
+    first = {
         new: before.getField(new)
         if default is None
         else F.when(before.isNull(), F.lit(default)).otherwise(before.getField(new))
         for new in values
     }
-    return (
-        rows.withColumn("__before", F.lag("__vals").over(within))
-        .where(~F.col("__carrier"))
-        .withColumns(filled)
-        .select(*columns, *values)
+    one_each = lagged.withColumns(first).select(*columns, *values)
+    return one_each.unionByName(_other_copies(rows, columns, values))
+
+
+def _with_ranges(rows, keys, column, by_hash) -> DataFrame:
+    """Range number of ``column`` by the key's quantiles: odd for a quantile itself, even between."""
+    shares = [i / PIECES for i in range(1, PIECES)]
+    marks = rows.groupBy(*[F.col(k).alias(f"__m_{k}") for k in keys]).agg(
+        F.percentile_approx(column, shares, 4 * PIECES).alias("__marks")
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in keys])
+    # One row per hot key.
+    marked = rows.join(F.broadcast(marks), same).drop(*[f"__m_{k}" for k in keys])
+    x = F.col(column)
+    below = F.size(F.filter("__marks", lambda m: m < x))
+    at_mark = F.coalesce(F.array_contains("__marks", x), F.lit(False))
+    number = F.when(x.isNull(), -1).otherwise(2 * below + at_mark.cast("int"))
+    return marked.withColumns(
+        {"__range": number, "__part": F.when(at_mark | x.isNull(), by_hash).otherwise(0)}
+    ).drop("__marks")
+
+
+def _other_copies(rows, columns, values) -> DataFrame:
+    """All but one of identical rows: each follows a row like itself.
+
+    They are written out in chunks spread over tasks.
+    """
+    left = F.col("__copies") - 1
+    chunks = F.sequence(F.lit(1).cast("long"), F.ceil(left / COPIES_PER_TASK))
+    spread = (
+        rows.where(left > 0)
+        .select(*columns, left.alias("__left"), F.explode(chunks).alias("__chunk"))
+        .repartition("__chunk", *columns)
+    )
+    size = F.least(
+        F.lit(COPIES_PER_TASK).cast("long"),
+        F.col("__left") - (F.col("__chunk") - 1) * COPIES_PER_TASK,
     )
+    copies = spread.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+    return copies.select(*columns, *[F.col(c).alias(new) for new, c in values.items()])
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:

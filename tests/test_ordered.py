@@ -63,6 +63,16 @@ def test_ties_form_one_chain_whatever_the_split(spark):
         assert len(firsts) == 1
 
 
+def test_identical_rows_follow_one_another(spark):
+    rows = [("k", date(2020, 1, 1), 1, "a")] * 30 + [("k", date(2020, 2, 1), 1, "b")] * 50
+    rows += [("k", date(2020, 2, 1), None, "n")] * 20 + [("other", None, None, "o")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    expected = by_hand(rows)
+    for hot in (10**9, 10):
+        got = add_previous(frame, ["k"], ["m", "s"], {"p": "v"}, hot_rows=hot)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == expected
+
+
 def test_delta_with_a_hot_account(spark):
     rows = [(1, date(2020, 1 + i % 12, 1), i, float(i * i % 17)) for i in range(300)] + [(2, date(2020, 1, 1), 1, 5.0)]
     frame = spark.createDataFrame(rows, "a int, m date, s int, v double")
