@@ -44,18 +44,15 @@ def exact_or_latest(
     key: str,
     at: str,
     history_at: str,
-    exact_where: Column | None = None,
 ) -> DataFrame:
     """Per row the history row of exactly that date, else the key's latest history row.
 
     Two equi joins against one row per (key, date) and one row per key, so no OR condition and
-    no ranking of candidates is needed. ``exact_where`` narrows the history to the dates that
-    occur in ``df``.
+    no ranking of candidates is needed.
     """
     values = [c for c in history.columns if c not in (key, history_at)]
     known = history.where(F.col(key).isNotNull())
-    dated = known if exact_where is None else known.where(exact_where)
-    exact = latest_per(dated, [key, history_at], F.col(history_at)).select(
+    exact = latest_per(known, [key, history_at], F.col(history_at)).select(
         F.col(key).alias("__xk"), F.col(history_at).alias("__xd"), F.struct(*values).alias("__x")
     )
     latest = latest_per(known, [key], F.col(history_at)).select(

@@ -41,9 +41,31 @@ def account_history(gold: DataFrame, unique_months: bool = False) -> DataFrame:
     )
 
 
+def _moved_to_field(since: date):
+    moved_in = (F.col("status_migrado") == B.MIGRATED) & (F.col("canal_conta") == "Field")
+    return moved_in & (F.col("mes_base") >= F.lit(since))
+
+
 def moved_to_field(history: DataFrame, since: date = TRANSFER_SINCE) -> DataFrame:
-    hits = (F.col("status_migrado") == B.MIGRATED) & (F.col("canal_conta") == "Field")
-    return history.where(hits & (F.col("mes_base") >= F.lit(since))).select("advertiser_id").distinct()
+    return history.where(_moved_to_field(since)).select("advertiser_id").distinct()
+
+
+def account_facts(history: DataFrame, months: Sequence[date], since: date) -> DataFrame:
+    """Per account the latest row, the row of each given month and the transfer mark.
+
+    One aggregate over the history. After the bounded lag it needs no shuffle of its own.
+    """
+    row = F.struct(*[c for c in history.columns if c not in ("advertiser_id", "mes_base")])
+    at = [F.max_by(row, F.when(F.col("mes_base") == F.lit(m), row)) for m in months]
+    return (
+        history.where(F.col("advertiser_id").isNotNull())
+        .groupBy("advertiser_id")
+        .agg(
+            F.max_by(row, F.struct("mes_base", row)).alias("__latest"),
+            F.coalesce(F.bool_or(_moved_to_field(since)), F.lit(False)).alias("__listed"),
+            *[a.alias(f"__at_{k}") for k, a in enumerate(at)],
+        )
+    )
 
 
 def payment_months(as_of: date) -> list[date]:
@@ -79,13 +101,18 @@ def cb_pagamentos(
         paid = paid.where(c("mes_pago").isin(kept))
     if not per_payment:
         paid = first_per(paid, ["advertiser_id", "mes_pago"], F.lit(0))
-    at_month = None if kept is None else c("mes_base").isin(kept)
-    rows = exact_or_latest(
-        paid,
-        history.withColumnRenamed("status_migrado", "__migrated"),
-        "advertiser_id", "mes_pago", "mes_base", at_month,
-    )
-    rows = add_member_flag(rows, "advertiser_id", moved_to_field(history, transfer_since), "__listed")
+    if kept is None:
+        rows = exact_or_latest(paid, history, "advertiser_id", "mes_pago", "mes_base")
+        listed = moved_to_field(history, transfer_since)
+        rows = add_member_flag(rows, "advertiser_id", listed, "__listed")
+    else:
+        facts = account_facts(history, kept, transfer_since)
+        joined = paid.join(facts, "advertiser_id", "left")
+        exact = [F.when(c("mes_pago") == F.lit(m), c(f"__at_{k}")) for k, m in enumerate(kept)]
+        chosen = F.coalesce(*exact, c("__latest"))
+        rows = joined.withColumn("__listed", F.coalesce("__listed", F.lit(False))).select(
+            *paid.columns, "__listed", chosen.alias("__row")
+        ).select(*paid.columns, "__listed", "__row.*")
     text_date = lambda name: D.show_date(D.read_date(c(name))).alias(name)
     filled = [F.coalesce(c(a), F.lit(0)) for a in AMOUNTS]
     channel, coordinator = c("canal_conta"), c("cordenador")
@@ -103,7 +130,7 @@ def cb_pagamentos(
         "regionalizacao",
         c("estado").alias("uf"),
         "tamanho",
-        F.coalesce(c("__migrated"), F.lit(B.NO)).alias("status_migrado"),
+        F.coalesce(c("status_migrado"), F.lit(B.NO)).alias("status_migrado"),
         B.yes_no((channel == "Field") & c("__listed")).alias("id_migracao_pro_field"),
         B.payment_team(channel, coordinator).alias("coordenador_ajustado"),
         "aux_canal_out",
