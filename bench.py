@@ -1,7 +1,7 @@
 """Times every derived table from stored source tables; prints one JSON line.
 
 Sources are written once, untimed, with the declared types. Each table is then built and fully
-computed from its stored inputs, twice, and the better time counts (the first run also compiles).
+computed from its stored inputs three times, and the best time counts (the first run also compiles).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from checks import fixtures as X
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 SOURCES = {
     "gold": schemas.GOLD,
     "silver_cb": schemas.SILVER_CB,

@@ -1,4 +1,9 @@
-"""Business columns of the revenue model (regions, size bands, teams, flags)."""
+"""Business columns of the revenue model (regions, size bands, teams, flags).
+
+``*_of`` variants and ``number=`` take columns that are cleaned already. Table builders put the
+cleaned columns in a projection of their own, so each is computed once per row and not once per
+branch of a CASE.
+"""
 
 from __future__ import annotations
 
@@ -31,13 +36,16 @@ PAYMENT_REGION_ALIASES = {"RJ+MG+ES": "RJ", "N+NE+CO": "NE"}
 
 
 def region(state: Column, city: Column) -> Column:
-    code = T.clean_upper(state)
+    return region_of(T.clean_upper(state), T.clean_upper(city))
+
+
+def region_of(code: Column, city: Column) -> Column:
+    """Region of an already cleaned state code and city name."""
     out = F.when(F.coalesce(code, F.lit("")) == "", "")
     for name, states in REGION_STATES.items():
         out = out.when(code.isin(*states), name)
-    in_city = F.coalesce(T.clean_upper(city) == CAPITAL_CITY, F.lit(False))
-    out = out.when((code == CAPITAL_STATE) & in_city, CAPITAL)
-    return out.when(code == CAPITAL_STATE, CAPITAL_REST).otherwise(OTHER_REGION)
+    capital = (code == CAPITAL_STATE) & F.coalesce(city == CAPITAL_CITY, F.lit(False))
+    return out.when(capital, CAPITAL).when(code == CAPITAL_STATE, CAPITAL_REST).otherwise(OTHER_REGION)
 
 
 def size_band(number: Column) -> Column:
@@ -48,13 +56,15 @@ def size_band(number: Column) -> Column:
     return out.otherwise(SIZE_ABOVE)
 
 
-def adjusted_size(package: Column, size: Column) -> Column:
-    banded = F.coalesce(size_band(T.first_number(package)), size, F.lit(""))
+def adjusted_size(package: Column, size: Column, number: Column | None = None) -> Column:
+    number = T.first_number(package) if number is None else number
+    banded = F.coalesce(size_band(number), size, F.lit(""))
     return F.when(T.mentions(package, "inser"), F.coalesce(size, package)).otherwise(banded)
 
 
-def official_size(package: Column, null_as: str | None = None) -> Column:
-    return F.coalesce(size_band(T.first_number(package)), F.lit(null_as))
+def official_size(package: Column, null_as: str | None = None, number: Column | None = None) -> Column:
+    number = T.first_number(package) if number is None else number
+    return F.coalesce(size_band(number), F.lit(null_as))
 
 
 def fold_smallest(size: Column) -> Column:
@@ -67,12 +77,13 @@ def team(channel: Column, coordinator: Column, online: str, nd: str) -> Column:
 
     Channels are matched whatever their case and outer blanks.
     """
-    name = T.clean_upper(channel)
-    return (
-        F.when(name == "ONLINE", online)
-        .when(name == "ND", nd)
-        .otherwise(F.coalesce(T.clean_upper(coordinator), F.lit("")))
-    )
+    return team_of(T.clean_upper(channel), T.clean_upper(coordinator), online, nd)
+
+
+def team_of(channel: Column, coordinator: Column, online: str, nd: str) -> Column:
+    """Team of already cleaned names."""
+    named = F.coalesce(coordinator, F.lit(""))
+    return F.when(channel == "ONLINE", online).when(channel == "ND", nd).otherwise(named)
 
 
 def payment_team(channel: Column, coordinator: Column) -> Column:

@@ -47,11 +47,18 @@ def revenue_rows(enriched: DataFrame) -> DataFrame:
 
 def plan_rows(plans: DataFrame) -> DataFrame:
     rows = latest_snapshot(plans)
-    channel = c("canal").cast("string")
-    return rows.select(
-        channel.alias("canal"),
-        B.team(channel, c("coordenador_conta"), "ONLINE", "ND").alias("equipe"),
-        B.region(c("estado_conta"), c("cidade_conta")).alias("reg"),
+    cleaned = rows.withColumns(
+        {
+            "__channel": T.clean_upper(c("canal")),
+            "__state": T.clean_upper(c("estado_conta")),
+            "__city": T.clean_upper(c("cidade_conta")),
+        }
+    )
+    person = T.clean_upper(c("coordenador_conta"))
+    return cleaned.select(
+        c("canal").cast("string").alias("canal"),
+        B.team_of(c("__channel"), person, "ONLINE", "ND").alias("equipe"),
+        B.region_of(c("__state"), c("__city")).alias("reg"),
         B.fold_smallest(c("tamanho").cast("string")).alias("tam"),
         c("competencia").cast("date").alias("competencia"),
         c("mes_churn").cast("date").alias("mes_churn"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cascata.functions import business as B
 from cascata.functions import dates as D
+from cascata.functions import text as T
 from cascata.operators.lookups import add_member_flag, exact_or_latest
 from cascata.operators.ordered import add_previous, first_per
 from cascata.sources.scans import latest_snapshot
@@ -31,10 +32,17 @@ def account_history(gold: DataFrame, unique_months: bool = False) -> DataFrame:
         default="inicio", bounded=unique_months,
     )
     c = F.col
-    is_moved = B.moved(c("classificacao"), c("__channel"), c("canal_conta"))
+    rows = rows.withColumns(
+        {
+            "__state": T.clean_upper(c("estado")),
+            "__city": T.clean_upper(c("municipio")),
+            "__moved": B.moved(c("classificacao"), c("__channel"), c("canal_conta")),
+        }
+    )
+    is_moved = c("__moved")
     return rows.select(
         "advertiser_id", "mes_base", "canal_conta", "cordenador", "estado", "tamanho",
-        B.region(c("estado"), c("municipio")).alias("regionalizacao"),
+        B.region_of(c("__state"), c("__city")).alias("regionalizacao"),
         B.migrated_label(is_moved).alias("status_migrado"),
         F.when(is_moved, c("__channel")).alias("aux_canal_out"),
         F.when(is_moved, c("__coordinator")).alias("aux_coord_out"),

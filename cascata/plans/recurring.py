@@ -17,15 +17,23 @@ DIMS = ("Canal", "Equipe", "Regiao_Macro", "Mes_Base", "Tamanho")
 def _plan_columns(plans: DataFrame, keys, order, online, nd, null_size, bounded) -> DataFrame:
     c = F.col
     rows = add_delta(latest_snapshot(plans), keys, order, "valor_mensal", bounded=bounded)
-    return rows.withColumns(
+    cleaned = rows.withColumns(
         {
-            "regionalizacao": B.region(c("estado_conta"), c("cidade_conta")),
-            "equipe_ajustada": B.team(c("canal"), c("coordenador_conta"), online, nd),
+            "__state": T.clean_upper(c("estado_conta")),
+            "__city": T.clean_upper(c("cidade_conta")),
+            "__channel": T.clean_upper(c("canal")),
             "numero_pacote": T.first_number(c("package_name")),
-            "classifica_up": B.delta_class(c("delta")),
-            "tamanho_oficial": B.official_size(c("package_name"), null_size),
         }
     )
+    person = T.clean_upper(c("coordenador_conta"))
+    return cleaned.withColumns(
+        {
+            "regionalizacao": B.region_of(c("__state"), c("__city")),
+            "equipe_ajustada": B.team_of(c("__channel"), person, online, nd),
+            "classifica_up": B.delta_class(c("delta")),
+            "tamanho_oficial": B.official_size(c("package_name"), null_size, c("numero_pacote")),
+        }
+    ).drop("__state", "__city", "__channel")
 
 
 def planos_periodicos(plans: DataFrame, bounded: bool = False) -> DataFrame:

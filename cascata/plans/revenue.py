@@ -65,10 +65,19 @@ def receita_enriquecida(
         rows = rows.join(listed, "advertiser_id", "left")
         size = F.coalesce(F.col("__size"), size)
     c = F.col
-    is_moved = B.moved(c("classificacao"), c("aux_canal_out"), c("canal_conta"))
+    rows = rows.withColumns(
+        {
+            "__state": T.clean_upper(c("estado")),
+            "__city": T.clean_upper(c("municipio")),
+            "__channel": T.clean_upper(c("canal_conta")),
+            "__number": T.first_number(c("pacote")),
+            "__moved": B.moved(c("classificacao"), c("aux_canal_out"), c("canal_conta")),
+        }
+    )
+    is_moved = c("__moved")
     return rows.select(
         *schemas.GOLD.fieldNames(),
-        B.region(c("estado"), c("municipio")).alias("regionalizacao"),
+        B.region_of(c("__state"), c("__city")).alias("regionalizacao"),
         B.one_if_paid(c("advertiser_id"), c("pago_mes_campanha")).alias("apoio_qtd_campanha"),
         B.one_if_paid(c("advertiser_id"), c("pago_mes_topo"), c("pago_mes_bairro")).alias(
             "apoio_qtd_sva"
@@ -76,8 +85,10 @@ def receita_enriquecida(
         B.dated_key(c("advertiser_id"), c("mes_base")).alias("id_e_data"),
         B.dated_key(c("advertiser_id"), c("ultimo_mes_pagamento")).alias("id_ajustado"),
         T.first_digits(c("pacote")).alias("tamanho_nr"),
-        B.adjusted_size(c("pacote"), size).alias("tamanho_ajustado"),
-        B.team(c("canal_conta"), c("cordenador"), "ONLINE", "ND").alias("coordenador_ajustado"),
+        B.adjusted_size(c("pacote"), size, c("__number")).alias("tamanho_ajustado"),
+        B.team_of(c("__channel"), T.clean_upper(c("cordenador")), "ONLINE", "ND").alias(
+            "coordenador_ajustado"
+        ),
         B.migrated_label(is_moved).alias("status_migrado"),
         "aux_canal_out",
         "aux_coord_out",
