@@ -252,7 +252,7 @@ def f20(i):
         c("uniqueopportunityidentifier__c").alias("id"),
         F.round("amount", 0).alias("rounded"), F.round(-c("amount"), 0).alias("rounded_back"),
         (c("amount") * -1).alias("negative"), stamp.alias("stamp"),
-        F.floor(stamp / 10000).alias("y"), (gap < F.greatest(F.lit(150000 * 0.05), F.lit(1.0))).alias("near"),
+        F.floor(stamp / 10000).cast("int").alias("y"), (gap < F.greatest(F.lit(150000 * 0.05), F.lit(1.0))).alias("near"),
     )
 
 
