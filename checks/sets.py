@@ -11,7 +11,7 @@ from cascata.operators.lookups import (
 )
 from cascata.operators.ordered import add_delta, add_previous, first_per, latest_per
 from cascata.operators.waterfall import ONE, Metric, Part, Role, Source, Waterfall
-from cascata.plans import chain, daily, grids, recurring, revenue
+from cascata.plans import chain, daily, grids
 from cascata.sources import scans
 from checks import fixtures as X
 from checks import sql_parts as S
