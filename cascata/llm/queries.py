@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from cascata.llm import (
     common,
+    decontamination,
+    line_dedup,
     quality_classifier,
     quality_rules,
     sentencepiece_codec,
     sharding,
+    simhash,
     toxicity,
     url_filters,
+    warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +118,105 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM hits WHER
 )
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge_pages(table(spark, folder, "pages"), URL_RULES)
+
+
+@query("op4_simhash")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents"), 3, 2)
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("_d")
+
+
+@query("op6_line_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(documents, counts=True)
+
+
+def crawl_records(pages: DataFrame) -> DataFrame:
+    """A crawl read off the pages table: a full response a page, and a later revisit of its url.
+
+    Page p is fetched in minute p and asked for again a day later. Of five revisits one brings another
+    entity tag, one has only a date, one has no validator, and one comes before the page was fetched.
+    """
+    kind = F.col("page_id") % 5
+    tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
+    made = F.col("page_id") * 60
+
+    def headers(*pairs):
+        return F.map_from_arrays(F.array(*[F.lit(k) for k, _ in pairs]), F.array(*[v for _, v in pairs]))
+
+    response = F.struct(
+        (F.col("page_id") * 2).alias("record_id"), "url", made.alias("at"), F.lit("response").alias("kind"),
+        headers(
+            ("content-type", F.lit("text/html")), ("date", made.cast("string")), ("etag", tag),
+            ("last-modified", made.cast("string")), ("set-cookie", F.lit("a=1")),
+        ).alias("headers"),
+        F.md5(F.coalesce("html", F.lit(""))).alias("digest"),
+    )
+    seen = F.when(kind == 3, made - 60).otherwise(made + 86400)
+    date = ("date", seen.cast("string"))
+    revisit = F.struct(
+        (F.col("page_id") * 2 + 1).alias("record_id"), "url", seen.alias("at"), F.lit("revisit").alias("kind"),
+        F.when(kind == 0, headers(date, ("etag", F.lit('"other"'))))
+        .when(kind == 1, headers(date, ("last-modified", made.cast("string")), ("set-cookie", F.lit("b=2"))))
+        .when(kind == 2, headers(date))
+        .otherwise(headers(date, ("etag", F.concat(F.lit("W/"), tag)), ("server", F.lit("x")))).alias("headers"),
+        F.lit(None).cast("string").alias("digest"),
+    )
+    return pages.select(F.explode(F.array(response, revisit)).alias("r")).select("r.*")
+
+
+@query(
+    "op8_warc_revisits",
+    r"""
+WITH bare AS (
+  SELECT page_id, md5(coalesce(html, '')) AS h,
+    regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '') AS b
+  FROM pages WHERE url IS NOT NULL),
+keyed AS (
+  SELECT page_id, h,
+    regexp_replace(regexp_replace(lower(regexp_extract(b, '^([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1), '/+$', '')
+    || CASE WHEN len(list_filter(string_split(regexp_extract(b, '\?(.*)$', 1), '&'),
+         p -> p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))) > 0
+       THEN '?' || array_to_string(list_sort(list_filter(string_split(regexp_extract(b, '\?(.*)$', 1), '&'),
+         p -> p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))), '&') ELSE '' END AS u
+  FROM bare),
+seen AS (
+  SELECT page_id, h, u, page_id * 60 AS made,
+    CASE WHEN page_id % 5 = 3 THEN page_id * 60 - 60 ELSE page_id * 60 + 86400 END AS at FROM keyed),
+found AS (
+  SELECT v.page_id, v.u, v.at, v.h, v.made, r.page_id AS p, r.h AS ph, r.made AS pm,
+    row_number() OVER (PARTITION BY v.page_id ORDER BY r.made DESC NULLS LAST, r.page_id DESC) AS k
+  FROM seen v LEFT JOIN seen r ON v.u = r.u AND r.made < v.at),
+judged AS (
+  SELECT *, CASE WHEN p IS NULL THEN 'no_response'
+    WHEN page_id % 5 = 0 THEN 'changed'
+    WHEN page_id % 5 = 1 THEN CASE WHEN made = pm THEN 'resolved' ELSE 'changed' END
+    WHEN page_id % 5 = 2 THEN 'unchecked'
+    WHEN h = ph THEN 'resolved' ELSE 'changed' END AS status
+  FROM found WHERE k = 1)
+SELECT page_id * 2 + 1 AS record_id, u AS url, at, status, p * 2 AS response_id,
+  CASE WHEN status = 'resolved' THEN ph END AS digest,
+  CASE WHEN status = 'resolved' THEN 'content-type=text/html;date=' || at || ';etag='
+    || CASE WHEN page_id % 5 = 1 THEN '"' || ph || '"' ELSE 'W/"' || h || '"' END
+    || ';last-modified=' || pm || ';set-cookie=a=1' END AS headers
+FROM judged
+""",
+)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve(crawl_records(table(spark, folder, "pages")))
+    shown = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return found.withColumn("headers", F.array_join(shown, ";"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
