@@ -183,17 +183,17 @@ keyed AS (
     regexp_replace(regexp_replace(lower(regexp_extract(b, '^([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '')
     || regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1), '/+$', '')
     || CASE WHEN len(list_filter(string_split(regexp_extract(b, '\?(.*)$', 1), '&'),
-         p -> p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))) > 0
+         lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))) > 0
        THEN '?' || array_to_string(list_sort(list_filter(string_split(regexp_extract(b, '\?(.*)$', 1), '&'),
-         p -> p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))), '&') ELSE '' END AS u
+         lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))), '&') ELSE '' END AS u
   FROM bare),
 seen AS (
   SELECT page_id, h, u, page_id * 60 AS made,
-    CASE WHEN page_id % 5 = 3 THEN page_id * 60 - 60 ELSE page_id * 60 + 86400 END AS at FROM keyed),
+    CASE WHEN page_id % 5 = 3 THEN page_id * 60 - 60 ELSE page_id * 60 + 86400 END AS "at" FROM keyed),
 found AS (
-  SELECT v.page_id, v.u, v.at, v.h, v.made, r.page_id AS p, r.h AS ph, r.made AS pm,
+  SELECT v.page_id, v.u, v."at", v.h, v.made, r.page_id AS p, r.h AS ph, r.made AS pm,
     row_number() OVER (PARTITION BY v.page_id ORDER BY r.made DESC NULLS LAST, r.page_id DESC) AS k
-  FROM seen v LEFT JOIN seen r ON v.u = r.u AND r.made < v.at),
+  FROM seen v LEFT JOIN seen r ON v.u = r.u AND r.made < v."at"),
 judged AS (
   SELECT *, CASE WHEN p IS NULL THEN 'no_response'
     WHEN page_id % 5 = 0 THEN 'changed'
@@ -201,9 +201,9 @@ judged AS (
     WHEN page_id % 5 = 2 THEN 'unchecked'
     WHEN h = ph THEN 'resolved' ELSE 'changed' END AS status
   FROM found WHERE k = 1)
-SELECT page_id * 2 + 1 AS record_id, u AS url, at, status, p * 2 AS response_id,
+SELECT page_id * 2 + 1 AS record_id, u AS url, "at", status, p * 2 AS response_id,
   CASE WHEN status = 'resolved' THEN ph END AS digest,
-  CASE WHEN status = 'resolved' THEN 'content-type=text/html;date=' || at || ';etag='
+  CASE WHEN status = 'resolved' THEN 'content-type=text/html;date=' || "at" || ';etag='
     || CASE WHEN page_id % 5 = 1 THEN '"' || ph || '"' ELSE 'W/"' || h || '"' END
     || ';last-modified=' || pm || ';set-cookie=a=1' END AS headers
 FROM judged
