@@ -145,7 +145,10 @@ def removed_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS, counts: bool = False) -> DataFrame:
     """The documents with later copies of line runs removed from ``text``; ``counts`` adds two numbers."""
     removed = removed_lines(documents, min_words).withColumnsRenamed({"_d": "_rd", "removed": "_rm"})
-    joined = documents.withColumn("_d", number_of(documents)).join(removed, F.col("_d") == F.col("_rd"), "left")
+    # Always by shuffling, so that disk and time grow evenly and no list of documents is broadcast.
+    joined = documents.withColumn("_d", number_of(documents)).join(
+        removed.hint("merge"), F.col("_d") == F.col("_rd"), "left"
+    )
     # Two uses of the split lines in one select keep Spark from splitting again for every line.
     joined = joined.withColumn("_lines", F.split("text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_rm"))
