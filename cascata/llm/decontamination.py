@@ -97,7 +97,8 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = store(named_items(benchmark), "items")
     hits = store(alignments(documents, items), "hits")
     texts = named_documents(documents.select("doc_id", "text"))
-    found = texts.join(hits, "_d").join(items, "_i")
+    # By shuffling at every size: hit lists grow with the documents.
+    found = texts.join(hits.hint("merge"), "_d").join(items, "_i")
     size = F.size("_iw")
     aligned = found.withColumn("_w", words_of(F.col("text"))).select(
         "doc_id", "item_id", "_d", "_i", "_at", size.alias("_n"), F.size("_w").alias("_words"),
@@ -130,4 +131,4 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that overlap no item."""
     dirty = store(overlaps(documents, benchmark).select("_d").distinct(), "dirty")
-    return named_documents(documents).join(dirty, "_d", "left_anti").drop("_d")
+    return named_documents(documents).join(dirty.hint("merge"), "_d", "left_anti").drop("_d")

@@ -328,7 +328,7 @@ def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8
     pairs = store(candidates(nodes, radius, words, within=12 * words), "pairs")
     wanted = pairs.select(F.col("a").alias("_h1")).union(pairs.select(F.col("b"))).distinct()
     sets = store(
-        texts.join(wanted, "_h1", "left_semi").select(F.col("_h1").alias("node"), shingle_set(F.col("text"), width).alias("set"))
+        texts.join(wanted.hint("merge"), "_h1", "left_semi").select(F.col("_h1").alias("node"), shingle_set(F.col("text"), width).alias("set"))
         .groupBy("node").agg(F.first("set").alias("set")), "sets",
     )
     same = F.arrow_udf(jaccard, "double")
@@ -356,9 +356,8 @@ def keep_one(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> D
         .select(F.col("_c._h1").alias("_kh"), F.col("_c.doc_id").alias("_kid"))
     )
     chosen = store(chosen, "chosen")
-    named = documents.withColumn("_h", text_key(F.col("text"))[0]).withColumn("_n", F.monotonically_increasing_id())
-    kept = named.join(chosen, (F.col("_h") == F.col("_kh")) & F.col("doc_id").eqNullSafe(F.col("_kid")))
-    # Rows that repeat a kept document: the first in reading order, found without moving their texts.
-    written = store(kept.drop("_kh", "_kid"), "kept")
-    first = written.groupBy("_h", "doc_id").agg(F.min("_n").alias("_first")).select("_first")
-    return written.join(first, F.col("_n") == F.col("_first"), "left_semi").drop("_h", "_n")
+    number = F.xxhash64("doc_id", "_h")
+    chosen = chosen.select(F.xxhash64("_kid", "_kh").alias("_k"))
+    named = documents.withColumn("_h", text_key(F.col("text"))[0]).withColumn("_k", number)
+    # The join has rows of one document together, so dropping repeats moves nothing again.
+    return named.join(chosen.hint("merge"), "_k", "left_semi").dropDuplicates(["_k"]).drop("_h", "_k")
