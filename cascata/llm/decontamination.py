@@ -99,12 +99,17 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = named_documents(documents.select("doc_id", "text"))
     # By shuffling at every size: hit lists grow with the documents.
     found = texts.join(hits.hint("merge"), "_d").join(items, "_i")
-    size = F.size("_iw")
-    aligned = found.withColumn("_w", words_of(F.col("text"))).select(
-        "doc_id", "item_id", "_d", "_i", "_at", size.alias("_n"), F.size("_w").alias("_words"),
-        F.transform(
-            "_iw", lambda w, j: F.coalesce((w == F.get("_w", j + F.col("_at"))).cast("int"), F.lit(0))
-        ).alias("_ok"),
+    # The words go in as an argument, not into a function: there Spark would cut the text for each word.
+    lead = F.greatest(-F.col("_at"), F.lit(0))
+    beside = F.slice(words_of(F.col("text")), F.greatest(F.col("_at"), F.lit(0)) + 1, F.size("_iw") - lead)
+    agree = F.zip_with(
+        F.slice("_iw", lead + 1, F.size("_iw")), beside, lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))
+    )
+    aligned = store(
+        found.select(
+            "doc_id", "item_id", "_d", "_i", "_at", F.size("_iw").alias("_n"),
+            F.concat(F.array_repeat(F.lit(0), lead), agree).alias("_ok"),
+        ), "aligned",
     )
     width = F.least(F.col("_n"), F.lit(WINDOW))
     least = F.when(F.col("_n") < WINDOW, F.col("_n")).otherwise(F.lit(AGREE))
