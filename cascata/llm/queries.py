@@ -59,10 +59,9 @@ def piece_model() -> bytes:
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     model = piece_model()
-    encoded = table(spark, folder, "documents").select(
-        "doc_id", sentencepiece_codec.encode_column(F.col("text"), model).alias("ids")
-    )
-    decoded = encoded.withColumn("decoded", sentencepiece_codec.decode_column(F.col("ids"), model))
+    decoded = table(spark, folder, "documents").select(
+        "doc_id", sentencepiece_codec.coded_column(F.col("text"), model).alias("_c")
+    ).select("doc_id", "_c.*")
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -32,12 +32,12 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 MARK = "▁"
 CUT = "\ud800"  # in no valid text
-PARTS_KEPT = 500_000
-PAIRS_KEPT = 2_000_000
+PARTS_KEPT = 300_000
+PAIRS_KEPT = 500_000
 #: Before these a text is cut where no piece holds the two characters side by side.
 PUNCTUATION = ".,;:!?|*%&#$"
 #: Characters of texts that are cut into words at once, and of a word that goes with others.
-CHARACTERS = 4_000_000
+CHARACTERS = 500_000
 TOGETHER = 64
 _OPEN: dict[str, PieceModel] = {}
 
@@ -359,27 +359,52 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
+#: Texts that are encoded at a time, whatever the size of an Arrow batch.
+ROWS = 256
+
+
+def id_lists(codec: PieceModel, texts: pa.Array) -> pa.Array:
+    parts = codec.encode(texts.to_pylist())
+    offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))
+
+
+def texts_of(codec: PieceModel, ids: pa.Array) -> pa.Array:
+    flat, edges = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    return pa.array([codec.decode(flat[a:b].tolist()) for a, b in zip(edges[:-1], edges[1:])], pa.string())
+
+
+def sliced(texts: pa.Array, make, kind: pa.DataType) -> pa.Array:
+    found = [make(texts.slice(at, ROWS)) for at in range(0, len(texts), ROWS)]
+    return pa.concat_arrays(found) if found else pa.array([], kind)
+
+
 def encoder(model: bytes):
     @F.arrow_udf(ArrayType(IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
-        codec = opened(model)
-        parts = codec.encode(texts.to_pylist())
-        offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
-        values = np.frombuffer(b"".join(parts), dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        return sliced(texts, lambda part: id_lists(opened(model), part), pa.list_(pa.int32()))
 
     return encode
 
 
+def encoder_and_decoder(model: bytes):
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+    def both(part: pa.Array) -> pa.Array:
+        ids = id_lists(opened(model), part)
+        return pa.StructArray.from_arrays([ids, texts_of(opened(model), ids)], names=["ids", "decoded"])
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def encode_and_decode(texts: pa.Array) -> pa.Array:
+        return sliced(texts, both, kind)
+
+    return encode_and_decode
+
+
 def decoder(model: bytes):
     @F.arrow_udf(StringType())
     def decode(ids: pa.Array) -> pa.Array:
-        codec = opened(model)
-        flat = ids.values.to_numpy(zero_copy_only=False)
-        edges = ids.offsets.to_numpy()
-        return pa.array(
-            [codec.decode(flat[a:b].tolist()) for a, b in zip(edges[:-1], edges[1:])], pa.string()
-        )
+        return texts_of(opened(model), pa.concat_arrays([ids]))
 
     return decode
 
@@ -388,8 +413,13 @@ def encode_column(text: Column, model: bytes) -> Column:
     return encoder(model)(F.coalesce(text, F.lit("")))
 
 
+def coded_column(text: Column, model: bytes) -> Column:
+    """Ids, and the text decoded from them, in one pass through one worker."""
+    return encoder_and_decoder(model)(F.coalesce(text, F.lit("")))
+
+
 def decode_column(ids: Column, model: bytes) -> Column:
-    """Null ids give a null text only if the column is coalesced by the caller; here they give ""."""
+    """Null ids give the text ""."""
     return decoder(model)(F.coalesce(ids, F.array().cast("array<int>")))
 
 
