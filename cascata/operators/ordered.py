@@ -40,13 +40,12 @@ def add_previous(
     date. Rows that tie on it are ordered by a hash of the whole row, so the result does not
     depend on the partitioning. ``default`` fills the first row of a key.
     """
+    tie = F.xxhash64(*df.columns)
     if bounded:
-        return _lag(df, keys, _order_columns(order), values, default)
+        return _lag(df, keys, [*_order_columns(order), tie], values, default)
     match = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
-    # At most rows / hot_rows keys, so the broadcast stays small. With no hot key AQE drops the
-    # second scan.
-    hot, same = F.broadcast(_hot_keys(df, keys, hot_rows)), reduce(and_, match)
-    tie = F.xxhash64(*df.columns)
+    # With no hot key AQE drops the second scan.
+    hot, same = _hot_keys(df, keys, hot_rows), reduce(and_, match)
     cold = _lag(df.join(hot, same, "left_anti"), keys, [*_order_columns(order), tie], values, default)
     cut = _lag_in_pieces(df.join(hot, same, "left_semi"), keys, order, values, default)
     return cold.unionByName(cut)
@@ -115,8 +114,8 @@ def _with_ranges(rows, keys, column, by_hash) -> DataFrame:
         F.percentile_approx(column, shares, 4 * PIECES).alias("__marks")
     )
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in keys])
-    # One row per hot key.
-    marked = rows.join(F.broadcast(marks), same).drop(*[f"__m_{k}" for k in keys])
+    # One row per hot key; Spark measures it, and splits the hot side where it has to shuffle.
+    marked = rows.join(marks, same).drop(*[f"__m_{k}" for k in keys])
     x = F.col(column)
     below = F.size(F.filter("__marks", lambda m: m < x))
     at_mark = F.coalesce(F.array_contains("__marks", x), F.lit(False))

@@ -22,23 +22,28 @@ def totals(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
 def _sides(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     a = left.withColumnRenamed("value", "left_value")
     b = right.withColumnRenamed("value", "right_value")
-    return a.join(b, keys, how).withColumn("diff", F.col("right_value") - F.col("left_value"))
+    # Values are never null on their own side, so a null shows which side lacks the key.
+    both = a.fillna(0.0, ["left_value"]).join(b.fillna(0.0, ["right_value"]), keys, how)
+    lacking = F.when(F.col("left_value").isNull(), "left").when(F.col("right_value").isNull(), "right")
+    filled = both.withColumn("lacking", lacking).fillna(0.0, ["left_value", "right_value"])
+    return filled.withColumn("diff", F.col("right_value") - F.col("left_value"))
 
 
 def compare_totals(
     left: DataFrame, right: DataFrame, columns: Sequence[str], tolerance: float = 0.01
 ) -> DataFrame:
     """Per column both totals, their difference and whether it is under the tolerance."""
-    both = _sides(totals(left, columns), totals(right, columns), ["metric"], "inner")
+    both = _sides(totals(left, columns), totals(right, columns), ["metric"], "inner").drop("lacking")
     return both.withColumn("matches", F.abs("diff") < tolerance)
 
 
 def compare_groups(
-    left: DataFrame, right: DataFrame, keys: list[str], columns: Sequence[str], how: str = "inner"
+    left: DataFrame, right: DataFrame, keys: list[str], columns: Sequence[str], how: str = "full"
 ) -> DataFrame:
     """Per group and column both sums and the signed difference.
 
-    Groups that one side lacks are left out; ``how='full'`` lists them too.
+    A group that one side lacks counts as 0 there and ``lacking`` names the side; ``how='inner'`` leaves
+    such groups out. Null keys are groups of their own on either side.
     """
 
     def sums(df):
@@ -56,13 +61,16 @@ def compare_cells(
     share: float = 0.05,
     floor: float = 1.0,
 ) -> DataFrame:
-    """Cell by cell: difference below ``share`` of the left value, or below ``floor``."""
+    """Cell by cell: difference below ``share`` of the left value, or below ``floor``.
+
+    A cell that one side lacks counts as 0 there, and ``lacking`` names the side.
+    """
 
     def cells(df):
         cast = df.select(key, *[F.round(F.col(x).cast("double"), 0).alias(x) for x in columns])
         return cast.unpivot([key], list(columns), "metric", "value")
 
-    both = _sides(cells(left), cells(right), [key, "metric"], "inner")
+    both = _sides(cells(left), cells(right), [key, "metric"], "full")
     allowed = F.greatest(F.abs("left_value") * share, F.lit(floor))
     return both.withColumn("matches", F.abs("diff") < allowed)
 

@@ -104,7 +104,7 @@ def cb_pagamentos(
     paid = latest_snapshot(payments).select(
         "advertiser_id", "mes_pago", "status_ts", *AMOUNTS, "day_paid", "dt"
     )
-    kept = None if all_months else list(months or payment_months(as_of))
+    kept = None if all_months else list(payment_months(as_of) if months is None else months)
     if kept is not None:
         paid = paid.where(c("mes_pago").isin(kept))
     if not per_payment:

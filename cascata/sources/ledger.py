@@ -30,11 +30,8 @@ class Ledger:
         return self.spark.read.schema(SCHEMA).parquet(self.path)
 
     def is_first_load(self, table: str) -> bool:
-        """No successful load yet. An unreadable ledger counts as a first load."""
-        try:
-            return successes(self.read(), table).isEmpty()
-        except Exception:  # driver and executor errors alike
-            return True
+        """No successful load yet. A ledger that cannot be read fails: a first load overwrites."""
+        return successes(self.read(), table).isEmpty()
 
     def mark(
         self,

@@ -14,6 +14,8 @@ from cascata.sources.ledger import SKIPPED, Ledger
 
 HOURLY, DAILY, ALL = "hourly", "daily", "all"
 FULL, INCREMENTAL, BOOTSTRAP = "full", "incremental", "bootstrap"
+#: A month bootstrap takes historical tables only; others are left as they are.
+NOT_HISTORICAL = "not_historical"
 
 
 @dataclass(frozen=True)
@@ -37,10 +39,10 @@ def in_group(tables: list[SourceTable], group: str) -> list[SourceTable]:
 def choose_scan(table: SourceTable, first: bool, bootstrap: str | None = None) -> tuple[str, str]:
     """(scan, extraction type). The first rule that fits wins."""
     rules = (
-        (bool(bootstrap and table.partition), ("month_range", BOOTSTRAP)),
+        (bool(bootstrap and table.partition and table.historical), ("month_range", BOOTSTRAP)),
         (table.custom, ("custom", FULL)),
         (table.always_full and bool(table.partition), ("all_partitions", FULL)),
-        (table.use_max_dt, ("latest_snapshot", FULL)),
+        (table.use_max_dt, ("full", FULL)),
         (first or table.always_full, ("full", FULL)),
         (table.use_yesterday, ("previous_day", INCREMENTAL)),
         (True, ("partition_day", INCREMENTAL)),
@@ -80,6 +82,8 @@ def load(
     month: str | None = None,
 ) -> str:
     """Scan, store and record one source table. Gives the sink used, or the skip status."""
+    if month and not (table.historical and table.partition):
+        return NOT_HISTORICAL
     scan, kind = choose_scan(table, ledger.is_first_load(table.name), month)
     frame = read(source, table, scan, as_of, month)
     path = f"{folder.rstrip('/')}/{table.name}"

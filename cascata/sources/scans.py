@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -90,16 +92,28 @@ def date_of_file(path: Column) -> Column:
 
 
 def locale_csv(
-    spark: SparkSession, path: str, columns: list[str], day: str, numbers: list[str]
+    spark: SparkSession,
+    path: str,
+    columns: list[str],
+    day: str,
+    numbers: list[str],
+    titles: Sequence[str] = (),
 ) -> DataFrame:
     """Exported CSV with comma decimals and title lines above the data.
 
-    Lines above the data (titles, header) are those whose ``day`` column is not a date. They are
-    dropped by that rule, not by line number, so the files can be split.
+    Title lines are declared, not guessed: lines with nothing in them, lines that repeat the column
+    names, and lines whose first cell is one of ``titles`` and that hold nothing else. All others are
+    data and stay; an unreadable date becomes null, so ``day IS NULL`` counts them. The rule looks at
+    lines alone, so the files can be split.
     """
     schema = StructType([StructField(c, StringType()) for c in columns])
     raw = spark.read.schema(schema).csv(path, header=False, mode="PERMISSIVE")
-    parsed = raw.withColumns(
+    cells = F.array(*[F.coalesce(F.trim(F.lower(F.col(c))), F.lit("")) for c in columns])
+    others = F.array_distinct(F.slice(cells, 2, len(columns)))
+    alone = (F.size(F.array_remove(others, "")) == 0) & cells[0].isin("", *[t.strip().lower() for t in titles])
+    header = cells == F.array(*[F.lit(c.strip().lower()) for c in columns])
+    data = raw.withColumn("__title", alone | header).where(~F.col("__title"))
+    parsed = data.withColumns(
         {day: D.read_date(F.col(day)), **{n: T.locale_number(F.col(n)) for n in numbers}}
     )
-    return parsed.where(F.col(day).isNotNull())
+    return parsed.drop("__title")

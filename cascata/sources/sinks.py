@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import uuid
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,13 @@ from cascata.sources.scans import FILE_DATE
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared checkpoint folder; local only where none is set."""
+    """A new folder under the shared folder in ``spark.checkpoint.dir``.
+
+    Only a local session, whose executors see the driver's disk, may do without the setting.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not base:
         import tempfile
 
@@ -54,9 +61,13 @@ def overwrite_partition(df: DataFrame, path: str, column: str, day: date) -> Non
 
 
 def append_new(df: DataFrame, path: str, keys: list[str], partition_by: str | None = None) -> None:
-    """Append only rows whose keys the table does not hold yet: safe to run twice."""
-    held = df.sparkSession.read.parquet(path).select(*keys)
-    append(df.join(held, keys, "left_anti"), path, partition_by)
+    """Append one row for each key that the table does not hold yet: safe to run twice.
+
+    Null keys are keys like others. Of new rows with one key, one is appended.
+    """
+    held = df.sparkSession.read.parquet(path).select(*[F.col(k).alias(f"__held_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__held_{k}")) for k in keys])
+    append(df.dropDuplicates(keys).join(held, same, "left_anti"), path, partition_by)
 
 
 def file_date(name: str) -> str | None:

@@ -35,7 +35,7 @@ SELECT CAST(o_custkey AS STRING) AS advertiser_id, mes_base, CASE b%4 WHEN 0 THE
  CASE b%5 WHEN 0 THEN '' WHEN 1 THEN ' ana souza ' WHEN 2 THEN NULL WHEN 3 THEN 'BRUNO' ELSE 'CARLA' END AS cordenador, DATE '2001-08-01' AS dt FROM l
 """,
     "silver_cb": """
-SELECT advertiser_id, tamanho, pacote, estado, municipio, mes_base, status_ts, CAST(faturado_mes*0.9 AS DECIMAL(18,2)) AS pago_mes, classificacao, canal_conta, cordenador AS dono_conta, dt FROM gold WHERE canal_conta <> 'ND'
+SELECT advertiser_id, tamanho, pacote, estado, municipio, mes_base, status_ts, CAST(faturado_mes*0.9 AS DECIMAL(18,2)) AS pago_mes, classificacao, canal_conta, cordenador AS dono_conta, dt FROM gold
 """,
     "paids": """
 SELECT CAST(o_custkey AS STRING) AS advertiser_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS mes_pago, CASE WHEN l_linestatus='F' THEN '1-Paid' ELSE '2-Open' END AS status_ts,
@@ -65,7 +65,7 @@ SELECT CAST(o_custkey AS STRING) AS advertiser_id, CASE WHEN MIN(o_orderkey)%50=
  DATE '2001-08-01' AS dt FROM orders GROUP BY o_custkey, date_trunc('month', o_orderdate)
 """,
     "opportunity": """
-SELECT CAST(o_custkey AS STRING) AS accountid, CAST(o_orderkey%100 AS STRING) AS ownerid, o_orderpriority AS stagename, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+SELECT CAST(o_custkey AS STRING) AS accountid, CASE WHEN o_orderkey%10=0 THEN 'nobody' ELSE CAST(o_custkey%(SELECT MAX(s_suppkey)+1 FROM supplier) AS STRING) END AS ownerid, o_orderpriority AS stagename, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
  CASE o_orderkey%6 WHEN 0 THEN NULL WHEN 1 THEN '0' WHEN 2 THEN '0.0' WHEN 3 THEN '15.5' ELSE '100' END AS discountrecurringvalue__c, CAST(o_orderkey AS STRING) AS uniqueopportunityidentifier__c,
  2001 AS year, CASE WHEN o_orderkey%10=0 THEN 7 ELSE 8 END AS month, 1 AS day FROM orders
 """,
@@ -73,7 +73,7 @@ SELECT CAST(o_custkey AS STRING) AS accountid, CAST(o_orderkey%100 AS STRING) AS
 SELECT CAST(c_custkey AS STRING) AS id, CASE WHEN c_custkey%10=0 THEN '' WHEN c_custkey%10=1 THEN NULL WHEN c_custkey%10=2 THEN CONCAT('x', CAST(c_custkey AS STRING)) ELSE CAST(c_custkey AS STRING) END AS idorigin__c, c_name AS name, 2001 AS year, 8 AS month, 1 AS day FROM customer
 """,
     "crm_user": """
-SELECT CAST(s_suppkey AS STRING) AS id, s_name AS name, 2001 AS year, 8 AS month, 1 AS day FROM supplier WHERE s_suppkey < 90
+SELECT CAST(s_suppkey AS STRING) AS id, s_name AS name, 2001 AS year, 8 AS month, 1 AS day FROM supplier
 """,
 }
 BASE_TABLES = {
@@ -81,7 +81,7 @@ BASE_TABLES = {
     "paids": ("lineitem", "orders"),
     "planos": ("lineitem", "orders"),
     "radar": ("orders",),
-    "opportunity": ("orders",),
+    "opportunity": ("orders", "supplier"),
     "account": ("customer",),
     "crm_user": ("supplier",),
 }

@@ -346,18 +346,18 @@ def c13(i):
     return payments.moved_to_field(payments.account_history(i.gold, True), X.TRANSFER_SINCE)
 
 
-def payment_column(name: str, *columns: str):
+def payment_column(name: str, *columns: str, text: str = S.PAYMENTS, **options):
     @check(
         name,
         X.with_views("gold", "paids")
-        + f", {S.PAYMENTS} SELECT advertiser_id, mes_pago, {', '.join(columns)} FROM cb",
+        + f", {text} SELECT advertiser_id, mes_pago, {', '.join(columns)} FROM cb",
     )
     def build(i):
-        return i.payments().select("advertiser_id", "mes_pago", *columns)
+        return i.payments(**options).select("advertiser_id", "mes_pago", *columns)
 
 
-payment_column("C17_serial_key", "id_e_data")
-payment_column("C22_payment_coordinator", "coordenador", "canal")
+payment_column("C17_serial_key", "id_e_data", text=S.payments('TRUE'), all_months=True)
+payment_column("C22_payment_coordinator", "coordenador", "canal", text=S.payments('TRUE'), all_months=True)
 
 
 @check(

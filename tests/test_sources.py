@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Row
 
 from cascata import schemas
 from cascata.sources import ledger, modes, scans, sinks
@@ -98,10 +99,13 @@ def test_csv_scan_and_locale_csv(spark, folder):
     assert [tuple(r) for r in scans.csv_scan(spark, folder, schema).collect()] == [(1, "x"), (2, "y")]
     with pytest.raises(Exception):
         scans.csv_scan(spark, folder, schemas.declare("b int, a string")).collect()
-    lines = ["Report,,", "day,city,total", '01/06/2026,X,"1.234,50"', "2026-06-02,Y,n/d", ",,"]
+    lines = ["Report,,", "day,city,total", '01/06/2026,X,"1.234,50"', "2026-06-02,Y,n/d", ",,", "31/02/2026,Z,7", ",W,8"]
     spark.createDataFrame([(x,) for x in lines], "value string").write.text(folder + "2")
-    got = scans.locale_csv(spark, folder + "2", ["day", "city", "total"], "day", ["total"])
-    assert sorted(tuple(r) for r in got.collect()) == [(date(2026, 6, 1), "X", 1234.5), (date(2026, 6, 2), "Y", 0.0)]
+    got = scans.locale_csv(spark, folder + "2", ["day", "city", "total"], "day", ["total"], ["Report"])
+    assert sorted(map(str, got.collect())) == sorted(
+        str(Row(day=d, city=c, total=t))
+        for d, c, t in ((date(2026, 6, 1), "X", 1234.5), (date(2026, 6, 2), "Y", 0.0), (None, "Z", 7.0), (None, "W", 8.0))
+    )
 
 
 def test_ledger(spark, folder):
@@ -120,7 +124,8 @@ def test_choices():
     assert pick(t("a", "dt", historical=True), False, "2024-01") == ("month_range", "bootstrap")
     assert pick(t("a", custom=True), False, "2024-01") == ("custom", "full")
     assert pick(t("a", "dt", always_full=True), False) == ("all_partitions", "full")
-    assert pick(t("a", "dt", use_max_dt=True), True) == ("latest_snapshot", "full")
+    assert pick(t("a", "dt", use_max_dt=True), True) == ("full", "full")
+    assert pick(t("a", "dt"), True, "2024-01") == ("full", "full")
     assert pick(t("a", "dt"), True) == ("full", "full")
     assert pick(t("a", "dt"), False) == ("partition_day", "incremental")
     assert pick(t("a", "dt", use_yesterday=True), False) == ("previous_day", "incremental")

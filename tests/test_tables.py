@@ -162,12 +162,13 @@ def test_reconciliation(spark):
     (total,) = reconcile.compare_totals(a, b, ["v"]).collect()
     assert not total.matches and round(total.diff, 3) == 3.0
     groups = {r.k: round(r.diff, 3) for r in reconcile.compare_groups(a, b, ["k"], ["v"]).collect()}
-    assert groups == {"x": 0.004, "y": 4.0}
-    assert reconcile.compare_groups(a, b, ["k"], ["v"], how="full").count() == 3
+    assert groups == {"x": 0.004, "y": 4.0, "only": -1.0}
+    assert reconcile.compare_groups(a, b, ["k"], ["v"], how="inner").count() == 2
+    assert {r.k: r.lacking for r in reconcile.compare_cells(a, b, "k", ["v"]).collect()} == {"x": None, "y": None, "only": "right"}
     cells = {r.k: r.matches for r in reconcile.compare_cells(a, b, "k", ["v"]).collect()}
-    assert cells == {"x": True, "y": True}
+    assert cells == {"x": True, "y": True, "only": False}
     cells = {r.k: r.matches for r in reconcile.compare_cells(a, b, "k", ["v"], share=0.01).collect()}
-    assert cells == {"x": True, "y": False}
+    assert cells == {"x": True, "y": False, "only": False}
 
 
 def test_plans_have_no_cross_or_nested_loop_join(spark):
