@@ -43,6 +43,13 @@ def ship(spark: SparkSession) -> None:
     context._llm_shipped = True
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def store(df: DataFrame, label: str = "part") -> DataFrame:
     """Write ``df`` to a new folder among the shared ones and read it back, which cuts its lineage."""
     spark = df.sparkSession

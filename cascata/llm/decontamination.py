@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cascata.llm.common import store, text_key
+from cascata.llm.common import spare, store, text_key
 
 WINDOW, AGREE = 12, 10
 MASKS = ((0, 1, 3, 4, 5), (0, 1, 4, 6, 7))
@@ -136,4 +136,6 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that overlap no item."""
     dirty = store(overlaps(documents, benchmark).select("_d").distinct(), "dirty")
-    return named_documents(documents).join(dirty.hint("merge"), "_d", "left_anti").drop("_d")
+    name = spare(documents, "_d")
+    named = documents.withColumn(name, F.xxhash64("doc_id", *text_key(F.col("text"))))
+    return named.join(dirty.withColumnRenamed("_d", name).hint("merge"), name, "left_anti").drop(name)

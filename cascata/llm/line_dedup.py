@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cascata.llm.common import BLANK, release, store, text_key
+from cascata.llm.common import BLANK, release, spare, store, text_key
 
 MIN_WORDS = 50
 
@@ -144,18 +144,18 @@ def removed_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
 
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS, counts: bool = False) -> DataFrame:
     """The documents with later copies of line runs removed from ``text``; ``counts`` adds two numbers."""
-    removed = removed_lines(documents, min_words).withColumnsRenamed({"_d": "_rd", "removed": "_rm"})
+    removed = removed_lines(documents, min_words)
+    number, gone, lines = (spare(documents, n) for n in ("_number", "_gone", "_lines"))
     # Always by shuffling, so that disk and time grow evenly and no list of documents is broadcast.
-    joined = documents.withColumn("_d", number_of(documents)).join(
-        removed.hint("merge"), F.col("_d") == F.col("_rd"), "left"
+    joined = documents.withColumn(number, number_of(documents)).join(
+        removed.select(F.col("_d").alias(number), F.col("removed").alias(gone)).hint("merge"), number, "left"
     )
     # Two uses of the split lines in one select keep Spark from splitting again for every line.
-    joined = joined.withColumn("_lines", F.split("text", "\n"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_rm"))
-    text = F.when(F.col("_rm").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
+    joined = joined.withColumn(lines, F.split("text", "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     )
-    out = joined.withColumns({"_new": text, "_size": F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines"))})
-    if counts:
-        out = out.withColumns({"n_lines": F.col("_size"), "n_removed": F.coalesce(F.size("_rm"), F.lit(0))})
-    return out.withColumn("text", F.col("_new")).drop("_new", "_d", "_rd", "_rm", "_lines", "_size")
+    size = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    added = {"n_lines": size, "n_removed": F.coalesce(F.size(gone), F.lit(0))} if counts else {}
+    return joined.withColumns({**added, "text": text}).select(*documents.columns, *added)

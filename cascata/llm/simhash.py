@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cascata.llm.common import release, store
+from cascata.llm.common import release, spare, store
 
 SEED = 42
 SAMPLE = 2048
@@ -91,7 +91,7 @@ def matrix(arrays: pa.Array, words: int) -> np.ndarray:
 
 def bits_of(rows: np.ndarray) -> np.ndarray:
     """One 0/1 column a bit."""
-    return np.unpackbits(np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+    return np.unpackbits(np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), 8 * rows.shape[1]), axis=1, bitorder="little")
 
 
 def correlated_partitions(bits: np.ndarray, count: int) -> list[list[int]]:
@@ -356,8 +356,8 @@ def keep_one(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> D
         .select(F.col("_c._h1").alias("_kh"), F.col("_c.doc_id").alias("_kid"))
     )
     chosen = store(chosen, "chosen")
-    number = F.xxhash64("doc_id", "_h")
-    chosen = chosen.select(F.xxhash64("_kid", "_kh").alias("_k"))
-    named = documents.withColumn("_h", text_key(F.col("text"))[0]).withColumn("_k", number)
+    key = spare(documents, "_key")
+    named = documents.withColumn(key, F.xxhash64("doc_id", text_key(F.col("text"))[0]))
+    chosen = chosen.select(F.xxhash64("_kid", "_kh").alias(key)).hint("merge")
     # The join has rows of one document together, so dropping repeats moves nothing again.
-    return named.join(chosen.hint("merge"), "_k", "left_semi").dropDuplicates(["_k"]).drop("_h", "_k")
+    return named.join(chosen, key, "left_semi").dropDuplicates([key]).drop(key)

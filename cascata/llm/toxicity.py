@@ -62,6 +62,8 @@ class ToxicModel:
         return float(self.weights[grams(word, len(self.weights))].mean())
 
     def score(self, text: str | None, kept: dict[str, float]) -> float:
+        if not np.isfinite(self.bias):
+            return float(self.bias > 0)
         found = words(text)
         total = 0.0
         for w in found:
