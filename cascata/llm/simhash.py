@@ -183,9 +183,21 @@ class Probing:
         )
 
 
+def probing_of(prints: DataFrame, radius: int, words: int, partitions: int | None = None) -> Probing:
+    """Partitions and costs for ``prints``, from a sample of at most ``SAMPLE`` fingerprints."""
+    total = prints.count()
+    sample = prints.orderBy(F.xxhash64("print"), "node").limit(SAMPLE).select("print").toArrow()["print"]
+    rows = matrix(sample.combine_chunks(), words) if total else np.zeros((0, words), np.uint64)
+    if partitions is None:
+        # About as many bits a partition as the number of fingerprints has.
+        partitions = max(radius // 3 + 1, round(64 * words / max(16.0, np.log2(max(2, total)))))
+    return Probing.of(rows, total, radius, words, min(partitions, radius + 1))
+
+
 def keys_of(prints: DataFrame, probing: Probing, probed: bool) -> DataFrame:
-    """``part, value`` and the fingerprint: once a partition, or all values within the thresholds."""
+    """``part, value`` and the other columns: once a partition, or all values within the thresholds."""
     words = probing.words
+    columns = prints.columns
 
     def entries(batches):
         for batch in batches:
@@ -206,12 +218,13 @@ def keys_of(prints: DataFrame, probing: Probing, probed: bool) -> DataFrame:
                 if not row:
                     continue
                 row = np.concatenate(row)
-                yield pa.RecordBatch.from_pydict({
-                    "part": np.concatenate(part), "value": np.concatenate(value).view(np.int64),
-                    "node": piece.column("node").take(pa.array(row)), "print": piece.column("print").take(pa.array(row)),
-                })
+                carried = {c: piece.column(c).take(pa.array(row)) for c in columns}
+                yield pa.RecordBatch.from_pydict(
+                    {"part": np.concatenate(part), "value": np.concatenate(value).view(np.int64), **carried}
+                )
 
-    return prints.select("node", "print").mapInArrow(entries, "part int, value long, node long, print array<bigint>")
+    carried = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in prints.schema.fields)
+    return prints.mapInArrow(entries, f"part int, value long, {carried}")
 
 
 def distance(a: Column, b: Column, words: int) -> Column:
@@ -225,13 +238,8 @@ def candidates(prints: DataFrame, radius: int, words: int, partitions: int | Non
     ``prints`` has ``node`` and ``print``, one row a distinct fingerprint. Complete up to ``radius``;
     beyond it, up to ``within``, pairs that happen to meet are given as well.
     """
-    total = prints.count()
-    sample = prints.orderBy(F.xxhash64("print"), "node").limit(SAMPLE).select("print").toArrow()["print"]
-    rows = matrix(sample.combine_chunks(), words) if total else np.zeros((0, words), np.uint64)
-    if partitions is None:
-        # About as many bits a partition as the number of fingerprints has.
-        partitions = max(radius // 3 + 1, round(64 * words / max(16.0, np.log2(max(2, total)))))
-    probing = Probing.of(rows, total, radius, words, min(partitions, radius + 1))
+    prints = prints.select("node", "print")
+    probing = probing_of(prints, radius, words, partitions)
     index, probe = keys_of(prints, probing, False), keys_of(prints, probing, True)
     a, b = probe.alias("a"), index.alias("b")
     met = a.join(
@@ -243,6 +251,71 @@ def candidates(prints: DataFrame, radius: int, words: int, partitions: int | Non
     return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
+def parities(text: Column, width: int) -> Column:
+    """Of a text's set of shingles: the parity of the number in each of 256 bins, as four words, and its size."""
+
+    @F.arrow_udf("array<bigint>")
+    def counted(texts: pa.Array) -> pa.Array:
+        rows = []
+        for t in texts:
+            hashes = np.unique(shingle_hashes(t.as_py(), width))
+            odd = np.bincount((hashes % np.uint64(256)).astype(np.int64), minlength=256) & 1
+            rows.append([*np.packbits(odd.astype(np.uint8)).view(np.int64).tolist(), len(hashes)])
+        return pa.array(rows, pa.list_(pa.int64()))
+
+    return counted(text)
+
+
+def may_be_similar(a: Column, b: Column, similarity: float) -> Column:
+    """False only for sets that are less similar: bins of unlike parity are at most the elements not shared."""
+    sizes = F.get(a, F.lit(4)) + F.get(b, F.lit(4))
+    return (1 + similarity) * distance(a, b, 4) <= (1 - similarity) * sizes + 1e-6
+
+
+def hub_pairs(index: DataFrame, words: int, within: int, similarity: float) -> DataFrame:
+    """Each node of an index value with the value's least node, if they may be similar.
+
+    At most one pair an index row, so large groups cost no more than their rows.
+    """
+    hubs = index.groupBy("part", "value").agg(
+        F.min(F.struct("node", "print", "odd")).alias("_hub"), F.count("*").alias("_n")
+    )
+    met = index.alias("i").join(
+        hubs.where("_n > 1").select(F.col("part").alias("_p"), F.col("value").alias("_v"), "_hub.*").alias("h"),
+        (F.col("part") == F.col("_p")) & (F.col("value") == F.col("_v")) & (F.col("i.node") != F.col("h.node"))
+        & (distance(F.col("i.print"), F.col("h.print"), words) <= within)
+        & may_be_similar(F.col("i.odd"), F.col("h.odd"), similarity),
+    )
+    return met.select(F.col("h.node").alias("a"), F.col("i.node").alias("b")).distinct()
+
+
+def pairs_between(grouped: DataFrame, index: DataFrame, probing: Probing, within: int, similarity: float) -> DataFrame:
+    """As ``candidates``, but only pairs of nodes of two groups; ``grouped`` has ``node, print, odd, root``.
+
+    An index value's most frequent group is kept apart (side 1) and met by nodes of other groups only, so
+    the nodes of one large group are not compared with one another.
+    """
+    roots = grouped.select("node", "root")
+    keyed = store(index.join(roots, "node"), "keyed")
+    often = store(
+        keyed.groupBy("part", "value", "root").agg(F.count("*").alias("_n")).where("_n > 1")
+        .groupBy("part", "value").agg(F.max_by("root", F.struct("_n", "root")).alias("_often")), "often",
+    )
+    is_often = F.coalesce(F.col("root") == F.col("_often"), F.lit(False))
+    a = keys_of(grouped.select("node", "print", "odd", "root"), probing, True).join(often, ["part", "value"], "left")
+    a = a.withColumn("side", F.explode(F.when(F.col("_often").isNull() | is_often, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
+    b = keyed.join(often, ["part", "value"], "left").withColumn("side", is_often.cast("int"))
+    a, b = a.drop("_often").alias("a"), b.drop("_often").alias("b")
+    met = a.join(
+        b,
+        (F.col("a.part") == F.col("b.part")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.side") == F.col("b.side"))
+        & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
+        & (distance(F.col("a.print"), F.col("b.print"), probing.words) <= within)
+        & may_be_similar(F.col("a.odd"), F.col("b.odd"), similarity),
+    )
+    return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of a link; the root is the least node of its component.
 
@@ -309,6 +382,18 @@ def shingle_set(text: Column, width: int) -> Column:
     return hashed(text)
 
 
+def similar_pairs(texts: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of ``pairs`` whose texts' sets of shingles are similar; ``texts`` has ``text, _h1``."""
+    wanted = pairs.select(F.col("a").alias("_h1")).union(pairs.select(F.col("b"))).distinct()
+    sets = store(
+        texts.join(wanted.hint("merge"), "_h1", "left_semi").select(F.col("_h1").alias("node"), shingle_set(F.col("text"), width).alias("set"))
+        .groupBy("node").agg(F.first("set").alias("set")), "sets",
+    )
+    same = F.arrow_udf(jaccard, "double")
+    a, b = sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
+    return pairs.join(a, "a").join(b, "b").where(same("sa", "sb") >= similarity).select("a", "b")
+
+
 def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 4, radius: int = 16) -> DataFrame:
     """``_h1, root``: each text (by its hash) with the hash that names its group.
 
@@ -320,21 +405,22 @@ def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8
 
     texts = documents.select("text", text_key(F.col("text"))[0])
     classes = store(
-        texts.select("_h1", fingerprint_column(F.col("text"), 2, words, True).alias("print"))
-        .groupBy("_h1").agg(F.first("print").alias("print")), "classes",
+        texts.select(
+            "_h1", fingerprint_column(F.col("text"), 2, words, True).alias("print"), parities(F.col("text"), width).alias("odd")
+        ).groupBy("_h1").agg(F.first("print").alias("print"), F.first("odd").alias("odd")), "classes",
     )
     # 64 bits of hash name a text; fingerprints, not texts, go through the grouping.
-    nodes = classes.select(F.col("_h1").alias("node"), "print")
-    pairs = store(candidates(nodes, radius, words, within=12 * words), "pairs")
-    wanted = pairs.select(F.col("a").alias("_h1")).union(pairs.select(F.col("b"))).distinct()
-    sets = store(
-        texts.join(wanted.hint("merge"), "_h1", "left_semi").select(F.col("_h1").alias("node"), shingle_set(F.col("text"), width).alias("set"))
-        .groupBy("node").agg(F.first("set").alias("set")), "sets",
-    )
-    same = F.arrow_udf(jaccard, "double")
-    a, b = sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    links = pairs.join(a, "a").join(b, "b").where(same("sa", "sb") >= similarity).select("a", "b")
-    roots = store(components(links), "roots")
+    nodes = classes.select(F.col("_h1").alias("node"), "print", "odd")
+    probing, within = probing_of(nodes, radius, words), 12 * words
+    index = store(keys_of(nodes, probing, False), "index")
+    # Links to hubs first: they join most of a large group, of which no other pairs are looked at then.
+    hubs = similar_pairs(texts, store(hub_pairs(index, words, within, similarity), "pairs"), width, similarity)
+    first = store(components(hubs), "roots")
+    grouped = store(nodes.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
+    pairs = store(pairs_between(grouped, index, probing, within, similarity), "pairs")
+    links = similar_pairs(texts, pairs, width, similarity)
+    inner = first.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = store(components(links.unionByName(inner)), "roots")
     linked = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return store(linked.select(F.col("node").alias("_h1"), "root"), "groups")
 
