@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as P
 from pyspark.sql.types import StructField, StructType
@@ -92,14 +92,30 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return full.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def unreadable(field: StructField) -> Column:
+    """A value is there that ``conform`` cannot read."""
+    return F.col(field.name).isNotNull() & F.col(field.name).try_cast(field.dataType).isNull()
+
+
+def guard(df: DataFrame, schema: StructType, lossy: bool = False) -> DataFrame:
+    """As ``conform``, but columns not declared stay and an unreadable value fails the job unless ``lossy``."""
+    full = complete(df, schema)
+    read = {}
+    for f in schema.fields:
+        value, message = F.col(f.name).try_cast(f.dataType), F.concat(
+            F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), F.col(f.name).cast("string")
+        )
+        failed = F.when(unreadable(f), F.raise_error(message).cast(f.dataType)).otherwise(value)
+        read[f.name] = value if lossy else failed
+    return full.withColumns(read)
+
+
 def lost_values(df: DataFrame, schema: StructType) -> DataFrame:
     """Per declared column the number of values that ``conform`` cannot read."""
     present = [f for f in schema.fields if f.name in df.columns]
     counts = df.agg(
         *[
-            F.count_if(
-                F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
-            ).alias(f.name)
+            F.count_if(unreadable(f)).alias(f.name)
             for f in present
         ]
     )

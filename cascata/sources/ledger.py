@@ -14,7 +14,7 @@ SCHEMA = declare(
     "extraction_type string, status string, updated_at timestamp",
     nullable=False,
 )
-SUCCESS, SKIPPED = "success", "skip_zero_rows"
+SUCCESS, SKIPPED, VALUES_LOST = "success", "skip_zero_rows", "values_lost"
 
 
 def successes(ledger: DataFrame, table: str) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cascata import schemas
 from cascata.sources import scans, sinks
-from cascata.sources.ledger import SKIPPED, Ledger
+from cascata.sources.ledger import SKIPPED, VALUES_LOST, Ledger
 
 HOURLY, DAILY, ALL = "hourly", "daily", "all"
 FULL, INCREMENTAL, BOOTSTRAP = "full", "incremental", "bootstrap"
@@ -29,6 +30,8 @@ class SourceTable:
     use_yesterday: bool = False
     historical: bool = False
     schema: StructType | None = None
+    #: Values that the declared types cannot hold become null and are counted; else they fail the load.
+    lossy: bool = False
 
 
 def in_group(tables: list[SourceTable], group: str) -> list[SourceTable]:
@@ -81,7 +84,11 @@ def load(
     as_of: date,
     month: str | None = None,
 ) -> str:
-    """Scan, store and record one source table. Gives the sink used, or the skip status."""
+    """Scan, store and record one source table. Gives the sink used, or the skip status.
+
+    With a declared schema the rows are stored in its types, also if the source changed a column's type.
+    Of a lossy table the ledger gets one more row with the number of values lost, if there are any.
+    """
     if month and not (table.historical and table.partition):
         return NOT_HISTORICAL
     scan, kind = choose_scan(table, ledger.is_first_load(table.name), month)
@@ -92,7 +99,11 @@ def load(
         return SKIPPED
     sink = choose_sink(table, kind)
     seen = Observation()
-    frame = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
+    held = [f for f in table.schema.fields if f.name in frame.columns] if table.schema else []
+    lost = sum((schemas.unreadable(f).cast("long") for f in held), F.lit(0).cast("long"))
+    frame = frame.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(lost).alias("lost"))
+    if table.schema:
+        frame = schemas.guard(frame, table.schema, table.lossy)
     if sink == "overwrite_partition":
         sinks.overwrite_partition(frame, path, table.partition, as_of)
     elif sink == "append":
@@ -102,4 +113,6 @@ def load(
     else:
         sinks.overwrite(frame, path, table.partition)
     ledger.mark(table.name, as_of, seen.get["rows"], kind)
+    if seen.get["lost"]:
+        ledger.mark(table.name, as_of, seen.get["lost"], kind, VALUES_LOST)
     return sink

@@ -150,6 +150,24 @@ def test_load_keeps_yesterday_when_today_is_empty(spark, folder):
     assert found == [(0, "skip_zero_rows"), (1, "success"), (2, "success")]
 
 
+def test_load_keeps_the_declared_types(spark, folder):
+    book = ledger.Ledger(spark, f"{folder}/ledger")
+    declared = schemas.declare("id string, n bigint, dt date")
+    table = modes.SourceTable("t", "dt", historical=True, schema=declared)
+    day = lambda n, d: spark.createDataFrame([("a", n, "x", d)], f"id string, n {'bigint' if isinstance(n, int) else 'string'}, more string, dt date")
+    assert modes.load(spark, day(1, DAY), table, folder, book, DAY) == "overwrite"
+    assert modes.load(spark, day("2", NEXT), table, folder, book, NEXT) == "append"
+    found = spark.read.parquet(f"{folder}/t")
+    assert sorted((r.n, r.more) for r in found.collect()) == [(1, "x"), (2, "x")] and found.schema["n"].dataType.simpleString() == "bigint"
+    last = date(2024, 1, 17)
+    with pytest.raises(Exception, match="n is no bigint: many"):
+        modes.load(spark, day("many", last), table, folder, book, last)
+    lossy = modes.SourceTable("t", "dt", historical=True, schema=declared, lossy=True)
+    assert modes.load(spark, day("many", last), lossy, folder, book, last) == "append"
+    assert sorted((r.n is None, r.n) for r in found.sparkSession.read.parquet(f"{folder}/t").collect()) == [(False, 1), (False, 2), (True, None)]
+    assert [r.rows_extracted for r in book.read().where("status = 'values_lost'").collect()] == [1]
+
+
 def test_schema_tools(spark):
     df = spark.createDataFrame([("1", "x"), ("z", None)], "a string, extra string")
     schema = schemas.declare("a int, b date")
