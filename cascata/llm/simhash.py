@@ -399,7 +399,11 @@ def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8
 
     Texts are linked if the sets of their ``width``-word shingles have at least the given Jaccard
     similarity. Candidates come from 256-bit fingerprints of two-word shingles, complete up to ``radius``
-    bits; an edit touches fewer short shingles, so pairs at the similarity lie well within reach.
+    bits; an edit touches fewer short shingles, so pairs at the similarity lie well within reach. Pairs
+    that a bound on the shingle sets rules out are not made.
+
+    Every text is linked to hubs first. The groups that gives are then linked by the pairs between them,
+    so the members of a large group are not paired with one another.
     """
     from cascata.llm.common import text_key
 
