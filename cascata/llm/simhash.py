@@ -293,10 +293,11 @@ def pairs_between(grouped: DataFrame, index: DataFrame, probing: Probing, within
     """As ``candidates``, but only pairs of nodes of two groups; ``grouped`` has ``node, print, odd, root``.
 
     An index value's most frequent group is kept apart (side 1) and met by nodes of other groups only, so
-    the nodes of one large group are not compared with one another.
+    the nodes of one large group are not compared with one another. The pairs are stored; ``index`` is deleted.
     """
     roots = grouped.select("node", "root")
     keyed = store(index.join(roots, "node"), "keyed")
+    release(index)
     often = store(
         keyed.groupBy("part", "value", "root").agg(F.count("*").alias("_n")).where("_n > 1")
         .groupBy("part", "value").agg(F.max_by("root", F.struct("_n", "root")).alias("_often")), "often",
@@ -313,7 +314,9 @@ def pairs_between(grouped: DataFrame, index: DataFrame, probing: Probing, within
         & (distance(F.col("a.print"), F.col("b.print"), probing.words) <= within)
         & may_be_similar(F.col("a.odd"), F.col("b.odd"), similarity),
     )
-    return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    pairs = store(met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "pairs")
+    release(keyed, often)
+    return pairs
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -421,7 +424,7 @@ def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8
     hubs = similar_pairs(texts, store(hub_pairs(index, words, within, similarity), "pairs"), width, similarity)
     first = store(components(hubs), "roots")
     grouped = store(nodes.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
-    pairs = store(pairs_between(grouped, index, probing, within, similarity), "pairs")
+    pairs = pairs_between(grouped, index, probing, within, similarity)
     links = similar_pairs(texts, pairs, width, similarity)
     inner = first.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = store(components(links.unionByName(inner)), "roots")
