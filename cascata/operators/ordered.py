@@ -5,6 +5,8 @@ few rows, which ``bounded=True`` states (for example rows that are unique per ke
 Otherwise keys above ``hot_rows`` rows take a second path: their identical rows are collapsed to
 one with a count, the rest is cut into pieces that follow the order, each piece is lagged on its
 own, and the last row of the piece before is carried over. Both paths give the same result.
+The second path reads its rows several times, so it first writes them to the shared folder: what
+lies before is worked out once, however deep it is, and all branches see the same rows.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cascata.sources.sinks import stored
+
 HOT_ROWS = 1_000_000
 PIECES = 256
 COPIES_PER_TASK = 1_000_000
@@ -38,11 +42,13 @@ def add_previous(
 
     ``order`` has one or two columns and sorts nulls first; the second must be a number or a
     date. Rows that tie on it are ordered by a hash of the whole row, so the result does not
-    depend on the partitioning. ``default`` fills the first row of a key.
+    depend on the partitioning. ``default`` fills the first row of a key. Without ``bounded`` the
+    rows are written once when this is called.
     """
     tie = F.xxhash64(*df.columns)
     if bounded:
         return _lag(df, keys, [*_order_columns(order), tie], values, default)
+    df = stored(df)
     match = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
     # With no hot key AQE drops the second scan.
     hot, same = _hot_keys(df, keys, hot_rows), reduce(and_, match)

@@ -31,6 +31,13 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cascata-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to a scratch folder and read back, which ends its lineage in shared storage."""
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _writer(df: DataFrame, partition_by: str | None):
     """Rows of a partition value go to few files; the rebalance splits hot values."""
     if partition_by is None:

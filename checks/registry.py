@@ -39,15 +39,15 @@ class Inputs:
     def cohorts(self) -> DataFrame:
         return crm.radar_cohort(self.view("radar"))
 
-    def enriched(self) -> DataFrame:
+    def enriched(self, unique_months: bool = True) -> DataFrame:
         """The gold view groups by account and month, so months are unique per account."""
         return revenue.receita_enriquecida(
-            self.gold, self.discounts(), self.cohorts(), unique_months=True
+            self.gold, self.discounts(), self.cohorts(), unique_months=unique_months
         )
 
-    def payments(self, **options) -> DataFrame:
+    def payments(self, unique_months: bool = True, **options) -> DataFrame:
         return payments.cb_pagamentos(
-            self.gold, self.view("paids"), X.AS_OF, X.TRANSFER_SINCE, unique_months=True, **options
+            self.gold, self.view("paids"), X.AS_OF, X.TRANSFER_SINCE, unique_months=unique_months, **options
         )
 
 

@@ -6,7 +6,7 @@ from cascata.plans import crm, daily, grids, recurring, revenue
 from checks import fixtures as X
 from checks import sql_parts as S
 from checks import sql_waterfalls as W
-from checks.registry import check
+from checks.registry import ORACLE, check
 
 CB_MONEY = ("antecipado", "no_mes", "transcorrido", "pago_mes")
 
@@ -169,3 +169,29 @@ def t15_full_v2(i):
 )
 def t15_plans(i):
     return recurring.bd_planos_periodicos(i.view("planos"), bounded=True, metrics=False)
+
+
+# The same tables as the chain builds them, without the statement that months are unique.
+@check("T2_cb_pagamentos_default", ORACLE["T2_cb_pagamentos"])
+def t2_default(i):
+    return i.payments(unique_months=False)
+
+
+@check("T3_receita_enriquecida_default", ORACLE["T3_receita_enriquecida"])
+def t3_default(i):
+    return i.enriched(unique_months=False)
+
+
+@check("T6_planos_periodicos_default", ORACLE["T6_planos_periodicos"])
+def t6_default(i):
+    return recurring.planos_periodicos(i.view("planos"))
+
+
+@check("T7_bd_planos_periodicos_default", ORACLE["T7_bd_planos_periodicos"])
+def t7_default(i):
+    return recurring.bd_planos_periodicos(i.view("planos"))
+
+
+@check("T12_tamanhos_ajustados_default", ORACLE["T12_tamanhos_ajustados"])
+def t12_default(i):
+    return revenue.tamanhos_ajustados(i.enriched(unique_months=False))
