@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascata.plans import crm, daily, grids, payments, recurring, revenue
-from cascata.sources import sinks
+from cascata.sources import modes, sinks
+from cascata.sources.ledger import SKIPPED, Ledger
 
 Frames = dict[str, DataFrame]
 DONE, FAILED, BLOCKED = "done", "failed", "blocked"
@@ -142,3 +143,40 @@ def run_chain(
         except Exception as e:  # driver and executor errors alike
             outcomes.append(Outcome(step.name, FAILED, f"{type(e).__name__}: {e}"))
     return outcomes
+
+
+def run_group(
+    spark: SparkSession,
+    sources: Frames,
+    tables: Iterable[modes.SourceTable],
+    folder: str,
+    ledger: Ledger,
+    as_of: date,
+    group: str = modes.ALL,
+    month: str | None = None,
+    steps: Iterable[Step] = STEPS,
+) -> list[Outcome]:
+    """Load the source tables of a cadence, then build the derived tables from all stored ones.
+
+    A source that fails stops no other; derived tables that need it are blocked, so none is built on
+    yesterday's rows unseen. Sources of other cadences, and those without new rows, are taken as an
+    earlier load left them. A month bootstrap loads historical tables and builds nothing.
+    """
+    tables, outcomes, failed = list(tables), [], set()
+    base = folder.rstrip("/")
+    for table in modes.in_group(tables, group):
+        try:
+            status = modes.load(spark, sources[table.name], table, base, ledger, as_of, month)
+            kept = status in (SKIPPED, modes.NOT_HISTORICAL)
+            outcomes.append(Outcome(table.name, status if kept else DONE))
+        except Exception as e:  # driver and executor errors alike
+            failed.add(table.name)
+            outcomes.append(Outcome(table.name, FAILED, f"{type(e).__name__}: {e}"))
+    if month:
+        return outcomes
+    frames = {
+        t.name: spark.read.parquet(f"{base}/{t.name}")
+        for t in tables
+        if t.name not in failed and not ledger.is_first_load(t.name)
+    }
+    return outcomes + run_chain(spark, frames, base, as_of, steps)

@@ -1,8 +1,11 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from cascata import schemas
 from cascata.operators import quality, reconcile
 from cascata.plans import chain, crm, payments, recurring, revenue
+from cascata.sources import ledger, modes
 
 D = date
 
@@ -179,3 +182,36 @@ def test_plans_have_no_cross_or_nested_loop_join(spark):
     for df in (table, paid):
         text = df._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_group_run_keeps_failures_apart(spark, folder):
+    day = D(2024, 1, 15)
+    frame = lambda *v: spark.createDataFrame([(x, day) for x in v], "v string, dt date")
+    broken = frame("x").withColumn("v", F.raise_error(F.lit("lost")))
+    kinds = {"good": modes.DAILY, "bad": modes.DAILY, "slow": "weekly", "quiet": modes.HOURLY}
+    tables = [modes.SourceTable(n, "dt", group=g) for n, g in kinds.items()]
+    sources = {"good": frame("a", "b"), "bad": broken, "slow": frame("s"), "quiet": frame()}
+
+    def fails(f, d):
+        raise ValueError("no")
+
+    steps = (
+        chain.Step("counted", 1, ("good",), lambda f, d: f["good"].groupBy().count()),
+        chain.Step("wrong", 2, ("good",), fails),
+        chain.Step("needs_bad", 3, ("bad",), lambda f, d: f["bad"]),
+        chain.Step("needs_slow", 4, ("slow",), lambda f, d: f["slow"]),
+        chain.Step("needs_quiet", 5, ("quiet",), lambda f, d: f["quiet"]),
+    )
+    book = ledger.Ledger(spark, folder + "/ledger")
+    run = lambda **o: {o.name: o.status for o in chain.run_group(spark, sources, tables, folder, book, day, steps=steps, **o)}
+    assert run(month="2024-01") == dict.fromkeys(kinds, modes.NOT_HISTORICAL)
+    first = run()
+    assert first == {
+        "good": chain.DONE, "bad": chain.FAILED, "slow": chain.DONE, "quiet": ledger.SKIPPED,
+        "counted": chain.DONE, "wrong": chain.FAILED, "needs_bad": chain.BLOCKED, "needs_slow": chain.DONE,
+        "needs_quiet": chain.BLOCKED,
+    }
+    assert spark.read.parquet(folder + "/counted").first()[0] == 2
+    # A source of another cadence is read as it was left; the failed one stays out.
+    again = run(group=modes.DAILY)
+    assert "slow" not in again and again["needs_slow"] == chain.DONE and again["needs_bad"] == chain.BLOCKED
