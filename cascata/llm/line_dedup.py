@@ -56,7 +56,9 @@ def repeated_lines(documents: DataFrame, min_words: int) -> DataFrame:
 
     ``_s`` numbers the stretch in its document and ``c`` is the running number of words in it.
     """
-    lines = lines_of(documents)
+    # Rows that repeat a document are one: each of its lines is counted and numbered once. Written once, as
+    # both the count and the numbering read it.
+    lines = store(lines_of(documents).dropDuplicates(["_d", "line"]), "lines")
     again = lines.groupBy("_l1", "_l2").agg(F.count("*").alias("k")).where("k > 1")
     ids = ranked(again, ["_l1", "_l2"], "r0")
     # Lines that stand alone keep their place in the count, so that stretches break at them.
@@ -71,8 +73,9 @@ def repeated_lines(documents: DataFrame, min_words: int) -> DataFrame:
     stretch = Window.partitionBy("_d", "_s")
     kept = placed.withColumn("_all", F.sum("words").over(stretch)).where(F.col("_all") >= min_words)
     positions = kept.withColumn("c", F.sum("words").over(stretch.orderBy("n"))).drop("_all")
-    # Rows that repeat a document would repeat its positions.
-    return store(positions.dropDuplicates(["_d", "n"]), "positions")
+    stored = store(positions, "positions")
+    release(lines)
+    return stored
 
 
 def windows(positions: DataFrame, min_words: int) -> DataFrame:

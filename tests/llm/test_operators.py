@@ -277,6 +277,17 @@ def test_line_dedup_keeps_odd_rows(spark):
     assert line_dedup.dedup_lines(frame.limit(0)).count() == 0
 
 
+def test_line_dedup_keeps_repeated_rows(spark):
+    rng = random.Random(12)
+    long = words_text(rng, 60) + "\n" + words_text(rng, 55)
+    short = "\n".join(words_text(rng, 9) for _ in range(14))
+    both = short + "\n\n" + long
+    rows = [(1, long)] * 2 + [(2, short)] * 3 + [(3, both)] * 2 + [(4, "own\n" + long), (None, short), (None, short)]
+    got = Counter((r.doc_id, r.text) for r in line_dedup.dedup_lines(docs(spark, rows)).collect())
+    # Null ids come first, so the runs of 2 go; every copy of a document is treated alike.
+    assert got == Counter({(None, short): 2, (1, long): 2, (2, ""): 3, (3, ""): 2, (4, "own"): 1})
+
+
 def test_quality_rules(spark):
     rng = random.Random(9)
     clean = [(i, words_text(rng, 120)) for i in range(3000)]
