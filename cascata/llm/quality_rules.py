@@ -1,15 +1,18 @@
 """Quality rules whose cutoffs carry a guarantee against rejecting good documents.
 
 Every rule rejects documents above a cutoff of one ratio (symbols, repeated lines, repeated words, word
-length from above and below). Cutoffs come from labelled holdout rows: within a stratum a cutoff is
-allowed if the exact binomial tail shows, at the level left after correction for all strata and rules,
-that the rule rejects good documents at a rate of at most its share of ``risk``. Cutoffs of a rule are
-tried from the loosest on, each at the full level, up to the first that fails (fixed-sequence testing);
-strata times rules divide the level (Bonferroni). So with probability 1 - ``error`` no stratum loses
-more than ``risk`` of its good documents to all rules together. A stratum without enough good rows gets
-no rule.
-
-Strata are bands of the number of words, bounded in number. Rows of the held-out fold are not used.
+length from above and below). Within a stratum the cutoffs of all rules are tightened along one path, a
+step of one rule at a time. The path is fixed by other rows than those it is tested on: next comes the
+rule and cutoff that rejects most rows labelled bad for each unlabelled row it rejects. Rows labelled good
+then decide how far it goes: a place is allowed if the exact binomial tail shows, at the level left after
+correction for the strata, that the rules reject together at most ``risk`` of the good documents. Places
+are tried from the loosest on, each at the full level, up to the first that fails (fixed-sequence
+testing); the number of bands divides the level (Bonferroni). So with probability 1 - ``error`` no stratum
+loses more than ``risk`` of its good documents to all rules together.
+
+Strata are bands of the number of words. A band with fewer good rows than a test without any rejection
+needs (217 at the settings below) is joined with its neighbour, and the guarantee then is for the joined
+stratum. With fewer good rows in all bands together, no rule rejects. Rows of the held-out fold are not used.
 
 Null and empty texts have no words, so they fail the base rule. Of several labels of a document the
 greatest counts. Repeated documents are judged alike. Extra columns are ignored.
@@ -120,14 +123,68 @@ def tail(rejected: int, good: int, rate: float) -> float:
     return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
 
 
-def cutoff(steps: dict[int, int], risk: float, level: float) -> int:
-    """Tightest cutoff whose tests all pass from the loosest on; GRID rejects nothing."""
-    good, rejected, found = sum(steps.values()), 0, GRID
-    for k in range(GRID - 1, -1, -1):
-        rejected += steps.get(k + 1, 0)
-        if rejected > risk * good or tail(rejected, good, risk) > level:
-            break
-        found = k
+def least_good(risk: float, level: float) -> int:
+    """Good rows that a test without any rejection needs."""
+    return math.ceil(math.log(level) / math.log1p(-risk))
+
+
+def strata(good: list[int], least: int) -> list[list[int]]:
+    """Neighbouring bands joined until each stratum has ``least`` good rows; none if all have too few."""
+    found, open_ = [], []
+    for k in range(len(good)):
+        open_ = [*open_, k]
+        if sum(good[j] for j in open_) >= least:
+            found.append(open_)
+            open_ = []
+    if found:
+        found[-1] = found[-1] + open_
+    return found
+
+
+def path(bad: dict, other: dict) -> list[tuple[str, int]]:
+    """Cutoffs of all rules from the loosest on, as (rule, cutoff), one step of one rule at a time.
+
+    ``bad`` and ``other`` have numbers of rows by (rule, step).
+    """
+    at = {name: GRID for name, *_ in RULES}
+    out = []
+    while any(at.values()):
+        best = None
+        for name, limit in at.items():
+            b = u = 0
+            for k in range(limit - 1, -1, -1):
+                b += bad.get((name, k + 1), 0)
+                u += other.get((name, k + 1), 0)
+                score = (b / (u + 1), -u, k)
+                if best is None or score > best[0]:
+                    best = (score, name, k)
+        _, name, k = best
+        out += [(name, j) for j in range(at[name] - 1, k - 1, -1)]
+        at[name] = k
+    return out
+
+
+def allowed(rejected: dict[int, int], good: int, places: int, risk: float, level: float) -> int:
+    """How many places of a path pass; ``rejected`` has good rows by the first place that rejects them."""
+    total = 0
+    for t in range(places):
+        total += rejected.get(t, 0)
+        if total > risk * good or tail(total, good, risk) > level:
+            return t
+    return places
+
+
+def first_place(paths: dict[int, list]) -> Column:
+    """First place of a row's path that rejects it; null if none does. ``paths`` are by band."""
+    found = F.lit(None).cast("int")
+    for k, steps in paths.items():
+        places = []
+        for name, a, b, s in RULES:
+            # A cutoff k rejects steps greater than k, and a path tightens every rule step by step.
+            first = {cut + 1: t for t, (rule, cut) in enumerate(steps) if rule == name}
+            listed = ", ".join(str(first[x]) if x in first else "int(null)" for x in range(GRID + 1))
+            places.append(F.get(F.expr(f"array({listed})"), ratio_step(a, b, s)))
+        found = F.when(band() == k, F.least(*places)).otherwise(found)
     return found
 
 
@@ -138,31 +195,49 @@ def fit(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float
         .where("_id is not null and _y in (0, 1)")
         .groupBy("_id")
         .agg(F.max("_y").alias("_y"))
-        .where("_y = 1")
     )
     held = measured.where("not base_failed").where(fold_of(F.col("doc_id")) != 0)
-    rows = held.join(known, F.col("doc_id") == F.col("_id"))
+    rows = held.join(known, F.col("doc_id") == F.col("_id"), "left")
     steps = F.explode(
         F.array(*[
             F.struct(F.lit(name).alias("rule"), ratio_step(a, b, s).alias("step"))
             for name, a, b, s in RULES
         ])
     )
-    # At most bands times rules times steps rows.
+    # At most three times bands times rules times steps rows.
     found = (
-        rows.select(band().alias("band"), steps.alias("_s"))
-        .groupBy("band", "_s.rule", "_s.step")
+        rows.select(band().alias("band"), F.coalesce("_y", F.lit(-1)).alias("y"), steps.alias("_s"))
+        .groupBy("band", "y", "_s.rule", "_s.step")
         .count()
         .collect()
     )
-    tests = (len(BANDS) + 1) * len(RULES)
-    return {
-        (k, name): cutoff(
-            {r["step"]: r["count"] for r in found if (r["band"], r["rule"]) == (k, name)},
-            risk / len(RULES), error / tests,
-        )
-        for k in range(len(BANDS) + 1) for name, *_ in RULES
-    }
+    bands = len(BANDS) + 1
+    level = error / bands
+    good = [sum(r["count"] for r in found if (r["band"], r["y"], r["rule"]) == (k, 1, RULES[0][0])) for k in range(bands)]
+    joined = strata(good, least_good(risk, level))
+    cutoffs = {(k, name): GRID for k in range(bands) for name, *_ in RULES}
+    paths = {}
+    for stratum in joined:
+        bad, other = Counter(), Counter()
+        for r in found:
+            if r["band"] in stratum and r["y"] != 1:
+                (bad if r["y"] == 0 else other)[r["rule"], r["step"]] += r["count"]
+        steps = path(bad, other)
+        paths |= {k: steps for k in stratum}
+    if not joined:
+        return cutoffs
+    # At most bands times places rows.
+    hit = rows.where("_y = 1").select(band().alias("band"), first_place(paths).alias("t")).groupBy("band", "t").count().collect()
+    for stratum in joined:
+        rejected = Counter()
+        for r in hit:
+            if r["band"] in stratum and r["t"] is not None:
+                rejected[r["t"]] += r["count"]
+        steps = paths[stratum[0]]
+        passed = allowed(rejected, sum(good[k] for k in stratum), len(steps), risk, level)
+        for name, cut in steps[:passed]:
+            cutoffs |= {(k, name): cut for k in stratum}
+    return cutoffs
 
 
 def rejected_by(cutoffs: dict) -> Column:

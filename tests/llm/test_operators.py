@@ -304,6 +304,30 @@ def test_quality_rules(spark):
     assert quality_rules.counts("a b c d e x a b c d e")[4] == 10
 
 
+def test_quality_rules_reject_on_few_rows(spark):
+    rng = random.Random(13)
+    sizes = [(30, 60), (120, 250), (400, 240), (1100, 40)]
+    clean = [(1000 * k + i, words_text(rng, n)) for k, (n, many) in enumerate(sizes) for i in range(many)]
+    junk = [(5000 + 100 * k + i, " ".join(w + "***" for w in words_text(rng, n).split())) for k, (n, _) in enumerate(sizes) for i in range(25)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in clean] + [(i, 0) for i, _ in junk], "doc_id long, quality int")
+    got = quality_rules.judge_documents(docs(spark, clean + junk), labels).toPandas()
+    assert not got[got.doc_id >= 5000].kept.any()
+    assert (~got[got.doc_id < 5000].kept).mean() <= quality_rules.RISK
+
+
+def test_joint_cutoffs():
+    level = quality_rules.ERROR / 4
+    least = quality_rules.least_good(0.02, level)
+    assert least == 217 and quality_rules.tail(0, least, 0.02) <= level < quality_rules.tail(0, least - 1, 0.02)
+    assert quality_rules.strata([78, 910, 1439, 214], least) == [[0, 1], [2, 3]]
+    assert quality_rules.strata([50, 50, 50, 50], least) == []
+    assert quality_rules.allowed({3: 1}, 216, 9, 0.02, level) == 0
+    assert quality_rules.allowed({3: 1}, 217, 9, 0.02, level) == 3
+    steps = quality_rules.path({("symbols", 90): 5}, {("long_words", 60): 9})
+    assert len(steps) == len(set(steps)) == quality_rules.GRID * len(quality_rules.RULES)
+    assert steps[quality_rules.GRID - 90] == ("symbols", 89)
+
+
 def test_binomial_tail():
     from math import comb
 
