@@ -11,6 +11,9 @@ counts estimated on the sample, so values that many fingerprints share are skipp
 rarer. Each fingerprint is indexed once a partition, is probed with all values within the thresholds,
 and candidates are verified on all bits. Nothing is capped: the sample only steers costs.
 
+Texts whose shingle sets are similar (``similar_groups``) are found without fingerprints, by keys of the sets
+that are complete for the similarity asked for.
+
 Groups are connected components by alternating large and small stars over the links.
 
 A text without a word has fingerprint zero and is linked like any other. Null texts are empty texts. A
@@ -20,6 +23,7 @@ gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass
 from itertools import combinations
 from math import comb
@@ -27,7 +31,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cascata.llm.common import release, spare, store
@@ -272,51 +276,123 @@ def may_be_similar(a: Column, b: Column, similarity: float) -> Column:
     return (1 + similarity) * distance(a, b, 4) <= (1 - similarity) * sizes + 1e-6
 
 
-def hub_pairs(index: DataFrame, words: int, within: int, similarity: float) -> DataFrame:
+class SetKeys:
+    """Keys of sets of hashes, such that any two sets of at least ``similarity`` share one.
+
+    Sizes are cut into classes whose greatest size is 1 / similarity times the least, so the sizes of similar
+    sets lie in one class or in two that adjoin: a set gets the keys of its own class and of the next. Sets of
+    sizes m and n that are similar differ in at most (m + n) (1 - similarity) / (1 + similarity) hashes. A class
+    has more bins of the hash range than that for its greatest sizes, so two similar sets agree in a whole bin;
+    a key names a bin and what it holds. Empty bins give keys only where they may be all that agrees.
+    """
+
+    def __init__(self, similarity: float):
+        self.similarity, self.share = similarity, (1 - similarity) / (1 + similarity)
+        self.least, self.most, self.bins = [], [], []
+        at = 1
+        while at < 1 << 31:
+            self.least.append(at)
+            self.most.append(int(at / similarity + 1e-9))
+            apart = int(2 * self.most[-1] * self.share + 1e-9)
+            # A few bins more than needed make empty ones matter less.
+            self.bins.append(apart + 1 + (apart and apart // 16 + 1))
+            at = self.most[-1] + 1
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """``hashes`` are sorted and distinct; none give no key."""
+        n, out = len(hashes), []
+        if not n:
+            return np.zeros(0, np.uint64)
+        own = bisect_right(self.least, n) - 1
+        mixed = stirred(hashes)
+        for j in (own, own + 1):
+            bins, greatest = self.bins[j], min(self.most[j], int(n / self.similarity + 1e-9))
+            # The high bits name the bin, so a bin's hashes lie together.
+            at = ((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
+            first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            held, sums = at[first], np.add.reduceat(mixed, first)
+            if len(first) <= int((n + greatest) * self.share + 1e-9):
+                empty = np.setdiff1d(np.arange(bins, dtype=np.uint64), held)
+                held, sums = np.concatenate([held, empty]), np.concatenate([sums, np.zeros(len(empty), np.uint64)])
+            out.append(stirred(sums ^ stirred(held + np.uint64(j << 32) + np.uint64(1))))
+        return np.concatenate(out)
+
+
+def stirred(values: np.ndarray) -> np.ndarray:
+    """64-bit values mixed one to one."""
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(SPREAD[1])
+    values = (values ^ (values >> np.uint64(29))) * np.uint64(SPREAD[2])
+    return values ^ (values >> np.uint64(32))
+
+
+def set_index(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``value, node`` of the keys that several texts share; ``texts`` has ``text, _h1``. One shuffle of all keys."""
+
+    def entries(batches):
+        keys, seen = SetKeys(similarity), set()
+        for batch in batches:
+            value, node, many = [], [], 0
+            for h, t in zip(batch.column("node").to_pylist(), batch.column("text")):
+                # Most copies of a text go here; the window below stands any that are left.
+                if h in seen:
+                    continue
+                if len(seen) >= 1 << 16:
+                    seen.clear()
+                seen.add(h)
+                value.append(keys.of(np.unique(shingle_hashes(t.as_py(), width))).view(np.int64))
+                node.append(np.full(len(value[-1]), h, np.int64))
+                many += len(value[-1])
+                if many >= 1 << 17:
+                    yield pa.RecordBatch.from_pydict({"value": np.concatenate(value), "node": np.concatenate(node)})
+                    value, node, many = [], [], 0
+            if value:
+                yield pa.RecordBatch.from_pydict({"value": np.concatenate(value), "node": np.concatenate(node)})
+
+    keys = texts.select(F.col("_h1").alias("node"), "text").mapInArrow(entries, "value long, node long")
+    alike = Window.partitionBy("value")
+    shared = keys.withColumns({"_a": F.min("node").over(alike), "_z": F.max("node").over(alike)}).where("_a < _z")
+    return store(shared.select("value", "node").distinct(), "index")
+
+
+def hub_pairs(index: DataFrame, profiles: DataFrame, similarity: float) -> DataFrame:
     """Each node of an index value with the value's least node, if they may be similar.
 
     At most one pair an index row, so large groups cost no more than their rows.
     """
-    hubs = index.groupBy("part", "value").agg(
-        F.min(F.struct("node", "print", "odd")).alias("_hub"), F.count("*").alias("_n")
-    )
-    met = index.alias("i").join(
-        hubs.where("_n > 1").select(F.col("part").alias("_p"), F.col("value").alias("_v"), "_hub.*").alias("h"),
-        (F.col("part") == F.col("_p")) & (F.col("value") == F.col("_v")) & (F.col("i.node") != F.col("h.node"))
-        & (distance(F.col("i.print"), F.col("h.print"), words) <= within)
-        & may_be_similar(F.col("i.odd"), F.col("h.odd"), similarity),
-    )
-    return met.select(F.col("h.node").alias("a"), F.col("i.node").alias("b")).distinct()
+    hubs = index.groupBy("value").agg(F.min("node").alias("a"))
+    met = index.join(hubs, "value").where("a < node").select("a", F.col("node").alias("b")).distinct()
+    a, b = (profiles.select(F.col("node").alias(n), F.col("odd").alias("_" + n)) for n in "ab")
+    return met.join(a, "a").join(b, "b").where(may_be_similar(F.col("_a"), F.col("_b"), similarity)).select("a", "b")
 
 
-def pairs_between(grouped: DataFrame, index: DataFrame, probing: Probing, within: int, similarity: float) -> DataFrame:
-    """As ``candidates``, but only pairs of nodes of two groups; ``grouped`` has ``node, print, odd, root``.
+def pairs_between(grouped: DataFrame, index: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a < b`` of nodes of two groups that share a value and may be similar; ``grouped`` has ``node, odd, root``.
 
     An index value's most frequent group is kept apart (side 1) and met by nodes of other groups only, so
     the nodes of one large group are not compared with one another. The pairs are stored; ``index`` is deleted.
     """
-    roots = grouped.select("node", "root")
-    keyed = store(index.join(roots, "node"), "keyed")
+    keyed = store(index.join(grouped, "node"), "keyed")
     release(index)
     often = store(
-        keyed.groupBy("part", "value", "root").agg(F.count("*").alias("_n")).where("_n > 1")
-        .groupBy("part", "value").agg(F.max_by("root", F.struct("_n", "root")).alias("_often")), "often",
+        keyed.groupBy("value", "root").agg(F.count("*").alias("_n"))
+        .groupBy("value").agg(F.max_by("root", F.struct("_n", "root")).alias("_often"), F.count("*").alias("_r"))
+        .where("_r > 1").drop("_r"), "often",
     )
-    is_often = F.coalesce(F.col("root") == F.col("_often"), F.lit(False))
-    a = keys_of(grouped.select("node", "print", "odd", "root"), probing, True).join(often, ["part", "value"], "left")
-    a = a.withColumn("side", F.explode(F.when(F.col("_often").isNull() | is_often, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
-    b = keyed.join(often, ["part", "value"], "left").withColumn("side", is_often.cast("int"))
-    a, b = a.drop("_often").alias("a"), b.drop("_often").alias("b")
+    sided = keyed.join(often, "value").withColumn("_is", F.col("root") == F.col("_often")).drop("_often")
+    a = sided.where("not _is").withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
+    b = sided.withColumn("side", F.col("_is").cast("int"))
+    a, b = a.alias("a"), b.alias("b")
+    # Nodes out of the frequent group meet one another at side 0, and those in it at side 1.
     met = a.join(
         b,
-        (F.col("a.part") == F.col("b.part")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.side") == F.col("b.side"))
-        & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
-        & (distance(F.col("a.print"), F.col("b.print"), probing.words) <= within)
+        (F.col("a.value") == F.col("b.value")) & (F.col("a.side") == F.col("b.side")) & (F.col("a.root") != F.col("b.root"))
+        & ((F.col("a.side") == 1) | (F.col("a.node") < F.col("b.node")))
         & may_be_similar(F.col("a.odd"), F.col("b.odd"), similarity),
     )
-    pairs = store(met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "pairs")
+    pairs = met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
+    stored = store(pairs.distinct(), "pairs")
     release(keyed, often)
-    return pairs
+    return stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -397,38 +473,39 @@ def similar_pairs(texts: DataFrame, pairs: DataFrame, width: int, similarity: fl
     return pairs.join(a, "a").join(b, "b").where(same("sa", "sb") >= similarity).select("a", "b")
 
 
-def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 4, radius: int = 16) -> DataFrame:
+def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """``_h1, root``: each text (by its hash) with the hash that names its group.
 
     Texts are linked if the sets of their ``width``-word shingles have at least the given Jaccard
-    similarity. Candidates come from 256-bit fingerprints of two-word shingles, complete up to ``radius``
-    bits; an edit touches fewer short shingles, so pairs at the similarity lie well within reach. Pairs
+    similarity. All such pairs share a key of ``SetKeys``, whatever the edits and the number of texts. Pairs
     that a bound on the shingle sets rules out are not made.
 
     Every text is linked to hubs first. The groups that gives are then linked by the pairs between them,
-    so the members of a large group are not paired with one another.
+    so the members of a large group are not paired with one another. Texts without a word are one group.
     """
     from cascata.llm.common import text_key
 
     texts = documents.select("text", text_key(F.col("text"))[0])
-    classes = store(
-        texts.select(
-            "_h1", fingerprint_column(F.col("text"), 2, words, True).alias("print"), parities(F.col("text"), width).alias("odd")
-        ).groupBy("_h1").agg(F.first("print").alias("print"), F.first("odd").alias("odd")), "classes",
+    # 64 bits of hash name a text.
+    word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    nodes = store(texts.select(F.col("_h1").alias("node"), word.alias("word")).distinct(), "nodes")
+    index = set_index(texts.where(word), width, similarity)
+    wanted = index.select(F.col("node").alias("_h1")).distinct().hint("merge")
+    profiles = store(
+        texts.join(wanted, "_h1", "left_semi").select(F.col("_h1").alias("node"), parities(F.col("text"), width).alias("odd"))
+        .groupBy("node").agg(F.first("odd").alias("odd")), "profiles",
     )
-    # 64 bits of hash name a text; fingerprints, not texts, go through the grouping.
-    nodes = classes.select(F.col("_h1").alias("node"), "print", "odd")
-    probing, within = probing_of(nodes, radius, words), 12 * words
-    index = store(keys_of(nodes, probing, False), "index")
     # Links to hubs first: they join most of a large group, of which no other pairs are looked at then.
-    hubs = similar_pairs(texts, store(hub_pairs(index, words, within, similarity), "pairs"), width, similarity)
+    hubs = similar_pairs(texts, store(hub_pairs(index, profiles, similarity), "pairs"), width, similarity)
     first = store(components(hubs), "roots")
-    grouped = store(nodes.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
-    pairs = pairs_between(grouped, index, probing, within, similarity)
+    grouped = store(profiles.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
+    pairs = pairs_between(grouped, index, similarity)
     links = similar_pairs(texts, pairs, width, similarity)
     inner = first.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = store(components(links.unionByName(inner)), "roots")
-    linked = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    wordless = nodes.where(~F.col("word")).agg(F.min("node")).first()[0]
+    alone = F.when(F.col("word"), F.col("node")).otherwise(F.lit(wordless).cast("long"))
+    linked = nodes.join(roots, "node", "left").withColumn("root", F.coalesce(F.col("root"), alone))
     return store(linked.select(F.col("node").alias("_h1"), "root"), "groups")
 
 
