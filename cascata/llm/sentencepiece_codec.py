@@ -32,8 +32,10 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 MARK = "▁"
 CUT = "\ud800"  # in no valid text
-PARTS_KEPT = 300_000
+PARTS_KEPT = 450_000
 PAIRS_KEPT = 500_000
+#: Slots, a power of two, of the table in which pairs are looked up all at once.
+SLOTS = 1 << 20
 #: Before these a text is cut where no piece holds the two characters side by side.
 PUNCTUATION = ".,;:!?|*%&#$"
 #: Characters of texts that are cut into words at once, and of a word that goes with others.
@@ -71,8 +73,8 @@ class PieceModel:
         strange = "".join(re.escape(p) for p in self.ids if len(p) == 1)
         pairs = {pair for p in self.ids for pair in zip(p, p[1:])}
         before = {a for a, b in pairs if b in PUNCTUATION} | {MARK}
-        plain = "".join(re.escape(p) for p in self.ids if len(p) == 1 and p not in before)
-        self.border = re.compile(f"(?<=[{plain}])(?=[{re.escape(PUNCTUATION)}])")
+        held = "".join(map(re.escape, sorted(before)))
+        self.whole = re.compile(f"{CUT}(?=[{re.escape(PUNCTUATION)}])(?<=[{held}]{CUT})")
         if "\n" in self.ids:
             raise ValueError("line breaks must not be pieces")
         self.strange = re.compile(f"([^{strange}]+)")
@@ -80,7 +82,10 @@ class PieceModel:
         self.shown = [p.replace(MARK, " ") for p in self.pieces]
         self.fits: dict[int, bool] = {}
         self.trees: dict[int, tuple[int, int, bool] | None] = {}
+        self.slot_pair, self.slot_fits = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, bool)
         self.parts: dict[str, bytes] = {}
+        self.again: set[str] = set()
+        self.turn = 0
         self.runs: dict[int, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -147,14 +152,27 @@ class PieceModel:
         finally:
             self.score[piece] = kept
 
-    def compatible(self, pairs: list[int]) -> list[bool]:
-        """A pair is (left + 1) << 32 | right; left -1: nothing or a foreign character stands before."""
-        known = self.fits
-        if len(known) > PAIRS_KEPT:
-            known.clear()
-        for pair in {p for p in pairs if p not in known}:
-            known[pair] = self.tested((pair >> 32) - 1, pair & 0xFFFFFFFF)
-        return [known[p] for p in pairs]
+    def compatible(self, pairs: np.ndarray) -> np.ndarray:
+        """A pair is (left + 1) << 32 | right; left -1: nothing or a foreign character stands before.
+
+        Each pair has one slot of a table; what is not there is looked up, or tested, once a call.
+        """
+        slot = ((pairs * -7046029254386353131) >> 40) & (SLOTS - 1)
+        out = self.slot_fits[slot]
+        if len(miss := np.flatnonzero(self.slot_pair[slot] != pairs)):
+            known = self.fits
+            if len(known) > PAIRS_KEPT:
+                known.clear()
+            new, back = np.unique(pairs[miss], return_inverse=True)
+            for pair in new.tolist():
+                if pair not in known:
+                    known[pair] = self.tested((pair >> 32) - 1, pair & 0xFFFFFFFF)
+            fits = np.fromiter(map(known.__getitem__, new.tolist()), bool, len(new))
+            out[miss] = fits[back]
+            at = ((new * -7046029254386353131) >> 40) & (SLOTS - 1)
+            at, first = np.unique(at, return_index=True)
+            self.slot_pair[at], self.slot_fits[at] = new[first], fits[first]
+        return out
 
     def tested(self, left: int, right: int) -> bool:
         """Undo the merges of both tokens from the last one back and look at what meets at the border.
@@ -213,8 +231,7 @@ class PieceModel:
                 at = np.flatnonzero((t == k) & (last[e] == -2) & (last[b] != -2))
                 if len(at):
                     left = last[b[at]]
-                    fits = self.compatible(((left + 1) << 32 | i[at]).tolist())
-                    at = at[fits]
+                    at = at[self.compatible((left + 1) << 32 | i[at])]
                     last[e[at]] = i[at]
         # Backwards: token k from the end of every text that has as many.
         at, live, taken = first + size, np.arange(len(texts)), []
@@ -265,15 +282,23 @@ class PieceModel:
             whole = [self.apart(t) for t in texts[start:stop]]
             cut = [w.split(CUT) if w else [] for w in whole]
             if len(self.parts) > PARTS_KEPT:
-                self.parts.clear()
-            if new := list(set(chain.from_iterable(cut)).difference(self.parts)):
-                self.learn(new)
-            known, twice = self.parts, MARK + CUT + MARK
+                # Parts seen again since the last time stay; most parts come once.
+                self.parts, self.again = {p: self.parts[p] for p in self.again}, set()
+            flat = list(chain.from_iterable(cut))
+            ids = list(map(self.parts.get, flat))
+            new = [k for k, found in enumerate(ids) if found is None]
+            if self.turn % 4 == 0:
+                self.again.update(p for p, found in zip(flat, ids) if found is not None)
+            self.turn += 1
+            if new:
+                self.learn(list({flat[k] for k in new}))
+                for k in new:
+                    ids[k] = self.parts[flat[k]]
+            at, twice = 0, MARK + CUT + MARK
             for text, parts in zip(whole, cut):
-                if twice in text:
-                    out.append(self.with_runs(parts))
-                else:
-                    out.append(b"".join(map(known.__getitem__, parts)))
+                end = at + len(parts)
+                out.append(self.with_runs(parts, ids[at:end]) if twice in text else b"".join(ids[at:end]))
+                at = end
             start = stop
         return out
 
@@ -283,14 +308,15 @@ class PieceModel:
             return ""
         marked = MARK + text.replace(" ", MARK)
         marked = marked.replace(MARK, CUT + MARK)[1:].replace("\n", f"{CUT}\n{CUT}")
-        return self.border.sub(CUT, marked).replace(CUT + CUT, CUT).removesuffix(CUT)
+        for p in PUNCTUATION:
+            marked = marked.replace(p, CUT + p)
+        return self.whole.sub("", marked).replace(CUT + CUT, CUT).removesuffix(CUT)
 
-    def with_runs(self, parts: list[str]) -> bytes:
+    def with_runs(self, parts: list[str], found: list[bytes]) -> bytes:
         """As the plain join, but marks that stand together are merged as one run."""
-        out, marks, known = [], 0, self.parts
+        out, marks = [], 0
         alone = np.int32(self.ids[MARK]).tobytes()
-        for part in parts:
-            ids = known[part]
+        for part, ids in zip(parts, found):
             if part[:1] == MARK and ids[:4] == alone:
                 marks, ids = marks + 1, ids[4:]
             elif part[:1] == MARK and marks:

@@ -11,19 +11,16 @@ counts estimated on the sample, so values that many fingerprints share are skipp
 rarer. Each fingerprint is indexed once a partition, is probed with all values within the thresholds,
 and candidates are verified on all bits. Nothing is capped: the sample only steers costs.
 
-Texts whose shingle sets are similar (``similar_groups``) are found without fingerprints, by keys of the sets
-that are complete for the similarity asked for.
-
 Groups are connected components by alternating large and small stars over the links.
 
 A text without a word has fingerprint zero and is linked like any other. Null texts are empty texts. A
 group whose ids are all null has a null component. Rows with equal ids count separately. An empty table
-gives an empty result. Extra columns are ignored.
+gives an empty result. Extra columns are ignored by ``near_groups`` and carried by ``keep_one``. Texts are
+read whole, however long: their hashes are counted in chunks.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from dataclasses import dataclass
 from itertools import combinations
 from math import comb
@@ -31,10 +28,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cascata.llm.common import release, spare, store
+from cascata.llm.common import release, spare, store, text_key
 
 SEED = 42
 SAMPLE = 2048
@@ -255,146 +252,6 @@ def candidates(prints: DataFrame, radius: int, words: int, partitions: int | Non
     return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
-def parities(text: Column, width: int) -> Column:
-    """Of a text's set of shingles: the parity of the number in each of 256 bins, as four words, and its size."""
-
-    @F.arrow_udf("array<bigint>")
-    def counted(texts: pa.Array) -> pa.Array:
-        rows = []
-        for t in texts:
-            hashes = np.unique(shingle_hashes(t.as_py(), width))
-            odd = np.bincount((hashes % np.uint64(256)).astype(np.int64), minlength=256) & 1
-            rows.append([*np.packbits(odd.astype(np.uint8)).view(np.int64).tolist(), len(hashes)])
-        return pa.array(rows, pa.list_(pa.int64()))
-
-    return counted(text)
-
-
-def may_be_similar(a: Column, b: Column, similarity: float) -> Column:
-    """False only for sets that are less similar: bins of unlike parity are at most the elements not shared."""
-    sizes = F.get(a, F.lit(4)) + F.get(b, F.lit(4))
-    return (1 + similarity) * distance(a, b, 4) <= (1 - similarity) * sizes + 1e-6
-
-
-class SetKeys:
-    """Keys of sets of hashes, such that any two sets of at least ``similarity`` share one.
-
-    Sizes are cut into classes whose greatest size is 1 / similarity times the least, so the sizes of similar
-    sets lie in one class or in two that adjoin: a set gets the keys of its own class and of the next. Sets of
-    sizes m and n that are similar differ in at most (m + n) (1 - similarity) / (1 + similarity) hashes. A class
-    has more bins of the hash range than that for its greatest sizes, so two similar sets agree in a whole bin;
-    a key names a bin and what it holds. Empty bins give keys only where they may be all that agrees.
-    """
-
-    def __init__(self, similarity: float):
-        self.similarity, self.share = similarity, (1 - similarity) / (1 + similarity)
-        self.least, self.most, self.bins = [], [], []
-        at = 1
-        while at < 1 << 31:
-            self.least.append(at)
-            self.most.append(int(at / similarity + 1e-9))
-            apart = int(2 * self.most[-1] * self.share + 1e-9)
-            # A few bins more than needed make empty ones matter less.
-            self.bins.append(apart + 1 + (apart and apart // 16 + 1))
-            at = self.most[-1] + 1
-
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        """``hashes`` are sorted and distinct; none give no key."""
-        n, out = len(hashes), []
-        if not n:
-            return np.zeros(0, np.uint64)
-        own = bisect_right(self.least, n) - 1
-        mixed = stirred(hashes)
-        for j in (own, own + 1):
-            bins, greatest = self.bins[j], min(self.most[j], int(n / self.similarity + 1e-9))
-            # The high bits name the bin, so a bin's hashes lie together.
-            at = ((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
-            first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            held, sums = at[first], np.add.reduceat(mixed, first)
-            if len(first) <= int((n + greatest) * self.share + 1e-9):
-                empty = np.setdiff1d(np.arange(bins, dtype=np.uint64), held)
-                held, sums = np.concatenate([held, empty]), np.concatenate([sums, np.zeros(len(empty), np.uint64)])
-            out.append(stirred(sums ^ stirred(held + np.uint64(j << 32) + np.uint64(1))))
-        return np.concatenate(out)
-
-
-def stirred(values: np.ndarray) -> np.ndarray:
-    """64-bit values mixed one to one."""
-    values = (values ^ (values >> np.uint64(32))) * np.uint64(SPREAD[1])
-    values = (values ^ (values >> np.uint64(29))) * np.uint64(SPREAD[2])
-    return values ^ (values >> np.uint64(32))
-
-
-def set_index(texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """``value, node`` of the keys that several texts share; ``texts`` has ``text, _h1``. One shuffle of all keys."""
-
-    def entries(batches):
-        keys, seen = SetKeys(similarity), set()
-        for batch in batches:
-            value, node, many = [], [], 0
-            for h, t in zip(batch.column("node").to_pylist(), batch.column("text")):
-                # Most copies of a text go here; the window below stands any that are left.
-                if h in seen:
-                    continue
-                if len(seen) >= 1 << 16:
-                    seen.clear()
-                seen.add(h)
-                value.append(keys.of(np.unique(shingle_hashes(t.as_py(), width))).view(np.int64))
-                node.append(np.full(len(value[-1]), h, np.int64))
-                many += len(value[-1])
-                if many >= 1 << 17:
-                    yield pa.RecordBatch.from_pydict({"value": np.concatenate(value), "node": np.concatenate(node)})
-                    value, node, many = [], [], 0
-            if value:
-                yield pa.RecordBatch.from_pydict({"value": np.concatenate(value), "node": np.concatenate(node)})
-
-    keys = texts.select(F.col("_h1").alias("node"), "text").mapInArrow(entries, "value long, node long")
-    alike = Window.partitionBy("value")
-    shared = keys.withColumns({"_a": F.min("node").over(alike), "_z": F.max("node").over(alike)}).where("_a < _z")
-    return store(shared.select("value", "node").distinct(), "index")
-
-
-def hub_pairs(index: DataFrame, profiles: DataFrame, similarity: float) -> DataFrame:
-    """Each node of an index value with the value's least node, if they may be similar.
-
-    At most one pair an index row, so large groups cost no more than their rows.
-    """
-    hubs = index.groupBy("value").agg(F.min("node").alias("a"))
-    met = index.join(hubs, "value").where("a < node").select("a", F.col("node").alias("b")).distinct()
-    a, b = (profiles.select(F.col("node").alias(n), F.col("odd").alias("_" + n)) for n in "ab")
-    return met.join(a, "a").join(b, "b").where(may_be_similar(F.col("_a"), F.col("_b"), similarity)).select("a", "b")
-
-
-def pairs_between(grouped: DataFrame, index: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a < b`` of nodes of two groups that share a value and may be similar; ``grouped`` has ``node, odd, root``.
-
-    An index value's most frequent group is kept apart (side 1) and met by nodes of other groups only, so
-    the nodes of one large group are not compared with one another. The pairs are stored; ``index`` is deleted.
-    """
-    keyed = store(index.join(grouped, "node"), "keyed")
-    release(index)
-    often = store(
-        keyed.groupBy("value", "root").agg(F.count("*").alias("_n"))
-        .groupBy("value").agg(F.max_by("root", F.struct("_n", "root")).alias("_often"), F.count("*").alias("_r"))
-        .where("_r > 1").drop("_r"), "often",
-    )
-    sided = keyed.join(often, "value").withColumn("_is", F.col("root") == F.col("_often")).drop("_often")
-    a = sided.where("not _is").withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
-    b = sided.withColumn("side", F.col("_is").cast("int"))
-    a, b = a.alias("a"), b.alias("b")
-    # Nodes out of the frequent group meet one another at side 0, and those in it at side 1.
-    met = a.join(
-        b,
-        (F.col("a.value") == F.col("b.value")) & (F.col("a.side") == F.col("b.side")) & (F.col("a.root") != F.col("b.root"))
-        & ((F.col("a.side") == 1) | (F.col("a.node") < F.col("b.node")))
-        & may_be_similar(F.col("a.odd"), F.col("b.odd"), similarity),
-    )
-    pairs = met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
-    stored = store(pairs.distinct(), "pairs")
-    release(keyed, often)
-    return stored
-
-
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of a link; the root is the least node of its component.
 
@@ -423,16 +280,23 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def near_groups(documents: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row, linked at ``radius`` or fewer bits."""
+def linked_prints(documents: DataFrame, width: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, _h1, _h2, node, print`` for every row, and ``node, least, root`` for every distinct fingerprint."""
     prints = store(
-        documents.select("doc_id", fingerprint_column(F.col("text"), width).alias("print")), "prints"
-    ).select("doc_id", F.get("print", F.lit(0)).alias("node"), "print")
+        documents.select("doc_id", *text_key(F.col("text")), fingerprint_column(F.col("text"), width).alias("print")),
+        "prints",
+    ).select("doc_id", "_h1", "_h2", F.get("print", F.lit(0)).alias("node"), "print")
     distinct = store(
         prints.groupBy("node").agg(F.first("print").alias("print"), F.min("doc_id").alias("least")), "distinct"
     )
     roots = store(components(candidates(distinct, radius, 1)), "roots")
     linked = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return prints, linked.select("node", "least", "root")
+
+
+def near_groups(documents: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row, linked at ``radius`` or fewer bits."""
+    prints, linked = linked_prints(documents, width, radius)
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = linked.join(least, "root").select("node", "component_id")
     return prints.join(named, "node").select(
@@ -440,94 +304,25 @@ def near_groups(documents: DataFrame, width: int = 3, radius: int = 2) -> DataFr
     )
 
 
-def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Similarity of sorted distinct hash lists."""
-    out = []
-    for x, y in zip(a, b):
-        x, y = x.values.to_numpy(), y.values.to_numpy()
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        union = len(x) + len(y) - both
-        out.append(both / union if union else 1.0)
-    return pa.array(out, pa.float64())
-
-
-def shingle_set(text: Column, width: int) -> Column:
-    @F.arrow_udf("array<bigint>")
-    def hashed(texts: pa.Array) -> pa.Array:
-        sets = [np.unique(shingle_hashes(t.as_py(), width).view(np.int64)) for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))
+def keep_one(documents: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
+    """One document of each group of ``near_groups``: the one with the least id that the group has.
 
-    return hashed(text)
-
-
-def similar_pairs(texts: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Those of ``pairs`` whose texts' sets of shingles are similar; ``texts`` has ``text, _h1``."""
-    wanted = pairs.select(F.col("a").alias("_h1")).union(pairs.select(F.col("b"))).distinct()
-    sets = store(
-        texts.join(wanted.hint("merge"), "_h1", "left_semi").select(F.col("_h1").alias("node"), shingle_set(F.col("text"), width).alias("set"))
-        .groupBy("node").agg(F.first("set").alias("set")), "sets",
-    )
-    same = F.arrow_udf(jaccard, "double")
-    a, b = sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").where(same("sa", "sb") >= similarity).select("a", "b")
-
-
-def similar_groups(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``_h1, root``: each text (by its hash) with the hash that names its group.
-
-    Texts are linked if the sets of their ``width``-word shingles have at least the given Jaccard
-    similarity. All such pairs share a key of ``SetKeys``, whatever the edits and the number of texts. Pairs
-    that a bound on the shingle sets rules out are not made.
-
-    Every text is linked to hubs first. The groups that gives are then linked by the pairs between them,
-    so the members of a large group are not paired with one another. Texts without a word are one group.
-    """
-    from cascata.llm.common import text_key
-
-    texts = documents.select("text", text_key(F.col("text"))[0])
-    # 64 bits of hash name a text.
-    word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    nodes = store(texts.select(F.col("_h1").alias("node"), word.alias("word")).distinct(), "nodes")
-    index = set_index(texts.where(word), width, similarity)
-    wanted = index.select(F.col("node").alias("_h1")).distinct().hint("merge")
-    profiles = store(
-        texts.join(wanted, "_h1", "left_semi").select(F.col("_h1").alias("node"), parities(F.col("text"), width).alias("odd"))
-        .groupBy("node").agg(F.first("odd").alias("odd")), "profiles",
-    )
-    # Links to hubs first: they join most of a large group, of which no other pairs are looked at then.
-    hubs = similar_pairs(texts, store(hub_pairs(index, profiles, similarity), "pairs"), width, similarity)
-    first = store(components(hubs), "roots")
-    grouped = store(profiles.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
-    pairs = pairs_between(grouped, index, similarity)
-    links = similar_pairs(texts, pairs, width, similarity)
-    inner = first.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    roots = store(components(links.unionByName(inner)), "roots")
-    wordless = nodes.where(~F.col("word")).agg(F.min("node")).first()[0]
-    alone = F.when(F.col("word"), F.col("node")).otherwise(F.lit(wordless).cast("long"))
-    linked = nodes.join(roots, "node", "left").withColumn("root", F.coalesce(F.col("root"), alone))
-    return store(linked.select(F.col("node").alias("_h1"), "root"), "groups")
-
-
-def keep_one(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One document of each group of similar texts: the one with the least id that the group has.
-
-    Rows that share id and text are one document of which one row stays. Without any id in a group, one
-    of its rows stays.
+    Of several texts with that id the one with the least hash stays. Rows that share id and text are one
+    document, of which one row stays. Without any id in a group, one of its rows stays.
     """
-    from cascata.llm.common import text_key
-
-    groups = similar_groups(documents, width, similarity)
-    # Of the texts with the group's least id, the one with the least hash stays.
-    keyed = documents.select("doc_id", *text_key(F.col("text"))).join(groups, "_h1")
-    chosen = (
-        keyed.groupBy("root")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("_z"), "doc_id", "_h1")).alias("_c"))
-        .select(F.col("_c._h1").alias("_kh"), F.col("_c.doc_id").alias("_kid"))
-    )
-    chosen = store(chosen, "chosen")
-    key = spare(documents, "_key")
-    named = documents.withColumn(key, F.xxhash64("doc_id", text_key(F.col("text"))[0]))
-    chosen = chosen.select(F.xxhash64("_kid", "_kh").alias(key)).hint("merge")
+    prints, linked = linked_prints(documents, width, radius)
+    # One row a fingerprint before the groups are joined, so a large group of copies is one row a task.
+    order = F.struct(F.col("doc_id").isNull().alias("_z"), "doc_id", "_h1", "_h2")
+    best = prints.groupBy("node").agg(F.min(order).alias("_c")).join(linked.select("node", "root"), "node")
+    chosen = store(best.groupBy("root").agg(F.min("_c").alias("_c")).select("_c.*"), "chosen")
+    k1, k2 = spare(documents, "_k1"), spare(documents, "_k2")
+    named = documents.withColumns(dict(zip((k1, k2), _names(F.col("doc_id"), *text_key(F.col("text"))))))
+    names = [n.alias(k) for n, k in zip(_names(F.col("doc_id"), F.col("_h1"), F.col("_h2")), (k1, k2))]
     # The join has rows of one document together, so dropping repeats moves nothing again.
-    return named.join(chosen, key, "left_semi").dropDuplicates([key]).drop(key)
+    kept = named.join(chosen.select(*names).hint("merge"), [k1, k2], "left_semi")
+    return kept.dropDuplicates([k1, k2]).drop(k1, k2)
+
+
+def _names(doc_id: Column, h1: Column, h2: Column) -> list[Column]:
+    """128 bits that name a document: its id and text."""
+    return [F.xxhash64(doc_id, h1), F.xxhash64(F.lit("second"), doc_id, h2)]

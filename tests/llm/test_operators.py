@@ -206,70 +206,23 @@ def test_candidates_are_complete(spark):
     assert got == {(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 3}
 
 
-def test_similar_texts_keep_one(spark):
+def test_keep_one(spark):
     rng = random.Random(6)
-    rows, copies = [], set()
+    rows = [*odd_rows(), (900, "same text again"), (900, "same text again"), (900, "other"), (None, None), (None, "own")]
     for k in range(40):
-        text = words_text(rng, 200).split()
-        rows.append((2 * k, " ".join(text)))
-        if k % 2:
-            near = list(text)
-            near[100], near[50] = "one", "two"
-            rows.append((2 * k + 1, " ".join(near if k % 4 == 1 else text)))
-            copies.add(2 * k + 1)
-    rows += [(900, "same text again"), (900, "same text again"), (None, None), (None, "")]
-    kept = simhash.keep_one(docs(spark, rows))
-    ids = sorted(str(r.doc_id) for r in kept.collect())
-    assert kept.columns == DOCS.replace(" long", "").replace(" string", "").split(", ")
-    assert ids == sorted([str(i) for i, _ in rows[:-4] if i not in copies] + ["900", "None"])
-
-
-def shingles(text):
-    w = (text or "").lower().split()
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-
-def alike(a, b):
-    return len(a & b) >= 0.8 * len(a | b) - 1e-12
-
-
-def test_similar_groups_are_complete(spark):
-    rng = random.Random(14)
-    texts = ["", " \n", "a", "A ", "a b c d e", "a b c d e f", *[words_text(rng, n) for n in (3, 9, 40)]]
-    shared = words_text(rng, 30)
-    for k in range(70):
-        n = rng.choice([12, 30, 100, 400])
-        body = (words_text(rng, n) + (" " + shared if k % 3 == 0 else "")).split()
-        n, many = len(body), int(len(body) * rng.choice([0.095, 0.23, 0.26]))
-        at = rng.randrange(max(1, n - many))
-        near = body[:at] + words_text(rng, many).split() + body[at + many :] if k % 2 else body + words_text(rng, many).split()
-        texts += [" ".join(body), " ".join(near)]
-    sets = [shingles(t) for t in texts]
-    linked = [(i, j) for i in range(len(texts)) for j in range(i) if alike(sets[i], sets[j])]
-    root = grouped(len(texts), linked)
-    frame = docs(spark, list(enumerate(texts)))
-    named = frame.select("doc_id", common.text_key(F.col("text"))[0]).join(simhash.similar_groups(frame), "_h1")
-    found = {}
-    for r in named.collect():
-        found.setdefault(r.root, set()).add(r.doc_id)
-    want = {}
-    for i, r in enumerate(root):
-        want.setdefault(r, set()).add(i)
-    assert len(linked) > 25
-    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
-
-
-def test_similar_sets_share_a_key():
-    rng, keys = np.random.default_rng(15), simhash.SetKeys(0.8)
-    for _ in range(4000):
-        n = int(rng.choice([1, 2, 4, 5, 6, 9, 10, 17, 40, 90, 300]))
-        most = int(n / 0.8 + 1e-9) - n
-        # Half of the time elements are added only, otherwise as many are replaced as the similarity allows.
-        pool = rng.integers(0, 2**64, 2 * n + 2, dtype=np.uint64)
-        a = pool[:n]
-        b = pool[: n + int(rng.integers(0, most + 1))] if rng.random() < 0.5 else pool[n // 9 : n + n // 9]
-        assert len(set(a.tolist()) & set(b.tolist())) >= 0.8 * len(set(a.tolist()) | set(b.tolist())) - 1e-9
-        assert np.intersect1d(keys.of(np.sort(a)), keys.of(np.sort(b))).size
+        text = words_text(rng, 300)
+        rows += [(1000 + 3 * k, text), (1001 + 3 * k, text.upper()), (1002 + 3 * k, text + " extra" if k % 2 else words_text(rng, 200))]
+    prints = [simple_print(t, 3) for _, t in rows]
+    linked = [(a, b) for a in range(len(rows)) for b in range(a) if bin(prints[a] ^ prints[b]).count("1") <= 2]
+    root, least = grouped(len(rows), linked), {}
+    for (i, _), r in zip(rows, root):
+        least[r] = min(least.get(r, (True, 0)), (i is None, i or 0))
+    frame = docs(spark, rows)
+    kept = simhash.keep_one(frame)
+    assert kept.columns == frame.columns
+    want = Counter(None if z else i for z, i in least.values())
+    assert Counter(r.doc_id for r in kept.collect()) == want
+    assert simhash.keep_one(frame.limit(0)).count() == 0
 
 
 def test_sharding(spark):
