@@ -29,9 +29,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts with five-word shingle similarity of 0.8 or more stays."""
+    """One document of each group stays whose fingerprints link at two or fewer differing bits."""
     common.ship(spark)
-    return simhash.keep_one(docs, 5, 0.8).select(*COLUMNS)
+    return simhash.keep_one(docs, 3, 2).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
