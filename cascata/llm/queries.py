@@ -11,6 +11,7 @@ from cascata.llm import (
     common,
     decontamination,
     line_dedup,
+    minhash,
     quality_classifier,
     quality_rules,
     sentencepiece_codec,
@@ -136,6 +137,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(documents, counts=True)
 
 
+@query("op11_minhash")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.fingerprint_documents(table(spark, folder, "documents"))
+
+
 def crawl_records(pages: DataFrame) -> DataFrame:
     """A crawl read off the pages table: a full response a page, and a later revisit of its url.
 
