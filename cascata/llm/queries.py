@@ -17,6 +17,7 @@ from cascata.llm import (
     sentencepiece_codec,
     sharding,
     simhash,
+    spelling,
     toxicity,
     url_filters,
     warc,
@@ -142,6 +143,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.fingerprint_documents(table(spark, folder, "documents"))
 
 
+@query("op12_spelling")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 def crawl_records(pages: DataFrame) -> DataFrame:
     """A crawl read off the pages table: a full response a page, and a later revisit of its url.
 
