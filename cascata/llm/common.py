@@ -98,17 +98,21 @@ def bounded_labels(labels: DataFrame, label: str, per_class: int) -> DataFrame:
     return drawn[0].unionByName(drawn[1])
 
 
-def sum_arrays(df: DataFrame, column: str, groups: int = 32):
-    """Sum equal-length float arrays in two steps: ``groups`` partial sums on executors, then those rows.
+def sum_arrays(df: DataFrame, column: str, kind: str = "double"):
+    """Sum equal-length arrays, one a partition: at most 32 at a time on executors, then the few that are left.
 
-    ``df`` has one array a partition. Returns a numpy vector, or None without rows.
+    Three rounds, so 100,000 partitions leave four arrays for the driver. Returns a numpy vector, or None
+    without rows; ``kind`` is the type of the entries.
     """
     import numpy as np
     import pandas as pd
 
     def added(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"v": [np.sum(np.stack(frame[column].to_list()), axis=0)]})
+        total = np.sum(frame["v"].to_list(), axis=0)
+        return pd.DataFrame({"v": [total], "_g": [frame["_g"].iloc[0] // 32]})
 
-    keyed = df.withColumn("_g", F.spark_partition_id() % groups)
-    rows = keyed.groupBy("_g").applyInPandas(added, "v array<double>").collect()
+    part = df.select(F.col(column).alias("v"), F.floor(F.spark_partition_id() / 32).cast("int").alias("_g"))
+    for _ in range(3):
+        part = part.groupBy("_g").applyInPandas(added, f"v array<{kind}>, _g int")
+    rows = part.collect()
     return np.sum([np.array(r["v"]) for r in rows], axis=0) if rows else None

@@ -21,6 +21,7 @@ from cascata.llm import (
     toxicity,
     url_filters,
     warc,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,6 +149,11 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))
 
 
+@query("op13_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def crawl_records(pages: DataFrame) -> DataFrame:
     """A crawl read off the pages table: a full response a page, and a later revisit of its url.
 
