@@ -11,7 +11,12 @@ account left, ...). Conditions, values and keys are SQL expressions. Many metric
    (the grid); cells that no such role touches are dropped, so the grid needs no join.
 
 Distinct counts take a second path: every row gives one bit per metric it counts for, bits are
-OR-ed per (cell, id) and then summed per cell. The id-level group has a state of one integer.
+OR-ed per (cell, id) and then summed per cell. The id-level group has a state of a few integers.
+
+Several waterfalls of one source can share a *cube*: the sums of all their measures by all columns that
+their roles read, and one set of flags per such cell and id, which tells what conditions any row of the
+id met. Both merge: sums add up and flags are OR-ed (``Cube.merge``), so the counts of two loads come from
+their cubes, without their rows. A flag word holds 62 conditions; there are as many words as needed.
 """
 
 from __future__ import annotations
@@ -19,10 +24,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ONE = "1L"
+#: Bits used of a 64-bit word.
+WORD = 62
 
 
 @dataclass(frozen=True)
@@ -67,6 +74,77 @@ class Source:
     group: Sequence[str]
     id: str | None = None
     one_pass: bool = False
+    #: With a cube ``frame`` has its sums and ``id_frame`` its ids, with any columns that the roles add.
+    cube: Cube | None = None
+    id_frame: DataFrame | None = None
+
+
+def _measures(parts, name: str) -> dict[tuple[str, str], str]:
+    """A column for every (condition, value); terms that differ only in role or sign share one."""
+    keys = dict.fromkeys((p.where, p.value) for p in parts if not p.distinct)
+    return {key: f"{name}_{k}" for k, key in enumerate(keys)}
+
+
+def _sum_columns(measures: dict[tuple[str, str], str]) -> list[Column]:
+    return [
+        F.expr(f"sum(CASE WHEN {where} THEN {value} END)").alias(column)
+        for (where, value), column in measures.items()
+    ]
+
+
+def _words(tests: Sequence[str], prefix: str) -> list[tuple[str, str]]:
+    """(name, expression) of the integers that hold one bit a test."""
+    bits = [f"CASE WHEN {test} THEN {1 << k % WORD}L ELSE 0L END" for k, test in enumerate(tests)]
+    groups = [bits[k : k + WORD] for k in range(0, len(bits), WORD)]
+    return [(f"{prefix}{w}", " | ".join(group)) for w, group in enumerate(groups)]
+
+
+def _bit(k: int, prefix: str) -> str:
+    return f"shiftright({prefix}{k // WORD}, {k % WORD}) & 1L"
+
+
+@dataclass
+class Cube:
+    """Sums of a source by ``group``, and flags by ``group`` and id; ``parts`` are the terms it serves."""
+
+    parts: Sequence[Part]
+    name: str
+    group: Sequence[str]
+    sums: DataFrame | None = None
+    ids: DataFrame | None = None
+
+    @property
+    def measures(self) -> dict[tuple[str, str], str]:
+        return _measures(self.parts, self.name)
+
+    @property
+    def flags(self) -> list[str]:
+        return list(dict.fromkeys(p.where for p in self.parts if p.distinct))
+
+    def sums_of(self, frame: DataFrame) -> DataFrame:
+        return frame.groupBy(*self.group).agg(*_sum_columns(self.measures))
+
+    def ids_of(self, frame: DataFrame, id: str) -> DataFrame:
+        """Cells and ids that meet a condition at all."""
+        words = _words(self.flags, "__flags")
+        tagged = frame.withColumn("__id", F.expr(id)).where("__id IS NOT NULL")
+        grouped = tagged.selectExpr(*self.group, "__id", *[f"{e} AS {n}" for n, e in words]).where(
+            " OR ".join(f"{n} <> 0" for n, _ in words)
+        )
+        return self._joined(grouped)
+
+    def _joined(self, rows: DataFrame) -> DataFrame:
+        words = [n for n, _ in _words(self.flags, "__flags")]
+        return rows.groupBy(*self.group, "__id").agg(*[F.bit_or(n).alias(n) for n in words])
+
+    def merge(self, other: Cube) -> Cube:
+        """The cube of the rows of both."""
+        added = [F.sum(c).alias(c) for c in self.measures.values()]
+        sums = self.sums.unionByName(other.sums).groupBy(*self.group).agg(*added)
+        return Cube(self.parts, self.name, self.group, sums, self._joined(self.ids.unionByName(other.ids)))
+
+    def test(self, where: str) -> str:
+        return f"({_bit(self.flags.index(where), '__flags')}) = 1"
 
 
 @dataclass
@@ -124,18 +202,18 @@ class Waterfall:
         roles = list(source.roles.items())
         if not parts and not any(role.grid for _, role in roles):
             return None
-        # Terms that differ only in role or sign share one measure.
-        measures = {key: f"{name}_{k}" for k, key in enumerate(dict.fromkeys((p.where, p.value) for _, p in parts))}
-        marks = [
-            F.expr(f"bool_or({role.grid})").alias(f"__g{k}")
-            for k, (_, role) in enumerate(roles)
-            if role.grid
-        ]
-        sums = [
-            F.expr(f"sum(CASE WHEN {where} THEN {value} END)").alias(column)
-            for (where, value), column in measures.items()
-        ]
-        small = source.frame.groupBy(*source.group).agg(*marks, *sums)
+        grid_tests = [(f"__g{k}", role.grid) for k, (_, role) in enumerate(roles) if role.grid]
+        measures = _measures([p for _, p in parts], name)
+        if source.cube is None:
+            marks = [F.expr(f"bool_or({test})").alias(mark) for mark, test in grid_tests]
+            small = source.frame.groupBy(*source.group).agg(*marks, *_sum_columns(measures))
+        else:
+            # Tests of the grid read cell columns only, so they hold for a cell as for its rows.
+            held = source.cube.measures
+            small = source.frame.selectExpr(
+                *source.group, *[f"({test}) AS {mark}" for mark, test in grid_tests],
+                *[f"{held[key]} AS {column}" for key, column in measures.items()],
+            )
         guards, grids = [], []
         terms: dict[str, list[tuple[int, str]]] = {}
         for k, (role_name, role) in enumerate(roles):
@@ -164,31 +242,28 @@ class Waterfall:
         parts = self._parts(name, distinct=True)
         if not parts:
             return None
-        roles = list(source.roles.items())
-        bits, guards = [], []
-        for k, (role_name, role) in enumerate(roles):
-            mine = [
-                f"CASE WHEN {p.where} THEN {1 << bit}L ELSE 0L END"
-                for bit, (_, p) in enumerate(parts)
-                if p.role == role_name
-            ]
-            hits = [p.where for _, p in parts if p.role == role_name]
+        roles, cube = list(source.roles.items()), source.cube
+        test = (lambda p: p.where) if cube is None else (lambda p: cube.test(p.where))
+        number = {role_name: first_role + k for k, (role_name, _) in enumerate(roles)}
+        guards = []
+        for role_name, role in roles:
+            hits = [test(p) for _, p in parts if p.role == role_name]
             any_hit = " OR ".join(f"({w})" for w in hits) or "FALSE"
             guards.append(f"({self._known(role)}) AND ({any_hit})")
-            if mine:
-                bits.append(f"WHEN {first_role + k} THEN {' | '.join(mine)}")
-        tagged = self._fan_out(
-            source.frame.withColumn("__id", F.expr(source.id)).where("__id IS NOT NULL"),
-            roles, guards, first_role, None,
-        ).selectExpr(
-            *self._dims_of(roles, first_role), "__id", f"CASE __role {' '.join(bits)} END AS __bits"
+        words = _words([f"__role = {number[p.role]} AND ({test(p)})" for _, p in parts], "__bits")
+        if cube is None:
+            frame = source.frame.withColumn("__id", F.expr(source.id)).where("__id IS NOT NULL")
+        else:
+            frame = source.id_frame
+        tagged = self._fan_out(frame, roles, guards, first_role, None).selectExpr(
+            *self._dims_of(roles, first_role), "__id", *[f"{e} AS {n}" for n, e in words]
         )
-        per_id = tagged.groupBy(*self.dims, "__id").agg(F.expr("bit_or(__bits)").alias("__bits"))
+        per_id = tagged.groupBy(*self.dims, "__id").agg(*[F.bit_or(n).alias(n) for n, _ in words])
         terms: dict[str, list[tuple[int, str]]] = {}
         sums = []
         for bit, (metric, part) in enumerate(parts):
             column = f"{name}_d{bit}"
-            sums.append(F.expr(f"sum(shiftright(__bits, {bit}) & 1L)").alias(column))
+            sums.append(F.expr(f"sum({_bit(bit, '__bits')})").alias(column))
             terms.setdefault(metric, []).append((part.sign, column))
         counts = per_id.groupBy(*self.dims).agg(*sums)
         rows = counts.selectExpr(
@@ -212,23 +287,20 @@ class Waterfall:
             source.frame.withColumn("__id", F.expr(source.id)), roles, guards, first_role, None
         )
         at = lambda p: f"__role = {numbers[p.role]} AND ({p.where})"
-        bits = [
-            f"CASE WHEN __id IS NOT NULL AND {at(p)} THEN {1 << bit}L ELSE 0L END"
-            for bit, (_, p) in enumerate(counted)
-        ]
+        words = _words([f"__id IS NOT NULL AND {at(p)}" for _, p in counted], "__bits")
         values = [f"CASE WHEN {at(p)} THEN {p.value} END AS {name}_{k}" for k, (_, p) in enumerate(summed)]
         sums = [F.sum(f"{name}_{k}").alias(f"{name}_{k}") for k in range(len(summed))]
         per_id = (
             rows.selectExpr(
                 *self._dims_of(roles, first_role), "__id",
                 f"CASE __role {' '.join(grids)} ELSE FALSE END AS __grid" if grids else "FALSE AS __grid",
-                f"{' | '.join(bits) or '0L'} AS __bits", *values,
+                *[f"{e} AS {n}" for n, e in words], *values,
             )
             .groupBy(*self.dims, "__id")
-            .agg(F.bool_or("__grid").alias("__grid"), F.bit_or("__bits").alias("__bits"), *sums)
+            .agg(F.bool_or("__grid").alias("__grid"), *[F.bit_or(n).alias(n) for n, _ in words], *sums)
         )
         counts = [
-            F.expr(f"sum(shiftright(__bits, {bit}) & 1L)").alias(f"{name}_d{bit}")
+            F.expr(f"sum({_bit(bit, '__bits')})").alias(f"{name}_d{bit}")
             for bit in range(len(counted))
         ]
         cells = per_id.groupBy(*self.dims).agg(F.bool_or("__grid").alias("__grid"), *counts, *sums)

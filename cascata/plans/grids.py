@@ -13,9 +13,11 @@ from pyspark.sql.types import StringType
 
 from cascata.functions import business as B
 from cascata.functions import text as T
-from cascata.operators.waterfall import ONE, Metric, Part, Role, Source, Waterfall
+from cascata.operators.waterfall import ONE, Cube, Metric, Part, Role, Source, Waterfall
 from cascata.sources.scans import latest_snapshot
 
+SIZED = "sized"
+ACCOUNT = "advertiser_id"
 DIMS = ("Canal", "Equipe", "Regiao_Macro", "Mes_Base", "Tamanho")
 FLAG, STATE = "Transferencias", "UF"
 UF, SVA, FULL, FULL2 = "uf", "sva", "full", "full2"
@@ -35,9 +37,11 @@ def revenue_rows(enriched: DataFrame) -> DataFrame:
     migrated = c("status_migrado") == B.MIGRATED
     return enriched.withColumns(
         {
-            "tam": F.coalesce(B.fold_smallest(c("tamanho_ajustado")), F.lit("")),
-            "reg": F.coalesce(c("regionalizacao"), F.lit("")),
-            "transf": F.coalesce(c("id_migracao_pro_field"), F.lit(B.NO)),
+            "tam": B.fold_smallest(c("tamanho_ajustado")),
+            "reg": c("regionalizacao"),
+            "transf": c("id_migracao_pro_field"),
+            # Metrics of full, but for its opening count, leave out rows without size or flag.
+            SIZED: c("tamanho_ajustado").isNotNull() & c("id_migracao_pro_field").isNotNull(),
             # Only migrated rows are read at the cell they left.
             "out_canal": F.when(migrated, c("aux_canal_out")),
             "out_equipe": F.when(migrated, c("coordenador_ajustado_out")),
@@ -45,6 +49,16 @@ def revenue_rows(enriched: DataFrame) -> DataFrame:
     )
 
 
+def _with_blanks(rows: DataFrame, version: str) -> DataFrame:
+    """Null keys by version: full2 shows them as blank, full only in its cells; the others keep null."""
+    if version in (UF, SVA):
+        return rows
+    named = {"tam": F.coalesce("tam", F.lit("")), "transf": F.coalesce("transf", F.lit(B.NO))}
+    if version == FULL2:
+        named["reg"] = F.coalesce("reg", F.lit(""))
+    return rows.withColumns(named)
+
+
 def plan_rows(plans: DataFrame) -> DataFrame:
     rows = latest_snapshot(plans)
     cleaned = rows.withColumns(
@@ -213,12 +227,15 @@ class _Spec:
             roles = [role]
         return [Part(source, r, where, value, sign, distinct) for r in roles]
 
-    def rows(self, role, where, sign=1):
+    def rows(self, role, where, sign=1, sized=True):
         """Revenue rows; distinct accounts where the table counts accounts."""
-        return self._part("revenue", role, where, ONE, sign, not self.full)
+        return self._part("revenue", role, self._sized(where, sized), ONE, sign, not self.full)
 
     def total(self, role, where, value, sign=1):
-        return self._part("revenue", role, where, value, sign)
+        return self._part("revenue", role, self._sized(where), value, sign)
+
+    def _sized(self, where, sized=True):
+        return _all(SIZED, where) if sized and self.version == FULL else where
 
     def plans(self, role, where, value=ONE, sign=1):
         return self._part("plans", role, where, value, sign) if self.full else []
@@ -232,9 +249,11 @@ class _Spec:
 
 def _opening(s: _Spec) -> None:
     wide = s.version == FULL2
-    moves = [s.rows("CUR", MOVED), s.rows("OUT_CUR", MOVED, -1)] if s.full else []
+    moves = []
+    if s.full:
+        moves = [s.rows("CUR", MOVED, sized=False), s.rows("OUT_CUR", MOVED, -1, sized=False)]
     plan_rule = PLAN_KEPT_FULL2 if wide else PLAN_KEPT
-    s.add("base_inicial_qtd", s.rows("NEXT", KEPT), *moves, s.plans("NEXT", plan_rule))
+    s.add("base_inicial_qtd", s.rows("NEXT", KEPT, sized=False), *moves, s.plans("NEXT", plan_rule))
     s.add("novos_qtd", s.rows("CUR", NEW), s.plans("CUR", PLAN_NEW))
     s.add("churn_qtd", s.rows("CHURN", CHURNED, -1), s.plans("CHURN", PLAN_CHURN, ONE, -1))
     billed = _all(KEPT, "faturado_mes > 0") if wide else KEPT
@@ -340,25 +359,51 @@ def _upper_team(roles: dict[str, Role]) -> dict[str, Role]:
     return {name: Role(upper(role.key), role.grid) for name, role in roles.items()}
 
 
-def _cells(version, enriched, payments=None, plans=None, normalize_keys=False, with_metrics=True):
-    dims = list(DIMS)
-    dims += [FLAG] if version in (FULL, FULL2) else []
-    dims += [STATE] if version == UF else []
-    group = [
-        "canal_conta", "coordenador_ajustado", "cordenador", "reg", "tam", "mes_base",
-        "dt_cancelado",
+#: Columns that any version's cells are made of.
+CUBE_GROUP = (
+    "canal_conta", "coordenador_ajustado", "cordenador", "reg", "tam", "mes_base", "dt_cancelado",
+    "transf", "estado", "out_canal", "out_equipe", "status_migrado",
+)
+VERSIONS = (UF, SVA, FULL, FULL2)
+
+
+def cube_of(sums: DataFrame | None = None, ids: DataFrame | None = None) -> Cube:
+    """The contributions of revenue rows to all four waterfalls, from stored ``sums`` and ``ids``."""
+    parts = [
+        p for v in VERSIONS for m in metrics(v) for p in m.parts if p.source == "revenue"
     ]
+    return Cube(parts, "revenue", CUBE_GROUP, sums, ids)
+
+
+def revenue_sums(enriched: DataFrame) -> DataFrame:
+    """All sums of revenue rows by cell; for a stored table, see ``cube_of``."""
+    return cube_of().sums_of(revenue_rows(enriched))
+
+
+def revenue_ids(enriched: DataFrame) -> DataFrame:
+    """The accounts of each cell with the conditions they meet."""
+    return cube_of().ids_of(revenue_rows(enriched), ACCOUNT)
+
+
+def _revenue_source(version, enriched, cube, fix) -> Source:
+    roles = fix(_revenue_roles(version))
+    if cube is not None:
+        sums, ids = _with_blanks(cube.sums, version), _with_blanks(cube.ids, version)
+        return Source(sums, roles, CUBE_GROUP, id=ACCOUNT, cube=cube, id_frame=ids)
+    group = [g for g in CUBE_GROUP if g not in ("transf", "estado", "out_canal", "out_equipe", "status_migrado")]
     group += ["transf"] if version in (FULL, FULL2) else []
     group += ["estado"] if version == UF else []
     group += ["out_canal", "out_equipe"] if version != UF else []
     group += ["status_migrado"] if version == FULL2 else []
+    return Source(_with_blanks(revenue_rows(enriched), version), roles, group, id=ACCOUNT)
+
+
+def _cells(version, enriched, payments=None, plans=None, normalize_keys=False, with_metrics=True, cube=None):
+    dims = list(DIMS)
+    dims += [FLAG] if version in (FULL, FULL2) else []
+    dims += [STATE] if version == UF else []
     fix = _upper_team if normalize_keys else (lambda roles: roles)
-    sources = {
-        "revenue": Source(
-            revenue_rows(enriched), fix(_revenue_roles(version)), group,
-            id="advertiser_id",
-        )
-    }
+    sources = {"revenue": _revenue_source(version, enriched, cube, fix)}
     if payments is not None:
         key = _key(version, "canal", "equipe", "reg", "mes", "tam", "transf", "uf")
         shared = ["canal", "equipe", "reg", "mes", "tam", *(["transf"] if FLAG in dims else [])]
@@ -390,13 +435,18 @@ def grid(version: str, enriched: DataFrame, plans: DataFrame | None = None) -> D
     return _placed(cells).where(T.is_filled(c(STATE))) if version == UF else _placed(cells)
 
 
-def bd_planos_uf(enriched: DataFrame, payments: DataFrame, normalize_keys: bool = False):
-    cells = _placed(_cells(UF, enriched, payments, normalize_keys=normalize_keys))
+def bd_planos_uf(
+    enriched: DataFrame | None, payments: DataFrame, normalize_keys: bool = False, cube: Cube | None = None
+) -> DataFrame:
+    """With a ``cube`` the enriched rows are not read; so in the other three tables."""
+    cells = _placed(_cells(UF, enriched, payments, normalize_keys=normalize_keys, cube=cube))
     return cells.where(T.is_filled(c(STATE))).withColumn("chave_equipe_coordenador", _team_key())
 
 
-def bd_planos_mensais_sva(enriched: DataFrame, payments: DataFrame, normalize_keys: bool = False):
-    return _placed(_cells(SVA, enriched, payments, normalize_keys=normalize_keys))
+def bd_planos_mensais_sva(
+    enriched: DataFrame | None, payments: DataFrame, normalize_keys: bool = False, cube: Cube | None = None
+) -> DataFrame:
+    return _placed(_cells(SVA, enriched, payments, normalize_keys=normalize_keys, cube=cube))
 
 
 def _cancelled_paid() -> Column:
@@ -404,9 +454,13 @@ def _cancelled_paid() -> Column:
 
 
 def bd_full(
-    enriched: DataFrame, payments: DataFrame, plans: DataFrame, normalize_keys: bool = False
+    enriched: DataFrame | None,
+    payments: DataFrame,
+    plans: DataFrame,
+    normalize_keys: bool = False,
+    cube: Cube | None = None,
 ) -> DataFrame:
-    cells = _cells(FULL, enriched, payments, plans, normalize_keys)
+    cells = _cells(FULL, enriched, payments, plans, normalize_keys, cube=cube)
     return cells.withColumns(
         {
             "cancelamento_total_pago_valor": _cancelled_paid(),
@@ -416,9 +470,13 @@ def bd_full(
 
 
 def bd_full_v2(
-    enriched: DataFrame, payments: DataFrame, plans: DataFrame, normalize_keys: bool = False
+    enriched: DataFrame | None,
+    payments: DataFrame,
+    plans: DataFrame,
+    normalize_keys: bool = False,
+    cube: Cube | None = None,
 ) -> DataFrame:
-    cells = _cells(FULL2, enriched, payments, plans, normalize_keys)
+    cells = _cells(FULL2, enriched, payments, plans, normalize_keys, cube=cube)
     flow = c("novos_valor") + c("up_valor") + c("down_valor") + c("churn_valor")
     flow_paid = sum((c(f"{m}_pago_valor") for m in ("novos", "up", "down", "churn")), F.lit(0))
     moved_value = c("base_migracao_in_valor") - c("base_migracao_out_valor")

@@ -207,7 +207,7 @@ DERIVED = {
 }
 
 
-def waterfall(version: str) -> str:
+def waterfall(version: str, paid_months: str = S.TWO_MONTHS) -> str:
     dims = _dims(version)
     names = list(dict.fromkeys(m for m, *_ in terms(version)))
     stacked = "\nUNION ALL ".join(_branch(version, *t) for t in terms(version))
@@ -217,7 +217,7 @@ def waterfall(version: str) -> str:
     key = "" if version == "sva" else ", Canal || Equipe AS chave_equipe_coordenador"
     extra = ", ".join(
         [
-            S.PAYMENTS,
+            S.payments(paid_months),
             ROWS,
             *([PLANS] if plans else []),
             f"cells({', '.join(dims)}, k, v) AS ({stacked})",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cascata.plans import crm, daily, grids, recurring, revenue
+from cascata.sources import sinks
 from checks import fixtures as X
 from checks import sql_parts as S
 from checks import sql_waterfalls as W
@@ -195,3 +198,55 @@ def t7_default(i):
 @check("T12_tamanhos_ajustados_default", ORACLE["T12_tamanhos_ajustados"])
 def t12_default(i):
     return revenue.tamanhos_ajustados(i.enriched(unique_months=False))
+
+
+# The four waterfalls from the stored sums and ids of one cube; merged from two parts by account.
+def _cube(i):
+    rows = i.enriched()
+    even = F.pmod(F.xxhash64("advertiser_id"), F.lit(2)) == 0
+    cubes = [
+        grids.cube_of(*[sinks.stored(make(rows.where(part))) for make in (grids.revenue_sums, grids.revenue_ids)])
+        for part in (even, ~even)
+    ]
+    return cubes[0].merge(cubes[1])
+
+
+@check("T4_bd_planos_uf_cube", ORACLE["T4_bd_planos_uf"])
+def t4_cube(i):
+    return grids.bd_planos_uf(None, i.payments(), cube=_cube(i))
+
+
+@check("T5_bd_planos_mensais_sva_cube", ORACLE["T5_bd_planos_mensais_sva"])
+def t5_cube(i):
+    return grids.bd_planos_mensais_sva(None, i.payments(), cube=_cube(i))
+
+
+@check("T8_bd_full_cube", ORACLE["T8_bd_full"])
+def t8_cube(i):
+    return grids.bd_full(None, i.payments(), i.view("planos"), cube=_cube(i))
+
+
+@check("T9_bd_full_v2_cube", ORACLE["T9_bd_full_v2"])
+def t9_cube(i):
+    return grids.bd_full_v2(None, i.payments(), i.view("planos"), cube=_cube(i))
+
+
+# Payments of all months, so that their metrics are not zero outside two months.
+@check("T4_bd_planos_uf_all_months", W.waterfall("uf", "TRUE"))
+def t4_all(i):
+    return grids.bd_planos_uf(i.enriched(), i.payments(all_months=True))
+
+
+@check("T5_bd_planos_mensais_sva_all_months", W.waterfall("sva", "TRUE"))
+def t5_all(i):
+    return grids.bd_planos_mensais_sva(i.enriched(), i.payments(all_months=True))
+
+
+@check("T8_bd_full_all_months", W.waterfall("full", "TRUE"))
+def t8_all(i):
+    return grids.bd_full(i.enriched(), i.payments(all_months=True), i.view("planos"))
+
+
+@check("T9_bd_full_v2_all_months", W.waterfall("full2", "TRUE"))
+def t9_all(i):
+    return grids.bd_full_v2(i.enriched(), i.payments(all_months=True), i.view("planos"))
