@@ -14,15 +14,27 @@ from cascata.sources import scans
 
 
 def desconto_faseado(
-    opportunity: DataFrame, account: DataFrame, user: DataFrame, gold: DataFrame, as_of: date
+    opportunity: DataFrame,
+    account: DataFrame,
+    user: DataFrame,
+    gold: DataFrame,
+    as_of: date,
+    crm_day: tuple[int, int, int] | None = None,
+    gold_day: date | None = None,
 ) -> DataFrame:
     """Discounted opportunities of accounts that are in the latest revenue snapshot.
 
     All three CRM tables are read at the newest year/month/day of the opportunities. The account
-    ids are checked as a semi join, before the distinct.
+    ids are checked as a semi join, before the distinct. ``crm_day`` (year, month, day) and ``gold_day``
+    name the newest partitions where they are known, so they are not looked for.
     """
-    newest = scans.newest_day_number(opportunity, as_of)
-    at = lambda df, schema: scans.at_day_number(schemas.complete(df, schema), newest)
+
+    def at(df, schema):
+        rows = schemas.complete(df, schema)
+        if crm_day is None:
+            return scans.at_day_number(rows, scans.newest_day_number(opportunity, as_of))
+        return scans.at_day(rows, crm_day)
+
     c = F.col
     discount = c("discountrecurringvalue__c")
     deals = at(opportunity, schemas.OPPORTUNITY).where((discount != "0") & (discount != "0.0"))
@@ -32,7 +44,7 @@ def desconto_faseado(
     users = at(user, schemas.USER).select(
         c("id").alias("__user"), c("name").alias("proprietario_oportunidade")
     )
-    known = scans.latest_snapshot(gold).select("advertiser_id")
+    known = scans.snapshot(gold, gold_day).select("advertiser_id")
     accounts = accounts.join(known, "advertiser_id", "left_semi")
     return (
         deals.join(accounts, c("accountid") == c("__account"))
@@ -55,9 +67,9 @@ def desconto_faseado(
     )
 
 
-def radar_cohort(radar: DataFrame) -> DataFrame:
+def radar_cohort(radar: DataFrame, day: date | None = None) -> DataFrame:
     c = F.col
-    return scans.latest_snapshot(radar).where(c("base_date").isNotNull()).select(
+    return scans.snapshot(radar, day).where(c("base_date").isNotNull()).select(
         "advertiser_id",
         D.month_start(c("base_date")).alias("mes_base"),
         c("expiration_date").alias("data_vencimento_cohort"),

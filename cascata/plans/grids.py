@@ -7,6 +7,8 @@ separate operators and are not meant to agree.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -14,7 +16,7 @@ from pyspark.sql.types import StringType
 from cascata.functions import business as B
 from cascata.functions import text as T
 from cascata.operators.waterfall import ONE, Cube, Metric, Part, Role, Source, Waterfall
-from cascata.sources.scans import latest_snapshot
+from cascata.sources.scans import snapshot
 
 SIZED = "sized"
 ACCOUNT = "advertiser_id"
@@ -59,8 +61,8 @@ def _with_blanks(rows: DataFrame, version: str) -> DataFrame:
     return rows.withColumns(named)
 
 
-def plan_rows(plans: DataFrame) -> DataFrame:
-    rows = latest_snapshot(plans)
+def plan_rows(plans: DataFrame, day: date | None = None) -> DataFrame:
+    rows = snapshot(plans, day)
     cleaned = rows.withColumns(
         {
             "__channel": T.clean_upper(c("canal")),
@@ -398,7 +400,7 @@ def _revenue_source(version, enriched, cube, fix) -> Source:
     return Source(_with_blanks(revenue_rows(enriched), version), roles, group, id=ACCOUNT)
 
 
-def _cells(version, enriched, payments=None, plans=None, normalize_keys=False, with_metrics=True, cube=None):
+def _cells(version, enriched, payments=None, plans=None, normalize_keys=False, with_metrics=True, cube=None, day=None):
     dims = list(DIMS)
     dims += [FLAG] if version in (FULL, FULL2) else []
     dims += [STATE] if version == UF else []
@@ -413,7 +415,7 @@ def _cells(version, enriched, payments=None, plans=None, normalize_keys=False, w
         )
     if plans is not None:
         sources["plans"] = Source(
-            plan_rows(plans), fix(_plan_roles(version)),
+            plan_rows(plans, day), fix(_plan_roles(version)),
             ["canal", "equipe", "reg", "tam", "competencia", "mes_churn"],
         )
     return Waterfall(dims, metrics(version) if with_metrics else [], sources).build()
@@ -438,7 +440,10 @@ def grid(version: str, enriched: DataFrame, plans: DataFrame | None = None) -> D
 def bd_planos_uf(
     enriched: DataFrame | None, payments: DataFrame, normalize_keys: bool = False, cube: Cube | None = None
 ) -> DataFrame:
-    """With a ``cube`` the enriched rows are not read; so in the other three tables."""
+    """With a ``cube`` the enriched rows are not read; so in the other three tables.
+
+    The two full tables take the ``day`` of the latest plan snapshot, where it is known.
+    """
     cells = _placed(_cells(UF, enriched, payments, normalize_keys=normalize_keys, cube=cube))
     return cells.where(T.is_filled(c(STATE))).withColumn("chave_equipe_coordenador", _team_key())
 
@@ -459,8 +464,9 @@ def bd_full(
     plans: DataFrame,
     normalize_keys: bool = False,
     cube: Cube | None = None,
+    day: date | None = None,
 ) -> DataFrame:
-    cells = _cells(FULL, enriched, payments, plans, normalize_keys, cube=cube)
+    cells = _cells(FULL, enriched, payments, plans, normalize_keys, cube=cube, day=day)
     return cells.withColumns(
         {
             "cancelamento_total_pago_valor": _cancelled_paid(),
@@ -475,8 +481,9 @@ def bd_full_v2(
     plans: DataFrame,
     normalize_keys: bool = False,
     cube: Cube | None = None,
+    day: date | None = None,
 ) -> DataFrame:
-    cells = _cells(FULL2, enriched, payments, plans, normalize_keys, cube=cube)
+    cells = _cells(FULL2, enriched, payments, plans, normalize_keys, cube=cube, day=day)
     flow = c("novos_valor") + c("up_valor") + c("down_valor") + c("churn_valor")
     flow_paid = sum((c(f"{m}_pago_valor") for m in ("novos", "up", "down", "churn")), F.lit(0))
     moved_value = c("base_migracao_in_valor") - c("base_migracao_out_valor")

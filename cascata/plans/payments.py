@@ -13,7 +13,8 @@ from cascata.functions import dates as D
 from cascata.functions import text as T
 from cascata.operators.lookups import add_member_flag, exact_or_latest
 from cascata.operators.ordered import add_previous, first_per
-from cascata.sources.scans import latest_snapshot
+from cascata.sources.scans import one_snapshot
+from cascata.sources.scans import snapshot as scans_snapshot
 
 TRANSFER_SINCE = date(2025, 12, 1)  # fixed value: start of the transfer history
 AMOUNTS = ("antecipado", "no_mes", "transcorrido")
@@ -92,16 +93,21 @@ def cb_pagamentos(
     all_months: bool = False,
     per_payment: bool = False,
     unique_months: bool = False,
+    snapshot: date | None = None,
+    paid_day: date | None = None,
 ) -> DataFrame:
     """One row per account and paid month of the latest snapshot.
 
+    ``paid_day`` names that snapshot where it is known, so it is not looked for; ``snapshot`` takes the
+    gold rows of one day.
+
     Only the months of ``payment_months`` are kept unless ``months`` or ``all_months`` say
     otherwise. Several payments of one account-month collapse to the first in column order;
     ``per_payment`` keeps them all.
     """
-    history = account_history(gold, unique_months)
+    history = account_history(one_snapshot(gold, snapshot), unique_months)
     c = F.col
-    paid = latest_snapshot(payments).select(
+    paid = scans_snapshot(payments, paid_day).select(
         "advertiser_id", "mes_pago", "status_ts", *AMOUNTS, "day_paid", "dt"
     )
     kept = None if all_months else list(payment_months(as_of) if months is None else months)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,14 +11,14 @@ from cascata.functions import business as B
 from cascata.functions import text as T
 from cascata.operators.ordered import add_delta
 from cascata.operators.waterfall import ONE, Metric, Part, Role, Source, Waterfall
-from cascata.sources.scans import latest_snapshot
+from cascata.sources.scans import snapshot
 
 DIMS = ("Canal", "Equipe", "Regiao_Macro", "Mes_Base", "Tamanho")
 
 
-def _plan_columns(plans: DataFrame, keys, order, online, nd, null_size, bounded) -> DataFrame:
+def _plan_columns(plans: DataFrame, keys, order, online, nd, null_size, bounded, day) -> DataFrame:
     c = F.col
-    rows = add_delta(latest_snapshot(plans), keys, order, "valor_mensal", bounded=bounded)
+    rows = add_delta(snapshot(plans, day), keys, order, "valor_mensal", bounded=bounded)
     cleaned = rows.withColumns(
         {
             "__state": T.clean_upper(c("estado_conta")),
@@ -36,17 +38,20 @@ def _plan_columns(plans: DataFrame, keys, order, online, nd, null_size, bounded)
     ).drop("__state", "__city", "__channel")
 
 
-def planos_periodicos(plans: DataFrame, bounded: bool = False) -> DataFrame:
-    """Latest plans with the change per contract; no package number counts as PP."""
+def planos_periodicos(plans: DataFrame, bounded: bool = False, day: date | None = None) -> DataFrame:
+    """Latest plans with the change per contract; no package number counts as PP.
+
+    ``day`` names the latest snapshot where it is known, here and below.
+    """
     return _plan_columns(
-        plans, ["id_conta_olx", "id_contrato"], ["competencia"], "", "", "PP", bounded
+        plans, ["id_conta_olx", "id_contrato"], ["competencia"], "", "", "PP", bounded, day
     )
 
 
-def plans_by_account(plans: DataFrame, bounded: bool = False) -> DataFrame:
+def plans_by_account(plans: DataFrame, bounded: bool = False, day: date | None = None) -> DataFrame:
     """Latest plans with the change per account (contracts in id order inside a month)."""
     return _plan_columns(
-        plans, ["id_conta_olx"], ["competencia", "id_contrato"], "Online", "ND", None, bounded
+        plans, ["id_conta_olx"], ["competencia", "id_contrato"], "Online", "ND", None, bounded, day
     )
 
 
@@ -88,14 +93,18 @@ def _roles() -> dict[str, Role]:
 
 
 def bd_planos_periodicos(
-    plans: DataFrame, bounded: bool = False, separate_ids: bool = False, metrics: bool = True
+    plans: DataFrame,
+    bounded: bool = False,
+    separate_ids: bool = False,
+    metrics: bool = True,
+    day: date | None = None,
 ) -> DataFrame:
     """Plan waterfall by channel, team, region, month and size.
 
     Contracts are counted by account and contract id joined without a separator, as the source
     report does, so (1, 23) and (12, 3) are one; ``separate_ids`` keeps them apart.
     """
-    rows = plans_by_account(plans, bounded).withColumn("mes_churn", F.col("mes_churn").cast("date"))
+    rows = plans_by_account(plans, bounded, day).withColumn("mes_churn", F.col("mes_churn").cast("date"))
     joined = "concat(CAST(id_conta_olx AS STRING), CAST(id_contrato AS STRING))"
     source = Source(
         rows,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,12 +12,14 @@ from cascata.functions import business as B
 from cascata.functions import text as T
 from cascata.operators.lookups import add_member_flag, keys_of_both
 from cascata.operators.ordered import add_previous
+from cascata.sources.scans import one_snapshot
 
 FIELD = "Field"
 
 
-def receita_consolidada(gold: DataFrame, silver: DataFrame) -> DataFrame:
-    """Both revenue sources in one shape, tagged with their origin."""
+def receita_consolidada(gold: DataFrame, silver: DataFrame, snapshot: date | None = None) -> DataFrame:
+    """Both revenue sources in one shape, tagged with their origin; all days or those of one ``snapshot``."""
+    gold, silver = one_snapshot(gold, snapshot), one_snapshot(silver, snapshot)
     shared = ("advertiser_id", "mes_base", "canal_conta")
     tail = ("estado", "tamanho", "classificacao")
     unified = gold.select(
@@ -36,15 +40,17 @@ def receita_enriquecida(
     unique_months: bool = False,
     transfer_list: DataFrame | None = None,
     size_overrides: DataFrame | None = None,
+    snapshot: date | None = None,
 ) -> DataFrame:
     """Revenue rows with region, size, team, migration, discount and cohort columns.
 
     ``unique_months`` states that a gold account has at most one row per month. Then lag and
     transfer flags share one shuffle by account; else hot accounts are split. ``transfer_list``
     replaces the transfers found in the data, ``size_overrides`` (advertiser_id, tamanho) the
-    size of packages that name no number.
+    size of packages that name no number. ``snapshot`` takes the gold rows of one day; without it several
+    snapshots of an account-month follow one another.
     """
-    base = schemas.complete(gold, schemas.GOLD).select(*schemas.GOLD.fieldNames())
+    base = schemas.complete(one_snapshot(gold, snapshot), schemas.GOLD).select(*schemas.GOLD.fieldNames())
     rows = add_previous(
         base,
         ["advertiser_id"],

@@ -42,5 +42,9 @@ class Ledger:
         status: str = SUCCESS,
         at: datetime | None = None,
     ) -> None:
-        row = (table, day, rows, kind, status, at or datetime.now())
-        self.spark.createDataFrame([row], SCHEMA).write.mode("append").parquet(self.path)
+        """``at`` is the time of the load; without it the cluster's clock is read as the row is written."""
+        row = (table, day, rows, kind, status, at or datetime(1970, 1, 1))
+        frame = self.spark.createDataFrame([row], SCHEMA)
+        if at is None:
+            frame = frame.withColumn("updated_at", F.current_timestamp())
+        frame.write.mode("append").parquet(self.path)

@@ -12,13 +12,54 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cascata.functions import dates as D
 from cascata.functions import text as T
+from cascata.sources import files, versions
 
 FILE_DATE = r"(\d{4}-\d{2}-\d{2})\.csv$"  # fixed value: dated file name
 
 
 def full_scan(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    """All rows of a stored table, as last published."""
+    return versions.read(spark, path, schema)
+
+
+def partition_days(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column that a table's folders are named by, sorted; no file is opened."""
+    place = versions.folder(spark, path)
+    names = files.children(spark, place, folders_only=True)
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return [v for v in values if v != "__HIVE_DEFAULT_PARTITION__"]
+
+
+def newest_partition(spark: SparkSession, path: str, column: str = "dt") -> date | None:
+    """The newest day of a table that is partitioned by day, from its folder names."""
+    days = partition_days(spark, path, column)
+    return date.fromisoformat(days[-1]) if days else None
+
+
+def newest_day_folder(spark: SparkSession, path: str) -> tuple[int, int, int] | None:
+    """The newest year, month and day of a table partitioned by these three, from its folder names."""
+
+    def numbers(place, name):
+        found = files.children(spark, place, folders_only=True)
+        return sorted((int(n.split("=")[1]) for n in found if n.startswith(f"{name}=")), reverse=True)
+
+    place = versions.folder(spark, path)
+    # A folder may be empty, so older ones are tried until a day is found.
+    for year in numbers(place, "year"):
+        for month in numbers(f"{place}/year={year}", "month"):
+            for day in numbers(f"{place}/year={year}/month={month}", "day"):
+                return year, month, day
+    return None
+
+
+def snapshot(df: DataFrame, day: date | None = None, column: str = "dt") -> DataFrame:
+    """Rows of a known snapshot day, a plain partition filter; without one, those of the greatest day."""
+    return latest_snapshot(df, column) if day is None else partition_day(df, column, day)
+
+
+def one_snapshot(df: DataFrame, day: date | None = None, column: str = "dt") -> DataFrame:
+    """Rows of a known snapshot day; without one, all rows."""
+    return df if day is None else partition_day(df, column, day)
 
 
 def custom_scan(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
@@ -81,6 +122,12 @@ def at_day_number(df: DataFrame, newest: DataFrame) -> DataFrame:
     return df.where(day_number() == newest.scalar())
 
 
+def at_day(df: DataFrame, day: tuple[int, int, int]) -> DataFrame:
+    """Rows of one known year/month/day partition; three plain partition filters."""
+    year, month, number = day
+    return df.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == number))
+
+
 def csv_scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with a header row, declared types; a malformed row fails instead of shifting columns."""
     return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST", enforceSchema=False)

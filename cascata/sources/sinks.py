@@ -1,9 +1,13 @@
-"""Write modes. Every table write is one Spark job; nothing passes through the driver."""
+"""Write modes. Every table write is one Spark job; nothing passes through the driver.
+
+Full replacements are versions (see ``versions``): a write that fails leaves the old rows in place.
+"""
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 from operator import and_
@@ -13,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType
 from pyspark.sql.types import StringType
 
+from cascata.sources import versions
 from cascata.sources.scans import FILE_DATE
 
 
@@ -45,15 +50,20 @@ def _writer(df: DataFrame, partition_by: str | None):
     return df.hint("rebalance", partition_by).write.partitionBy(partition_by)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    _writer(df, partition_by).mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(path)
+def overwrite(
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    check: Callable[[DataFrame], Sequence[str]] | None = None,
+) -> None:
+    """Replace the table: the old rows stay readable until the new ones are written and checked."""
+    versions.replace(df, path, lambda rows: _writer(rows, partition_by), check)
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Adds rows; a repeated run adds them again."""
-    _writer(df, partition_by).mode("append").parquet(path)
+    place = versions.folder(df.sparkSession, path)
+    _writer(df, partition_by).mode("append").parquet(place)
 
 
 def overwrite_partition(df: DataFrame, path: str, column: str, day: date) -> None:
@@ -62,9 +72,14 @@ def overwrite_partition(df: DataFrame, path: str, column: str, day: date) -> Non
     checked = df.withColumn(
         column, F.when(F.col(column) == F.lit(day), F.col(column)).otherwise(wrong.cast("date"))
     )
-    _writer(checked, column).mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
+    replace_partitions(checked, path, column)
+
+
+def replace_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Replace the partitions that ``df`` has rows of, in the published version."""
+    _writer(df, column).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
+        versions.folder(df.sparkSession, path)
+    )
 
 
 def append_new(df: DataFrame, path: str, keys: list[str], partition_by: str | None = None) -> None:
@@ -72,7 +87,7 @@ def append_new(df: DataFrame, path: str, keys: list[str], partition_by: str | No
 
     Null keys are keys like others. Of new rows with one key, one is appended.
     """
-    held = df.sparkSession.read.parquet(path).select(*[F.col(k).alias(f"__held_{k}") for k in keys])
+    held = versions.read(df.sparkSession, path).select(*[F.col(k).alias(f"__held_{k}") for k in keys])
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__held_{k}")) for k in keys])
     append(df.dropDuplicates(keys).join(held, same, "left_anti"), path, partition_by)
 
@@ -94,10 +109,23 @@ def landing_path(table: str, day: date) -> str:
     return f"{table}/{table}_{day:%Y-%m-%d}.csv"
 
 
-def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Create or replace a catalog table, at ``path`` if given."""
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str) -> None:
+    """Create or replace a catalog table whose rows lie under ``path``.
+
+    A new version is written first; then the table's location is set to it. Only a table of other columns
+    is declared anew. In either case the rows of the version before are not touched.
+    """
+    spark = df.sparkSession
+    versions.replace(df, path)
+    place = versions.folder(spark, path)
+    if spark.catalog.tableExists(name):
+        held = [(f.name, f.dataType) for f in spark.table(name).schema]
+        if held == [(f.name, f.dataType) for f in df.schema]:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, place, "parquet", df.schema)
 
 
 NUMBERS = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType)
@@ -116,7 +144,10 @@ def export_grid(df: DataFrame) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> bool:
-    """Header and rows as CSV; an empty table writes nothing and gives False."""
+    """Header and rows as CSV; an empty table writes nothing and gives False.
+
+    ``df`` should be a stored table, as it is read for its first row and then for all.
+    """
     if df.isEmpty():
         return False
     export_grid(df).write.mode("overwrite").csv(

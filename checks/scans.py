@@ -396,19 +396,45 @@ def s31(i):
     return found.withColumn("diff", F.round("diff", 2))
 
 
-_CELLS = """, v AS (SELECT day_base AS Mes, '{m}' AS metric, round(CAST(coalesce(sum(CASE WHEN classificacao = 'Novo' AND canal_conta = '{c}' THEN faturado_mes END), 0) AS DOUBLE)) AS left_value FROM gold GROUP BY 1),
- w AS (SELECT day_base AS Mes, round(CAST(coalesce(sum(CASE WHEN classificacao = 'Novo' AND canal_conta = '{c}' THEN faturado_mes END), 0) AS DOUBLE)) AS right_value FROM gold WHERE estado <> 'RR' AND day(day_base) <> 13 GROUP BY 1)
- SELECT Mes, '{m}' AS metric, coalesce(left_value, 0) AS left_value, coalesce(right_value, 0) AS right_value,
+PIVOTED = [
+    (f"{kind}_{channel.lower()}", channel, day, column, label, value)
+    for kind, day, column, label, value in (
+        ("novo", "day_base", "classificacao", "Novo", "faturado_mes"),
+        ("churn", "day_churn", "classificacao_churn", "CHURN", "faturado_mes"),
+        ("upgrade", "day_base", "classificacao", "Upgrade", "delta"),
+        ("downgrade", "day_base", "classificacao", "Downgrade", "delta"),
+    )
+    for channel in ("Field", "Inside", "Online", "ND")
+]
+LEFT_OUT = "estado <> 'RR' AND day(day_base) <> 13"
+
+
+def _cells_sql() -> str:
+    """Each side: a row per day of either date and pivot column; then a full join of both."""
+
+    def side(name, rows):
+        days = f"SELECT day_base AS Mes FROM {rows} WHERE day_base IS NOT NULL UNION SELECT day_churn FROM {rows} WHERE day_churn IS NOT NULL"
+        cells = " UNION ALL ".join(
+            f"SELECT d.Mes, '{metric}' AS metric, round(CAST(coalesce(sum(g.{value}), 0) AS DOUBLE)) AS {name}_value FROM {name}_days d "
+            f"LEFT JOIN {rows} g ON g.{day} = d.Mes AND g.{column} = '{label}' AND g.canal_conta = '{channel}' GROUP BY 1"
+            for metric, channel, day, column, label, value in PIVOTED
+        )
+        return f"{name}_days AS ({days}), {name}_cells AS ({cells})"
+
+    other = f"(SELECT * FROM gold WHERE {LEFT_OUT})"
+    return f""", {side('left', 'gold')}, {side('right', other)}
+ SELECT Mes, metric, coalesce(left_value, 0) AS left_value, coalesce(right_value, 0) AS right_value,
  CASE WHEN left_value IS NULL THEN 'left' WHEN right_value IS NULL THEN 'right' END AS lacking,
  coalesce(right_value, 0) - coalesce(left_value, 0) AS diff,
- abs(coalesce(right_value, 0) - coalesce(left_value, 0)) < greatest(abs(coalesce(left_value, 0)) * 0.05, 1) AS matches FROM v FULL JOIN w USING (Mes)"""
+ abs(coalesce(right_value, 0) - coalesce(left_value, 0)) < greatest(abs(coalesce(left_value, 0)) * 0.05, 1) AS matches
+ FROM left_cells FULL JOIN right_cells USING (Mes, metric)"""
 
 
-@check("S32_reconcile_cells", X.with_views("gold") + _CELLS.format(m="novo_field", c="Field"))
+@check("S32_reconcile_cells", X.with_views("gold") + _cells_sql())
 def s32(i):
-    only_days = lambda df: daily.diarizacao(df.withColumn("day_churn", F.lit(None).cast("date")))
+    """All 16 columns of the daily pivot, by both dates."""
     return reconcile.compare_cells(
-        only_days(i.gold), only_days(i.gold.where("estado <> 'RR' AND day(day_base) <> 13")), "Mes", ["novo_field"]
+        daily.diarizacao(i.gold), daily.diarizacao(i.gold.where(LEFT_OUT)), "Mes", [p[0] for p in PIVOTED]
     )
 
 
@@ -423,3 +449,116 @@ def s33(i):
     return schemas.lost_values(
         i.view("planos"), schemas.declare("package_name bigint, competencia date, canal date")
     )
+
+
+@check("S13_failed_write_keeps_rows", f"SELECT * FROM ({ORDERS}) WHERE o_orderstatus = 'O'")
+def s13_failed(i):
+    """The second write fails in a task, after others have written; readers still see the first."""
+    folder = stored(i, orders(i).where("o_orderstatus = 'O'"))
+    last = orders(i).agg(F.max("o_orderkey")).scalar()
+    broken = orders(i).withColumn(
+        "o_orderstatus", F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("unreadable"))).otherwise(F.col("o_orderstatus"))
+    )
+    try:
+        sinks.overwrite(broken, folder)
+    except Exception as e:  # the executor's error
+        assert "unreadable" in str(e)
+    return scans.full_scan(i.spark, folder)
+
+
+def _order_counts(frames, day):
+    return frames["orders"].groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
+def _broken(frames, day):
+    failed = F.raise_error(F.lit("unreadable")).cast("bigint")
+    return _order_counts(frames, day).withColumn("n", F.when(F.col("n") > 0, failed))
+
+
+RUNS = "kept", "failing", "refused"
+
+
+@check(
+    "S18_failed_and_refused_builds_keep_rows",
+    "WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1)"
+    + " UNION ALL ".join(
+        f" SELECT '{name}' AS name, '{status}' AS status, o_orderstatus, n FROM {rows}"
+        for name, status, rows in (
+            ("kept", "done", "(SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)"),
+            ("failing", "failed", "c"), ("refused", "refused", "c"),
+        )
+    ),
+)
+def s18_builds(i):
+    """Three tables of a first run; in the second one build fails half-way and a check refuses another."""
+    folder = sinks.scratch_folder(i.spark)
+    before = {"orders": i.table("orders").where("o_orderstatus <> 'P'")}
+    steps = [chain.Step(n, k, ("orders",), _order_counts) for k, n in enumerate(RUNS)]
+    chain.run_chain(i.spark, before, folder, X.AS_OF, steps)
+    steps[1] = chain.Step("failing", 1, ("orders",), _broken)
+    checks = {"refused": lambda df: quality.has_rows("no_open_ones", df.where("o_orderstatus = 'none'"))}
+    outcomes = chain.run_chain(i.spark, {"orders": i.table("orders")}, folder, X.AS_OF, steps, checks=checks)
+    out = None
+    for o in outcomes:
+        rows = scans.full_scan(i.spark, f"{folder}/{o.name}")
+        named = rows.select(F.lit(o.name).alias("name"), F.lit(o.status).alias("status"), "o_orderstatus", "n")
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
+@check(
+    "S28_gate_and_export_of_a_group_run",
+    X.with_views("gold", "radar")
+    + """ SELECT 'gold' AS name, 'done' AS status, (SELECT count(*) FROM gold) AS n UNION ALL SELECT 'radar', 'done', (SELECT count(*) FROM radar)
+ UNION ALL SELECT 'radar_cohort', 'done', (SELECT count(*) FROM radar WHERE base_date IS NOT NULL)
+ UNION ALL SELECT 'planos_periodicos', 'blocked', NULL UNION ALL SELECT 'quality_gate', 'refused', NULL
+ UNION ALL SELECT 'export:radar_cohort', 'done', (SELECT count(*) FROM radar WHERE base_date IS NOT NULL)
+ UNION ALL SELECT 'export:planos_periodicos', 'blocked', NULL""",
+)
+def s28_group(i):
+    """Loads, derived tables, a gate of which one check fails, and exports of what was built."""
+    folder = sinks.scratch_folder(i.spark)
+    book = ledger.Ledger(i.spark, f"{folder}/ledger")
+    tables = [modes.SourceTable("gold", "dt", use_max_dt=True), modes.SourceTable("radar", "dt", use_max_dt=True)]
+    steps = [s for s in chain.STEPS if s.name in ("radar_cohort", "planos_periodicos")]
+    gate = {
+        "cohort_rows": lambda f: quality.has_rows("cohort_rows", f["radar_cohort"]),
+        "gold_fresh": lambda f: quality.is_fresh("gold_fresh", f["gold"], "dt", date(2001, 8, 9)),
+    }
+    outcomes = chain.run_group(
+        i.spark, {n: i.view(n) for n in ("gold", "radar")}, tables, folder, book, X.AS_OF, steps=steps, gate=gate,
+        exports=["radar_cohort", "planos_periodicos"],
+    )
+    out = None
+    for o in outcomes:
+        if o.status != chain.DONE:
+            n = i.view("radar").agg(F.lit(None).cast("bigint").alias("n"))
+        elif o.name.startswith(chain.EXPORT):
+            n = i.spark.read.csv(f"{folder}/exports/{o.name.split(':')[1]}", header=True).agg(F.count("*").alias("n"))
+        else:
+            n = scans.full_scan(i.spark, f"{folder}/{o.name}").agg(F.count("*").alias("n"))
+        row = n.select(F.lit(o.name).alias("name"), F.lit(o.status).alias("status"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@check(
+    "S7_newest_partition_by_folder",
+    X.with_views("paids") + " SELECT * EXCLUDE (antecipado, no_mes, transcorrido) FROM paids WHERE dt = (SELECT max(dt) FROM paids)",
+)
+def s7_folder(i):
+    """The newest day is read off the folder names; rows of that day by a literal filter."""
+    folder = stored(i, i.view("paids").drop("antecipado", "no_mes", "transcorrido"), "dt")
+    newest = scans.newest_partition(i.spark, folder)
+    return scans.snapshot(scans.full_scan(i.spark, folder), newest)
+
+
+@check(
+    "S9_newest_year_month_day_by_folder",
+    X.with_views("opportunity") + " SELECT uniqueopportunityidentifier__c, year, month, day FROM opportunity WHERE month = 8",
+)
+def s9_folder(i):
+    folder = sinks.scratch_folder(i.spark)
+    rows = i.view("opportunity").select("uniqueopportunityidentifier__c", "year", "month", "day")
+    rows.write.partitionBy("year", "month", "day").parquet(folder)
+    return scans.at_day(scans.full_scan(i.spark, folder), scans.newest_day_folder(i.spark, folder))

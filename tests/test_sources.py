@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Row
 
 from cascata import schemas
-from cascata.sources import ledger, modes, scans, sinks
+from cascata.sources import ledger, modes, scans, sinks, versions
 
 DAY, NEXT = date(2024, 1, 15), date(2024, 1, 16)
 SCHEMA = schemas.declare("v string, dt date")
@@ -15,7 +15,7 @@ def rows(spark, *pairs):
 
 
 def stored(spark, path):
-    return sorted(tuple(r) for r in spark.read.parquet(path).select("v", "dt").collect())
+    return sorted(tuple(r) for r in versions.read(spark, path).select("v", "dt").collect())
 
 
 def test_month_bounds():
@@ -157,14 +157,14 @@ def test_load_keeps_the_declared_types(spark, folder):
     day = lambda n, d: spark.createDataFrame([("a", n, "x", d)], f"id string, n {'bigint' if isinstance(n, int) else 'string'}, more string, dt date")
     assert modes.load(spark, day(1, DAY), table, folder, book, DAY) == "overwrite"
     assert modes.load(spark, day("2", NEXT), table, folder, book, NEXT) == "append"
-    found = spark.read.parquet(f"{folder}/t")
+    found = versions.read(spark, f"{folder}/t")
     assert sorted((r.n, r.more) for r in found.collect()) == [(1, "x"), (2, "x")] and found.schema["n"].dataType.simpleString() == "bigint"
     last = date(2024, 1, 17)
     with pytest.raises(Exception, match="n is no bigint: many"):
         modes.load(spark, day("many", last), table, folder, book, last)
     lossy = modes.SourceTable("t", "dt", historical=True, schema=declared, lossy=True)
     assert modes.load(spark, day("many", last), lossy, folder, book, last) == "append"
-    assert sorted((r.n is None, r.n) for r in found.sparkSession.read.parquet(f"{folder}/t").collect()) == [(False, 1), (False, 2), (True, None)]
+    assert sorted((r.n is None, r.n) for r in versions.read(spark, f"{folder}/t").collect()) == [(False, 1), (False, 2), (True, None)]
     assert [r.rows_extracted for r in book.read().where("status = 'values_lost'").collect()] == [1]
 
 
