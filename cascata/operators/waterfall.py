@@ -122,7 +122,7 @@ class Cube:
         return list(dict.fromkeys(p.where for p in self.parts if p.distinct))
 
     def sums_of(self, frame: DataFrame) -> DataFrame:
-        return frame.groupBy(*self.group).agg(*_sum_columns(self.measures))
+        return self._grouped(frame, _sum_columns(self.measures))
 
     def ids_of(self, frame: DataFrame, id: str) -> DataFrame:
         """Cells and ids that meet a condition at all."""
@@ -133,6 +133,9 @@ class Cube:
         )
         return self._joined(grouped)
 
+    def _grouped(self, rows: DataFrame, sums: list[Column]) -> DataFrame:
+        return rows.groupBy(*self.group).agg(*sums) if sums else rows.select(*self.group).distinct()
+
     def _joined(self, rows: DataFrame) -> DataFrame:
         words = [n for n, _ in _words(self.flags, "__flags")]
         return rows.groupBy(*self.group, "__id").agg(*[F.bit_or(n).alias(n) for n in words])
@@ -140,7 +143,7 @@ class Cube:
     def merge(self, other: Cube) -> Cube:
         """The cube of the rows of both."""
         added = [F.sum(c).alias(c) for c in self.measures.values()]
-        sums = self.sums.unionByName(other.sums).groupBy(*self.group).agg(*added)
+        sums = self._grouped(self.sums.unionByName(other.sums), added)
         return Cube(self.parts, self.name, self.group, sums, self._joined(self.ids.unionByName(other.ids)))
 
     def test(self, where: str) -> str:

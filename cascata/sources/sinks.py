@@ -12,12 +12,12 @@ from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType
 from pyspark.sql.types import StringType
 
-from cascata.sources import versions
+from cascata.sources import files, versions
 from cascata.sources.scans import FILE_DATE
 
 
@@ -82,6 +82,38 @@ def replace_partitions(df: DataFrame, path: str, column: str) -> None:
     )
 
 
+def replace_values(df: DataFrame, path: str, column: str, values: Sequence) -> None:
+    """Replace the partitions of the given values; one that ``df`` has no rows of goes.
+
+    Partitions are swapped one after another once all are written. A job that fails while it writes
+    changes nothing.
+    """
+    spark = df.sparkSession
+    seen = Observation()
+    replace_partitions(df.observe(seen, F.collect_set(F.col(column).cast("string")).alias("v"), F.count_if(F.col(column).isNull()).alias("nulls")), path, column)
+    place, written = versions.folder(spark, path), set(seen.get["v"])
+    for value in values:
+        if (value is None and seen.get["nulls"]) or str(value) in written:
+            continue
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+        if files.exists(spark, f"{place}/{column}={name}"):
+            files.delete(spark, f"{place}/{column}={name}")
+
+
+def save_bucketed(
+    df: DataFrame, name: str, path: str, keys: Sequence[str], order: Sequence[str] = (), buckets: int = 200
+) -> None:
+    """Store a catalog table by hash of its keys, sorted within each bucket.
+
+    Joins, windows and groupings by the keys then need no shuffle. One file a bucket: rows are dealt to the
+    buckets before they are written. The number of buckets should suit the cluster's tasks.
+    """
+    sorted_by = [*keys, *order]
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.bucketBy(buckets, *keys).sortBy(*sorted_by).option("path", path)
+    writer.mode("overwrite").format("parquet").saveAsTable(name)
+
+
 def append_new(df: DataFrame, path: str, keys: list[str], partition_by: str | None = None) -> None:
     """Append one row for each key that the table does not hold yet: safe to run twice.
 

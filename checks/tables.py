@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from cascata.plans import crm, daily, grids, recurring, revenue
-from cascata.sources import sinks
+from cascata.plans import crm, daily, grids, recurring, refresh, revenue
+from cascata.sources import sinks, versions
 from checks import fixtures as X
 from checks import sql_parts as S
 from checks import sql_waterfalls as W
@@ -250,3 +252,43 @@ def t8_all(i):
 @check("T9_bd_full_v2_all_months", W.waterfall("full2", "TRUE"))
 def t9_all(i):
     return grids.bd_full_v2(i.enriched(), i.payments(all_months=True), i.view("planos"))
+
+
+def _refreshed(i, version, build):
+    """A table of rows as they were before a late correction, brought up to date by its touched months."""
+    folder, now = sinks.scratch_folder(i.spark), sinks.stored(i.enriched())
+    wrong = F.col("mes_base").isin(date(1995, 3, 1), date(1997, 11, 1)) & (F.pmod(F.xxhash64("advertiser_id"), F.lit(3)) == 0)
+    late = (F.col("mes_base") == date(1996, 7, 1)) & (F.col("canal_conta") == "Online")
+    before = sinks.stored(
+        now.where(~F.coalesce(late, F.lit(False))).withColumns({
+            "faturado_mes": F.when(wrong, F.col("faturado_mes") * 2).otherwise(F.col("faturado_mes")).cast("decimal(18,2)"),
+            "dt_cancelado": F.when(wrong, F.lit(date(1998, 1, 1))).otherwise(F.col("dt_cancelado")),
+        })
+    )
+    paid, plans = sinks.stored(i.payments()), i.view("planos")
+    path = f"{folder}/{version}"
+    cube = refresh.store_cube(before, folder)
+    sinks.overwrite(build(paid, plans, cube), path, refresh.CELL)
+    changed = sinks.stored(refresh.changed_rows(before, now, now.where(wrong | late)))
+    cube = refresh.refresh_cube(now, folder, refresh.base_months(changed))
+    refresh.refresh_table(version, path, cube, paid, plans, refresh.cell_months(changed))
+    return versions.read(i.spark, path)
+
+
+@check("T4_refresh_of_touched_months", ORACLE["T4_bd_planos_uf"])
+def t4_refresh(i):
+    return _refreshed(i, grids.UF, lambda paid, plans, cube: grids.bd_planos_uf(None, paid, cube=cube))
+
+
+@check("T9_refresh_of_touched_months", ORACLE["T9_bd_full_v2"])
+def t9_refresh(i):
+    return _refreshed(i, grids.FULL2, lambda paid, plans, cube: grids.bd_full_v2(None, paid, plans, cube=cube))
+
+
+@check("T12_tamanhos_ajustados_bucketed", ORACLE["T12_tamanhos_ajustados"])
+def t12_bucketed(i):
+    """From enriched rows stored by account: the lag moves nothing."""
+    folder = sinks.scratch_folder(i.spark)
+    name = f"cascata_{folder.rsplit('-', 1)[-1]}"
+    sinks.save_bucketed(i.enriched(), name, folder, ["advertiser_id"], ["mes_base"], 8)
+    return revenue.tamanhos_ajustados(i.spark.table(name), unique_months=True)
