@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cascata import schemas
-from cascata.sources import scans, sinks
+from cascata.sources import files, scans, sinks
 from cascata.sources.ledger import SKIPPED, VALUES_LOST, Ledger
 
 HOURLY, DAILY, ALL = "hourly", "daily", "all"
-FULL, INCREMENTAL, BOOTSTRAP = "full", "incremental", "bootstrap"
+FULL, INCREMENTAL, BOOTSTRAP, BACKFILL = "full", "incremental", "bootstrap", "backfill"
 #: A month bootstrap takes historical tables only; others are left as they are.
 NOT_HISTORICAL = "not_historical"
 
@@ -32,6 +32,8 @@ class SourceTable:
     schema: StructType | None = None
     #: Values that the declared types cannot hold become null and are counted; else they fail the load.
     lossy: bool = False
+    #: Appended rows carry the load's token, so a load that runs twice leaves its rows once.
+    repeatable: bool = False
 
 
 def in_group(tables: list[SourceTable], group: str) -> list[SourceTable]:
@@ -75,6 +77,54 @@ def read(source: DataFrame, table: SourceTable, scan: str, as_of: date, month: s
     }.get(scan, lambda: source)()
 
 
+def load_token(table: SourceTable, as_of: date, month: str | None = None) -> str:
+    """Names a load: table and day, or table and month of a bootstrap."""
+    return f"{table.name}-{month or as_of.isoformat()}"
+
+
+def work_list(source: DataFrame, table: SourceTable, ledger: Ledger, start: date, end: date) -> list[date]:
+    """Days of the source from ``start`` up to ``end`` that no backfill has finished, oldest first."""
+    done = (
+        ledger.read()
+        .where((F.col("table_name") == table.name) & (F.col("extraction_type") == BACKFILL))
+        .select(F.col("last_extraction_date").alias(table.partition))
+    )
+    days = scans.date_range(source, table.partition, start, end).select(table.partition).distinct()
+    return sorted(r[0] for r in days.join(done, table.partition, "left_anti").collect())
+
+
+def backfill(
+    spark: SparkSession,
+    source: DataFrame,
+    table: SourceTable,
+    folder: str,
+    ledger: Ledger,
+    start: date,
+    end: date,
+    at_most: int | None = None,
+) -> list[date]:
+    """Load the days of a range one by one, each committed on its own; gives the days loaded.
+
+    A day is written in place of what the table has of it and then entered in the ledger. A run that
+    stops anywhere goes on with the next day: what is entered is not read again, and a day that was
+    written but not entered is replaced, not doubled. ``at_most`` ends a run after so many days.
+    """
+    path, loaded = f"{folder.rstrip('/')}/{table.name}", []
+    for day in work_list(source, table, ledger, start, end)[:at_most]:
+        seen = Observation()
+        rows = scans.partition_day(source, table.partition, day)
+        if table.schema:
+            rows = schemas.guard(rows, table.schema, table.lossy)
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+        if files.exists(spark, path):
+            sinks.overwrite_partition(rows, path, table.partition, day)
+        else:
+            sinks.overwrite(rows, path, table.partition)
+        ledger.mark(table.name, day, seen.get["rows"], BACKFILL)
+        loaded.append(day)
+    return loaded
+
+
 def load(
     spark: SparkSession,
     source: DataFrame,
@@ -107,9 +157,14 @@ def load(
     if sink == "overwrite_partition":
         sinks.overwrite_partition(frame, path, table.partition, as_of)
     elif sink == "append":
-        sinks.append(frame, path, table.partition)
+        if table.repeatable:
+            sinks.append_once(frame, path, load_token(table, as_of, month))
+        else:
+            sinks.append(frame, path, table.partition)
     elif sink == "overwrite_snapshot":
         sinks.overwrite_snapshot(frame, path, sinks.landing_path(table.name, as_of), table.partition)
+    elif table.repeatable:
+        sinks.overwrite(frame.withColumn(sinks.TOKEN, F.lit(load_token(table, as_of, month))), path, sinks.TOKEN)
     else:
         sinks.overwrite(frame, path, table.partition)
     ledger.mark(table.name, as_of, seen.get["rows"], kind)

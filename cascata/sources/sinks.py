@@ -21,6 +21,10 @@ from cascata.sources import files, versions
 from cascata.sources.scans import FILE_DATE
 
 
+#: Column that names the load a row came with.
+TOKEN = "load_token"
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder under the shared folder in ``spark.checkpoint.dir``.
 
@@ -114,6 +118,19 @@ def save_bucketed(
     writer.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+def append_once(df: DataFrame, path: str, token: str) -> None:
+    """Append the rows of a load under its token; the same load again replaces its own rows.
+
+    Repeated rows inside a load stay. The token is the table's partition column, so a load is replaced in
+    one go and the rows of other loads are not read.
+    """
+    tagged = df.withColumn(TOKEN, F.lit(token))
+    if versions.published(df.sparkSession, path) or files.exists(df.sparkSession, path):
+        replace_partitions(tagged, path, TOKEN)
+    else:
+        overwrite(tagged, path, TOKEN)
+
+
 def append_new(df: DataFrame, path: str, keys: list[str], partition_by: str | None = None) -> None:
     """Append one row for each key that the table does not hold yet: safe to run twice.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cascata import schemas
 from cascata.functions import dates as D
-from cascata.operators import quality, reconcile
+from cascata.operators import checksums, quality, reconcile
 from cascata.plans import chain, daily
 from cascata.sources import ledger, modes, scans, sinks
 from checks import fixtures as X
@@ -562,3 +562,71 @@ def s9_folder(i):
     rows = i.view("opportunity").select("uniqueopportunityidentifier__c", "year", "month", "day")
     rows.write.partitionBy("year", "month", "day").parquet(folder)
     return scans.at_day(scans.full_scan(i.spark, folder), scans.newest_day_folder(i.spark, folder))
+
+
+COMPARED = "canal_conta tamanho faturado_mes estado classificacao".split()
+
+
+@check(
+    "S31_checksum_differences",
+    X.with_views("gold")
+    + """, b AS (SELECT advertiser_id, mes_base, canal_conta, tamanho, CASE WHEN day(day_base) = 13 THEN faturado_mes + 1 ELSE faturado_mes END AS faturado_mes,
+ CASE WHEN estado = 'RR' THEN 'AM' ELSE estado END AS estado, classificacao FROM gold WHERE NOT (advertiser_id LIKE '%7' AND mes_base = DATE '1996-05-01')
+ UNION ALL SELECT advertiser_id, mes_base, canal_conta, tamanho, faturado_mes, estado, classificacao FROM gold WHERE advertiser_id LIKE '%3' AND mes_base = DATE '1997-02-01'),
+ c AS ("""
+    + " UNION ALL ".join(
+        f"SELECT advertiser_id, mes_base, '{name}' AS \"column\", {value} AS value, {sign} AS s FROM {side}"
+        for side, sign in (("gold", -1), ("b", 1))
+        for name, value in [("(rows)", "CAST(NULL AS VARCHAR)"), *((x, f"CAST({x} AS VARCHAR)") for x in COMPARED)]
+    )
+    + """)
+ SELECT advertiser_id, mes_base, "column", value, CAST(sum(s) AS BIGINT) AS copies FROM c GROUP BY ALL HAVING sum(s) <> 0""",
+)
+def s31_checksums(i):
+    """Changed cells, lost rows and doubled rows between two versions of a table, found by checksums."""
+    keys = ["advertiser_id", "mes_base"]
+    extra = i.gold.where("advertiser_id LIKE '%3' AND mes_base = DATE '1997-02-01'")
+    kept = i.gold.where("NOT (advertiser_id LIKE '%7' AND mes_base = DATE '1996-05-01')").withColumns({
+        "faturado_mes": F.when(F.dayofmonth("day_base") == 13, F.col("faturado_mes") + 1).otherwise(F.col("faturado_mes")).cast("decimal(18,2)"),
+        "estado": F.when(F.col("estado") == "RR", "AM").otherwise(F.col("estado")),
+    })
+    return checksums.differences(i.gold, kept.unionByName(extra), keys, COMPARED)
+
+
+BACKFILLED = modes.SourceTable("gold", "dt", historical=True)
+
+
+@check(
+    "S4_resumed_backfill",
+    X.with_views("gold")
+    + """ SELECT advertiser_id, dt, n FROM (SELECT advertiser_id, mes_base AS dt, count(*) AS n FROM gold GROUP BY ALL) WHERE dt >= DATE '1996-01-01' AND dt < DATE '1996-05-01'""",
+)
+def s4_backfill(i):
+    """Two days, a day written but not entered as if the run had died there, then a run to the end."""
+    folder = sinks.scratch_folder(i.spark)
+    book = ledger.Ledger(i.spark, f"{folder}/ledger")
+    rows = i.gold.select("advertiser_id", F.col("mes_base").alias("dt"))
+    span = date(1996, 1, 1), date(1996, 5, 1)
+    modes.backfill(i.spark, rows, BACKFILLED, folder, book, *span, at_most=2)
+    third = modes.work_list(rows, BACKFILLED, book, *span)[0]
+    sinks.overwrite_partition(scans.partition_day(rows, "dt", third), f"{folder}/gold", "dt", third)
+    modes.backfill(i.spark, rows, BACKFILLED, folder, book, *span)
+    found = scans.full_scan(i.spark, f"{folder}/gold")
+    return found.groupBy("advertiser_id", "dt").agg(F.count("*").alias("n"))
+
+
+@check(
+    "S16_append_with_load_token",
+    "SELECT o_custkey, o_orderstatus, 'orders-1998-01-0' || CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '2' END AS load_token "
+    "FROM orders WHERE o_orderstatus IN ('F', 'O')",
+)
+def s16_token(i):
+    """Two loads, of which the second runs twice; rows that repeat inside a load stay."""
+    folder = sinks.scratch_folder(i.spark)
+    book = ledger.Ledger(i.spark, f"{folder}/ledger")
+    table = modes.SourceTable("orders", "dt", historical=True, repeatable=True)
+    rows = i.table("orders").select("o_custkey", "o_orderstatus")
+    for status, day in (("F", 1), ("O", 2), ("O", 2)):
+        of_day = rows.where(F.col("o_orderstatus") == status).withColumn("dt", F.lit(date(1998, 1, day)))
+        modes.load(i.spark, of_day, table, folder, book, date(1998, 1, day))
+    return scans.full_scan(i.spark, f"{folder}/orders").drop("dt")
