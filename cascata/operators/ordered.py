@@ -40,8 +40,7 @@ def add_previous(
 ) -> DataFrame:
     """Add ``new_name = value of the row before`` for every ``{new_name: column}``.
 
-    ``order`` has one or two columns and sorts nulls first; the second must be a number or a
-    date. Rows that tie on it are ordered by a hash of the whole row, so the result does not
+    ``order`` has one or more columns, numbers or dates, and sorts nulls first. Rows that tie on it are ordered by a hash of the whole row, so the result does not
     depend on the partitioning. ``default`` fills the first row of a key. Without ``bounded`` the
     rows are written once when this is called.
     """
@@ -72,24 +71,21 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
 def _lag_in_pieces(df, keys, order, values, default) -> DataFrame:
     """Lag of keys too large for one task.
 
-    The piece numbers grow with the order: the leading order column, then a range of the second
-    one by the key's quantiles, then, where a range is a single value, the top bits of the row
-    hash. So a key has a bounded number of pieces per leading value, and the pass over the piece
-    ends stays small. The end of the piece before enters as one carrier row in front of a piece.
+    The piece numbers grow with the order: a range of the leading order column by the key's quantiles;
+    where that range is a single value, a range of the second column; where that is one value too, the top
+    bits of the row hash. So a key has a bounded number of pieces, whether its order column has few values or
+    is nearly unique, and the pass over the piece ends stays small. The end of the piece before enters as
+    one carrier row in front of a piece.
     """
     columns = df.columns
     rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
     rows = rows.withColumn("__hash", F.xxhash64(*columns))
-    by_hash = F.shiftright("__hash", 56)
-    if len(order) == 1:
-        rows = rows.withColumns({"__range": F.lit(0), "__part": by_hash})
-    else:
-        rows = _with_ranges(rows, keys, order[1], by_hash)
-    piece = [*keys, order[0], "__range", "__part"]
+    rows, ranges = _with_ranges(rows, keys, order)
+    piece = [*keys, *ranges]
     own = F.struct(*[F.col(c).alias(new) for new, c in values.items()])
     position = F.struct(*order, "__hash", F.struct(*columns))
     ends = rows.groupBy(*piece).agg(F.max_by(own, position).alias("__end"))
-    by_key = Window.partitionBy(*keys).orderBy(*_order_columns([order[0], "__range", "__part"]))
+    by_key = Window.partitionBy(*keys).orderBy(*ranges)
     carriers = (
         ends.withColumn("__own", F.lag("__end").over(by_key))
         .where(F.col("__own").isNotNull())
@@ -113,22 +109,32 @@ def _lag_in_pieces(df, keys, order, values, default) -> DataFrame:
     return one_each.unionByName(_other_copies(rows, columns, values))
 
 
-def _with_ranges(rows, keys, column, by_hash) -> DataFrame:
-    """Range number of ``column`` by the key's quantiles: odd for a quantile itself, even between."""
+def _with_ranges(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add the numbers of a row's piece; gives their names in order."""
     shares = [i / PIECES for i in range(1, PIECES)]
     marks = rows.groupBy(*[F.col(k).alias(f"__m_{k}") for k in keys]).agg(
-        F.percentile_approx(column, shares, 4 * PIECES).alias("__marks")
+        *[F.percentile_approx(c, shares, 4 * PIECES).alias(f"__marks_{n}") for n, c in enumerate(order)]
     )
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__m_{k}")) for k in keys])
     # One row per hot key; Spark measures it, and splits the hot side where it has to shuffle.
     marked = rows.join(marks, same).drop(*[f"__m_{k}" for k in keys])
-    x = F.col(column)
-    below = F.size(F.filter("__marks", lambda m: m < x))
-    at_mark = F.coalesce(F.array_contains("__marks", x), F.lit(False))
-    number = F.when(x.isNull(), -1).otherwise(2 * below + at_mark.cast("int"))
-    return marked.withColumns(
-        {"__range": number, "__part": F.when(at_mark | x.isNull(), by_hash).otherwise(0)}
-    ).drop("__marks")
+    single, names = F.lit(True), []
+    for n, column in enumerate(order):
+        x, held = F.col(column), F.col(f"__marks_{n}")
+        below = F.size(F.filter(held, _less_than(x)))
+        at_mark = F.coalesce(F.array_contains(held, x), F.lit(False))
+        # Odd for a quantile itself, even between two; nulls come first.
+        number = F.when(x.isNull(), -1).otherwise(2 * below + at_mark.cast("int"))
+        names.append(f"__range_{n}")
+        marked = marked.withColumns({names[-1]: F.when(single, number).otherwise(0), f"__single_{n}": single & (at_mark | x.isNull())})
+        single = F.col(f"__single_{n}")
+    marked = marked.withColumn("__part", F.when(single, F.shiftright("__hash", 56)).otherwise(0))
+    helpers = [f"__{h}_{n}" for n in range(len(order)) for h in ("marks", "single")]
+    return marked.drop(*helpers), [*names, "__part"]
+
+
+def _less_than(x: Column):
+    return lambda value: value < x
 
 
 def _other_copies(rows, columns, values) -> DataFrame:

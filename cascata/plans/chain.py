@@ -183,7 +183,8 @@ def run_chain(
         path = f"{folder.rstrip('/')}/{step.name}"
         check = (checks or {}).get(step.name)
         try:
-            sinks.overwrite(step.build(frames, as_of), path, check=_failures(check) if check else None)
+            with sinks.scratch(spark):
+                sinks.overwrite(step.build(frames, as_of), path, check=_failures(check) if check else None)
             frames[step.name] = versions.read(spark, path)
             outcomes.append(Outcome(step.name, DONE))
         except versions.Refused as e:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
-
+import re
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -138,6 +139,93 @@ def date_of_file(path: Column) -> Column:
     return F.try_to_date(F.nullif(F.regexp_extract(path, FILE_DATE, 1), F.lit("")), "yyyy-MM-dd")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line, text``: every line of text files with its number in its file, from 1.
+
+    Files may be split: a block's lines are numbered by the order in which they are read, and the lines of
+    the blocks before are added, which takes one row a block.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__at"), F.col("value").alias("text"),
+    )
+    blocks = lines.groupBy("file", "__start").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    number = F.col("__before") + F.col("__at") - F.col("__first") + 1
+    return lines.join(blocks, ["file", "__start"]).select("file", number.alias("line"), "text")
+
+
+def csv_at(
+    spark: SparkSession, path: str, columns: Sequence[str], header_line: int = 1, sep: str = ","
+) -> DataFrame:
+    """The named columns, as text, of CSV files whose header stands on a given line.
+
+    Lines above it are titles and left out by their place, whatever they hold. Files may have their columns
+    in different orders; a column that a file's header lacks is null. Cells may not hold line breaks; blank
+    lines are no rows.
+    """
+    lines = numbered_lines(spark, path).where(F.col("line") >= header_line)
+    cells = lambda text: F.transform(F.split(text, _separators(sep)), _unquoted)
+    header = lines.where(F.col("line") == header_line).select(
+        "file", F.transform(cells(F.col("text")), lambda c: F.lower(F.trim(c))).alias("__names")
+    )
+    data = lines.where((F.col("line") > header_line) & (F.trim("text") != ""))
+    rows = data.join(header, "file").withColumn("__cells", cells(F.col("text")))
+
+    def cell(name):
+        place = F.array_position("__names", F.lit(name.strip().lower())).cast("int")
+        return F.when(place > 0, F.get("__cells", place - 1)).alias(name)
+
+    return rows.select(*[cell(c) for c in columns])
+
+
+def _separators(sep: str) -> str:
+    """Separators outside quotes: an even number of quotes follows."""
+    return f'{re.escape(sep)}(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _unquoted(cell: Column) -> Column:
+    bare = F.regexp_replace(F.regexp_extract(cell, '^\\s*"(.*)"\\s*$', 1), '""', '"')
+    return F.when(cell.rlike('^\\s*".*"\\s*$'), bare).otherwise(cell)
+
+
+def types_by_day(spark: SparkSession, path: str, column: str = "dt") -> DataFrame:
+    """``day, column, type`` of the columns stored in each daily partition, read from file footers.
+
+    A day whose files disagree has the type ``mixed`` for all columns that differ among them. One footer
+    read a day finds the types; Spark reads all footers of a day, in tasks, to tell whether they agree.
+    """
+    place, rows = versions.folder(spark, path), []
+    for day in partition_days(spark, path, column):
+        reader = spark.read.option("mergeSchema", "true")
+        folder = f"{place}/{column}={day}"
+        try:
+            found = {f.name: f.dataType.simpleString() for f in reader.parquet(folder).schema}
+        except AnalysisException:
+            found = {}
+        except Exception as e:  # files of one day that cannot be read with one schema
+            if "merg" not in str(e).lower():
+                raise
+            found = {f.name: "mixed" for f in spark.read.parquet(folder).schema}
+        rows += [(date.fromisoformat(day), name, kind) for name, kind in found.items()]
+    return spark.createDataFrame(rows, "day date, column string, type string")
+
+
+def type_turns(types: DataFrame) -> DataFrame:
+    """``column, day, before, after``: the days on which a column's stored type changed, came or went."""
+    names = sorted(r[0] for r in types.select("column").distinct().collect())
+    if not names:
+        return types.select("column", "day", F.col("type").alias("before"), F.col("type").alias("after"))
+    # Columns times days, both as few as a table's partitions and columns.
+    every = F.explode(F.array(*[F.lit(n) for n in names])).alias("column")
+    known = types.select("day").distinct().select("day", every).join(types, ["day", "column"], "left")
+    by_column = Window.partitionBy("column").orderBy("day")
+    turned = known.withColumns({"before": F.lag("type").over(by_column), "__k": F.row_number().over(by_column)})
+    changed = (F.col("__k") > 1) & ~F.col("before").eqNullSafe(F.col("type"))
+    return turned.where(changed).select("column", "day", "before", F.col("type").alias("after"))
+
+
 def locale_csv(
     spark: SparkSession,
     path: str,

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from datetime import date
 from functools import reduce
 from operator import and_
@@ -40,9 +41,28 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cascata-{uuid.uuid4().hex}"
 
 
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What ``stored`` writes inside is deleted at the end, when its readers are done."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            files.delete(spark, path)
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to a scratch folder and read back, which ends its lineage in shared storage."""
+    """``df`` written to a scratch folder and read back, which ends its lineage in shared storage.
+
+    The folder stays, unless a ``scratch`` block is open.
+    """
     path = scratch_folder(df.sparkSession)
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

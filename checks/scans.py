@@ -630,3 +630,36 @@ def s16_token(i):
         of_day = rows.where(F.col("o_orderstatus") == status).withColumn("dt", F.lit(date(1998, 1, day)))
         modes.load(i.spark, of_day, table, folder, book, date(1998, 1, day))
     return scans.full_scan(i.spark, f"{folder}/orders").drop("dt")
+
+
+@check(
+    "S12_lines_by_place",
+    f"SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(day AS VARCHAR) AS day, o_orderstatus FROM ({ORDERS})",
+)
+def s12_place(i):
+    """Exports with three title lines and the header on line four, columns in two orders; titles look like rows."""
+    folder = sinks.scratch_folder(i.spark)
+    for status, names in (("F", ["o_orderkey", "day", "o_orderstatus"]), ("O", ["o_orderstatus", "o_orderkey", "day"]), ("P", ["day", "o_orderkey", "o_orderstatus"])):
+        rows = orders(i).where(F.col("o_orderstatus") == status).select(*[F.col(n).cast("string") for n in names])
+        lines = rows.select(F.lit(5).alias("k"), F.concat_ws(",", *names).alias("value"))
+        titles = ["1,1996-01-01,F", "", "Report", ",".join(names)]
+        top = i.table("region").limit(1).select(F.posexplode(F.array(*map(F.lit, titles))).alias("k", "value"))
+        top.unionByName(lines).coalesce(1).sortWithinPartitions("k").select("value").write.mode("append").text(folder)
+    return scans.csv_at(i.spark, folder, ["o_orderkey", "day", "o_orderstatus"], header_line=4)
+
+
+@check(
+    "S33_type_turns",
+    """SELECT 'c_phone' AS "column", DATE '1998-01-03' AS day, 'bigint' AS before, 'string' AS after
+ UNION ALL SELECT 'c_acctbal', DATE '1998-01-04', NULL, 'double' WHERE (SELECT count(*) FROM customer) > 0""",
+)
+def s33_turns(i):
+    """Four days of a table: a number turns into text on the third, a column comes on the fourth."""
+    folder = sinks.scratch_folder(i.spark)
+    for day in range(1, 5):
+        rows = i.table("customer").select(
+            "c_custkey", F.col("c_custkey").cast("bigint" if day < 3 else "string").alias("c_phone"),
+            *([F.col("c_acctbal").cast("double").alias("c_acctbal")] if day == 4 else []),
+        )
+        rows.write.parquet(f"{folder}/dt=1998-01-0{day}")
+    return scans.type_turns(scans.types_by_day(i.spark, folder))
