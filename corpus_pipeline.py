@@ -2,6 +2,11 @@
 
 Every stage works on all that the one before kept and is written as Parquet in the shared folder before
 the next one reads it, so a lost executor repeats a part of one stage.
+
+In every stage null texts are read as empty ones, texts are read whole however long, an empty table gives an
+empty table, and columns beyond those of documents are left out. Rows that repeat id and text are one
+document for line dedup (all copies keep the same lines) and for near dedup (one row stays); the other
+stages judge each row by itself. Each stage says how it breaks ties.
 """
 
 from __future__ import annotations
@@ -15,7 +20,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold; the model is fitted on these documents."""
+    """Documents whose quality score reaches the threshold; the model is fitted on these documents.
+
+    A score right at the threshold is kept; equal texts have equal scores. Without labels all stay.
+    """
     common.ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_classifier.fit(quality_classifier.measure(docs), labels)
@@ -24,23 +32,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of 50 words or more go; a document that loses all its lines stays, empty."""
+    """Later copies of runs of 50 words or more go; a document that loses all its lines stays, empty.
+
+    The first copy is the one of the least id, null ids first, ties by text hash.
+    """
     return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays whose fingerprints link at two or fewer differing bits."""
+    """One document of each group stays whose fingerprints link at two or fewer differing bits.
+
+    The one with the least id stays, null ids last, ties by text hash. Documents without a word are one group.
+    """
     common.ship(spark)
     return simhash.keep_one(docs, 3, 2).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap a benchmark item go."""
+    """Documents that overlap a benchmark item go; repeated rows and items change nothing, a null id stays if clean."""
     return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their ids and the text decoded from them."""
+    """The documents with their ids and the text decoded from them; no ids and "" for empty texts."""
     common.ship(spark)
     model = queries.piece_model()
     coded = docs.select(*COLUMNS, sentencepiece_codec.coded_column(F.col("text"), model).alias("_c"))
@@ -54,7 +68,7 @@ STAGES = [
     ("decontamination", decontaminated),
     ("encoding", encoded),
 ]
-#: No stage but the last two can be said in SQL; the pipeline is tested against brute force.
+#: Not to be said in SQL. Tests compare each stage's documents with a plain version of it.
 ORACLE_SQL = None
 
 
