@@ -144,6 +144,7 @@ def load(
     scan, kind = choose_scan(table, ledger.is_first_load(table.name), month)
     frame = read(source, table, scan, as_of, month)
     path = f"{folder.rstrip('/')}/{table.name}"
+    # Reads up to the first row only.
     if table.group == HOURLY and frame.isEmpty():
         ledger.mark(table.name, as_of, 0, kind, SKIPPED)
         return SKIPPED

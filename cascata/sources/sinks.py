@@ -13,7 +13,7 @@ from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType
 from pyspark.sql.types import StringType
@@ -113,15 +113,15 @@ def replace_values(df: DataFrame, path: str, column: str, values: Sequence) -> N
     changes nothing.
     """
     spark = df.sparkSession
-    seen = Observation()
-    replace_partitions(df.observe(seen, F.collect_set(F.col(column).cast("string")).alias("v"), F.count_if(F.col(column).isNull()).alias("nulls")), path, column)
-    place, written = versions.folder(spark, path), set(seen.get["v"])
-    for value in values:
-        if (value is None and seen.get["nulls"]) or str(value) in written:
-            continue
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-        if files.exists(spark, f"{place}/{column}={name}"):
-            files.delete(spark, f"{place}/{column}={name}")
+    with scratch(spark):
+        rows = stored(df)
+        written = {str(r[0]) for r in rows.select(column).distinct().collect()}
+        if written:
+            replace_partitions(rows, path, column)
+    place = versions.folder(spark, path)
+    for value in {str(v) for v in values} - written:
+        name = "__HIVE_DEFAULT_PARTITION__" if value == "None" else value
+        files.delete(spark, f"{place}/{column}={name}")
 
 
 def save_bucketed(
