@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,21 @@ def store(df: DataFrame, label: str = "part") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Spark's setting by which the shuffle files of a query go when it ends, not when the driver forgets them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession):
+    """Shuffle files of the tables stored inside go as soon as each one is written."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def release(*frames: DataFrame) -> None:
     """Delete tables written by ``store`` that no later step reads."""
     for df in frames:

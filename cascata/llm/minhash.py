@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cascata.llm.common import release, store, text_key
+from cascata.llm.common import release, store, text_key, tidy
 from cascata.llm.simhash import components
 
 WIDTH = 5
@@ -432,8 +432,9 @@ def fingerprint_documents(documents: DataFrame, partitions: int | None = None) -
     """
     spark = documents.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    classes = store(near_classes(documents), "classes")
-    starts = range_starts(documents, count)
+    with tidy(spark):
+        classes = store(near_classes(documents), "classes")
+        starts = range_starts(documents, count)
     if not len(starts):
         return documents.sparkSession.createDataFrame([], RESULT)
     rows = documents.select(

@@ -410,3 +410,55 @@ def test_pipeline(spark):
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def plain_lines(rows):
+    """Rows with unique ids, after line dedup by hand."""
+    gone = removed_by_hand(rows, 50)
+    return [(i, "\n".join(x for n, x in enumerate((t or "").split("\n")) if (i, n) not in gone)) for i, t in rows]
+
+
+def plain_near(rows):
+    prints = [simple_print(t, 3) for _, t in rows]
+    root = grouped(len(rows), [(a, b) for a in range(len(rows)) for b in range(a) if bin(prints[a] ^ prints[b]).count("1") <= 2])
+    best = {}
+    for (i, _), r in zip(rows, root):
+        best[r] = min(best.get(r, i), i)
+    return [(i, t) for i, t in rows if i in set(best.values())]
+
+
+def test_stages_against_plain_versions(spark):
+    """Block edits, appended passages, shared passages, repeated lines and changed benchmark passages."""
+    sp = pytest.importorskip("sentencepiece")
+    import public_tokenizers
+
+    rng = random.Random(21)
+    bench = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    shared = words_text(rng, 55)
+    rows = [(0, None), (1, ""), (2, " \n"), (3, words_text(rng, 4000))]
+    for k in range(35):
+        body = words_text(rng, rng.choice([30, 120, 300])).split()
+        text = " ".join(body)
+        near = list(body)
+        near[3] = "edited"
+        rows.append((10 * k + 10, text))
+        rows.append((10 * k + 11, [text, text + " tail", " ".join(near), " ".join(body[: len(body) // 2])][k % 4]))
+        if k % 5 == 0:
+            rows.append((10 * k + 12, f"{words_text(rng, 40)}\n{shared}\n{words_text(rng, 30)}"))
+        if k % 7 == 0:
+            passage = rng.choice(bench).split()
+            passage[rng.randrange(len(passage))] = "changed"
+            rows.append((10 * k + 13, f"{words_text(rng, 60)} {' '.join(passage)} {words_text(rng, 60)}"))
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    got = lambda df: sorted((r.doc_id, r.text or "") for r in df.collect())
+    after, want = common.store(stages["line dedup"](spark, frame, SF)), plain_lines(rows)
+    assert got(after) == sorted(want) and want != [(i, t or "") for i, t in rows]
+    after, want = common.store(stages["near dedup"](spark, after, SF)), plain_near(want)
+    assert got(after) == sorted(want) and len(want) < len(rows) - 10
+    after = common.store(stages["decontamination"](spark, after, SF))
+    clean = [(i, t) for i, t in want if not any(overlapping(t, b) for b in bench)]
+    assert got(after) == sorted(clean) and len(clean) < len(want)
+    library = sp.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for r in stages["encoding"](spark, after, SF).collect():
+        assert r.ids == library.encode(r.text or "") and r.decoded == library.decode(r.ids) and r.n_tokens == len(r.ids)
