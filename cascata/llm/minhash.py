@@ -7,8 +7,9 @@ agree estimates the Jaccard similarity of the sets. The empty set has the greate
 
 Near duplicates: texts that agree in all values of a band meet, and are linked if the exact Jaccard
 similarity of their sets is 0.8 or more. With 10 bands of 4 values a pair of just 0.8 meets in 995 of 1,000
-cases. Equal texts are one from the start. Every text of a band value is compared with the value's least
-one; after that only texts of different groups are compared, so a large group is not paired with itself.
+cases. Equal texts are one from the start. In a few turns every text of a band value is compared with one hub
+of the value, another one each turn; after that all texts of different groups that share a value are compared,
+so a large group is not paired with itself and no pair that could join two groups is left out.
 
 The next document is the one before in the order of ids, that is by falling id, null ids last, and among
 equal ids by text hash; the first one follows the last. Rows that share id and text are one document: each
@@ -35,6 +36,8 @@ WIDTH = 5
 PERMUTATIONS = 128
 BANDS, ROWS = 10, 4
 SIMILARITY = 0.8
+#: Turns in which each text meets one hub a band value, before texts of different groups meet one another.
+HUBS = 5
 SEED = 11
 #: Words that are hashed at once, and words whose hashes are remembered.
 WORDS, WORDS_KEPT = 200_000, 300_000
@@ -235,21 +238,39 @@ def linked_texts(documents: DataFrame, similarity: float = SIMILARITY) -> DataFr
     shared = keys.groupBy("key").agg(F.min(half).alias("_a"), F.max(half).alias("_z")).where("_a < _z").select("key")
     index = store(keys.join(shared, "key").distinct(), "index")
     release(keys)
-    wanted = index.select("node").distinct()
+    # Stored first, so that Spark knows its size before it plans how texts are met with it.
+    wanted = store(index.select("node").distinct(), "wanted")
     sets = store(
         texts.join(wanted, "node", "left_semi").select("node", shingle_set(F.col("text")).alias("set"))
         .groupBy("node").agg(F.first("set").alias("set")), "sets",
     )
-    hubs = index.groupBy("key").agg(F.min("node").alias("a"))
-    first = index.join(hubs, "key").where("a < node").select("a", F.col("node").alias("b")).distinct()
-    roots = store(components(verified(first, sets, similarity)), "roots")
+    roots = wanted.select("node", F.col("node").alias("root"))
+    for turn in range(HUBS):
+        links = store(verified(hub_pairs(index, roots, turn), sets, similarity), "links")
+        if links.isEmpty():
+            break
+        roots = store(components(links.unionByName(inner_links(roots))), "roots")
     more = verified(pairs_between(index, roots), sets, similarity)
-    inner = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    found = store(components(more.unionByName(inner)), "linked")
-    release(index, sets, roots)
+    found = store(components(more.unionByName(inner_links(roots))), "linked")
+    release(index, sets, wanted)
     return found
 
 
+def inner_links(roots: DataFrame) -> DataFrame:
+    return roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def hub_pairs(index: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """Each node of a key with the key's hub, if they are not in one group yet; another hub every turn.
+
+    At most one pair a node and key, so a large group costs no more than its rows.
+    """
+    keyed = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    hub = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), "node", "root")).alias("h")
+    met = keyed.join(keyed.groupBy("key").agg(hub), "key").where("root != h.root")
+    return met.select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
+
+
 def near_classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, node, class_id`` of every document that has a copy or a near copy; one row for equal rows.
 
