@@ -8,8 +8,9 @@ agree estimates the Jaccard similarity of the sets. The empty set has the greate
 Near duplicates: texts that agree in all values of a band meet, and are linked if the exact Jaccard
 similarity of their sets is 0.8 or more. With 10 bands of 4 values a pair of just 0.8 meets in 995 of 1,000
 cases. Equal texts are one from the start. In a few turns every text of a band value is compared with one hub
-of the value, another one each turn; after that all texts of different groups that share a value are compared,
-so a large group is not paired with itself and no pair that could join two groups is left out.
+of the value, another one each turn; after that the texts of band values that hold several groups meet by their
+rarest shingles, where all pairs of different groups that can be alike enough are found and compared, so a
+large group is not paired with itself and no pair that could join two groups is left out.
 
 The next document is the one before in the order of ids, that is by falling id, null ids last, and among
 equal ids by text hash; the first one follows the last. Rows that share id and text are one document: each
@@ -37,7 +38,7 @@ PERMUTATIONS = 128
 BANDS, ROWS = 10, 4
 SIMILARITY = 0.8
 #: Turns in which each text meets one hub a band value, before texts of different groups meet one another.
-HUBS = 5
+HUBS = 2
 SEED = 11
 #: Words that are hashed at once, and words whose hashes are remembered.
 WORDS, WORDS_KEPT = 200_000, 300_000
@@ -193,32 +194,87 @@ def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
+def parities(values: Column) -> Column:
+    """One bit a bucket of a set's hashes: whether an odd number falls into it; four to eight buckets a hash."""
+
+    @F.arrow_udf("binary")
+    def folded(sets: pa.Array) -> pa.Array:
+        out = []
+        for s in sets:
+            hashes = s.values.to_numpy()
+            size = 1 << max(6, (4 * len(hashes) - 1).bit_length())
+            odd = np.bincount(hashes & (size - 1), minlength=size) & 1
+            out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+        return pa.array(out, pa.binary())
+
+    return folded(values)
+
+
+def least_difference(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Hashes that at least are in one of two sets only, from their parities; the longer one is folded."""
+    out = []
+    for x, y in zip(a.to_pylist(), b.to_pylist()):
+        x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+        if len(x) < len(y):
+            x, y = y, x
+        while len(x) > len(y):
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        out.append(int(np.bitwise_count(x ^ y).sum()))
+    return pa.array(out, pa.int64())
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    a, b = (sets.select(F.col("node").alias(n), F.col("set").alias("s" + n)) for n in "ab")
-    # Sets of very different sizes need no comparison.
-    least, most = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
+    """The pairs whose sets are so alike; sets are moved only for pairs that their sizes and parities allow."""
+    a, b = (sets.select(F.col("node").alias(x), F.col("n").alias("n" + x), F.col("bits").alias("b" + x)) for x in "ab")
+    differ = F.arrow_udf(least_difference, "long")("ba", "bb")
+    both = F.col("na") + F.col("nb")
+    allowed = (
+        pairs.join(a, "a").join(b, "b").where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)
+        .where(differ <= (1 - similarity) / (1 + similarity) * both + 1e-9).select("a", "b")
+    )
+    a, b = (sets.select(F.col("node").alias(x), F.col("set").alias("s" + x)) for x in "ab")
     alike = F.arrow_udf(jaccard, "double")("sa", "sb") >= similarity
-    return pairs.join(a, "a").join(b, "b").where(least >= similarity * most - 1e-9).where(alike).select("a", "b")
+    return store(allowed, "allowed").join(a, "a").join(b, "b").where(alike).select("a", "b")
+
+
+def open_nodes(index: DataFrame, roots: DataFrame) -> DataFrame:
+    """``node, root`` of all texts in a band value that holds texts of several groups."""
+    keyed = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = keyed.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_z")).where("_a < _z").select("key")
+    return keyed.join(several, "key").select("node", "root").distinct()
 
 
-def pairs_between(index: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of nodes of different groups that share a key.
+def pairs_between(opened: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of texts of different groups that can be ``similarity`` alike; no such pair is missing.
 
-    A key's most frequent group is kept apart (side 1) and met by nodes of other groups only.
+    The shingles of each set are put in order, those in the fewest sets first. A pair so alike shares a shingle
+    among the first ones of both: among the first ``n - ceil(2 s n / (1 + s)) + 1`` of the smaller set and the
+    first ``n - ceil(s n) + 1`` of the larger. What is left of the sets from the first shared place on must
+    reach the overlap needed. Texts that only share a passage, or copies edited more than that, differ in
+    rare shingles and do not meet. Sets without shingles share all band values, so their hub has linked them.
     """
-    keyed = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    often = (
-        keyed.groupBy("key", "root").agg(F.count("*").alias("_n"))
-        .groupBy("key").agg(F.max_by("root", F.struct("_n", "root")).alias("_often"), F.count("*").alias("_r"))
-        .where("_r > 1").drop("_r")
+    held = opened.join(sets, "node").select("node", "root", "n", F.explode("set").alias("token"))
+    often = held.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1")
+    in_order = F.sort_array(F.collect_list(F.struct("_c", "token")))
+    kept = held.join(often, "token").groupBy("node", "root", "n").agg(in_order.alias("_l"))
+    # Shingles of one set only come first and meet nothing, so they count as places but are not kept.
+    rare = F.col("n") - F.size("_l")
+    reach, needed = (F.col("n") - F.ceil(F.col("n") * s - 1e-9) + 1 for s in (similarity, 2 * similarity / (1 + similarity)))
+    first = F.slice("_l", 1, F.greatest(reach - rare, F.lit(0)).cast("int"))
+    placed = kept.select("node", "root", "n", rare.alias("_r"), needed.alias("_i"), F.posexplode(first).alias("_p", "_t"))
+    rows = store(
+        placed.select(
+            F.col("_t.token").alias("token"), "node", "root", "n", (F.col("_r") + F.col("_p")).alias("p"),
+            (F.col("_r") + F.col("_p") < F.col("_i")).alias("short"),
+        ), "prefixes",
     )
-    sided = keyed.join(often, "key").withColumn("_is", F.col("root") == F.col("_often")).drop("_often")
-    a = sided.where("not _is").withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).alias("a")
-    b = sided.withColumn("side", F.col("_is").cast("int")).alias("b")
+    a, b = rows.where("short").alias("a"), rows.alias("b")
+    left = F.least(F.col("a.n") - F.col("a.p"), F.col("b.n") - F.col("b.p"))
     met = a.join(
         b,
-        (F.col("a.key") == F.col("b.key")) & (F.col("a.side") == F.col("b.side")) & (F.col("a.root") != F.col("b.root"))
-        & ((F.col("a.side") == 1) | (F.col("a.node") < F.col("b.node"))),
+        (F.col("a.token") == F.col("b.token")) & (F.col("a.root") != F.col("b.root"))
+        & (F.struct("a.n", "a.node") < F.struct("b.n", "b.node")) & (F.col("a.n") >= similarity * F.col("b.n") - 1e-9)
+        & (left >= similarity / (1 + similarity) * (F.col("a.n") + F.col("b.n")) - 1e-9),
     )
     return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
@@ -242,7 +298,8 @@ def linked_texts(documents: DataFrame, similarity: float = SIMILARITY) -> DataFr
     wanted = store(index.select("node").distinct(), "wanted")
     sets = store(
         texts.join(wanted, "node", "left_semi").select("node", shingle_set(F.col("text")).alias("set"))
-        .groupBy("node").agg(F.first("set").alias("set")), "sets",
+        .groupBy("node").agg(F.first("set").alias("set"))
+        .select("node", "set", F.size("set").alias("n"), parities(F.col("set")).alias("bits")), "sets",
     )
     roots = wanted.select("node", F.col("node").alias("root"))
     for turn in range(HUBS):
@@ -250,9 +307,13 @@ def linked_texts(documents: DataFrame, similarity: float = SIMILARITY) -> DataFr
         if links.isEmpty():
             break
         roots = store(components(links.unionByName(inner_links(roots))), "roots")
-    more = verified(pairs_between(index, roots), sets, similarity)
+    opened = store(open_nodes(index, roots), "open")
+    release(index)
+    # Stored, so that Spark knows how few they are before it plans how sets are met with them.
+    close = store(pairs_between(opened, sets, similarity), "close")
+    more = verified(close, sets, similarity)
     found = store(components(more.unionByName(inner_links(roots))), "linked")
-    release(index, sets, wanted)
+    release(sets, wanted, opened, close)
     return found
 
 

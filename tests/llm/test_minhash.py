@@ -140,6 +140,54 @@ def test_classes(spark):
     assert {got[1000 + k] for k in range(60)} == {1000}
 
 
+def family(rng, members, most):
+    """Texts of one body, each with up to ``most`` of its words changed, and texts that share its first part."""
+    body = sentence(rng, 200).split()
+    texts = []
+    for k in range(members):
+        near = list(body)
+        for _ in range(rng.randrange(most)):
+            near[rng.randrange(200)] = f"own{rng.randrange(10**6)}"
+        texts.append(" ".join(near[: rng.randrange(150, 201)]))
+    return texts + [" ".join(body[:60]) + " " + sentence(rng, 150) for _ in range(20)] + ["", "\n", "a b", "a  b"]
+
+
+@pytest.mark.parametrize("most", [4, 20])
+def test_pairs_between_are_complete(spark, most):
+    texts = family(random.Random(most), 50, most)
+    given = spark.createDataFrame([(t.encode(), t) for t in texts], "node binary, text string")
+    hashed = given.select("node", minhash.shingle_set(F.col("text")).alias("set"))
+    sets = common.store(hashed.select("node", "set", F.size("set").alias("n"), minhash.parities(F.col("set")).alias("bits")))
+    plain = {t.encode(): plain_sets(t) for t in texts}
+    names = sorted(n for n in plain if plain[n])
+    want = {
+        (a, b) for k, a in enumerate(names) for b in names[k + 1 :]
+        if len(plain[a] & plain[b]) >= 0.8 * len(plain[a] | plain[b]) - 1e-12
+    }
+    opened = given.select("node", F.col("node").alias("root"))
+    pairs = common.store(minhash.pairs_between(opened, sets, 0.8))
+    met = {(bytes(r.a), bytes(r.b)) for r in pairs.collect()}
+    assert want <= met
+    # Texts that only share their first part do not meet.
+    shared = {t.encode() for t in texts[50:70]}
+    assert not any(a in shared and b in shared for a, b in met)
+    assert {(bytes(r.a), bytes(r.b)) for r in minhash.verified(pairs, sets, 0.8).collect()} == want
+    # Texts of one group do not meet.
+    assert minhash.pairs_between(opened.withColumn("root", F.lit(b"one")), sets, 0.8).isEmpty()
+
+
+def test_parities_never_exceed_the_difference(spark):
+    rng = random.Random(4)
+    sets = [sorted({rng.randrange(-(2**63), 2**63) for _ in range(n)}) for n in (0, 1, 15, 16, 17, 40, 300, 3000)]
+    sets += [s[: len(s) * 3 // 4] for s in sets]
+    frame = spark.createDataFrame([(k, s) for k, s in enumerate(sets)], "k int, set array<long>")
+    bits = {r.k: r.b for r in frame.select("k", minhash.parities(F.col("set")).alias("b")).collect()}
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            least = minhash.least_difference(*(minhash.pa.array([bytes(bits[k])]) for k in (i, j)))[0].as_py()
+            assert least <= len(set(x) ^ set(y))
+
+
 def test_estimates_are_close():
     rng = random.Random(8)
     for share in (0.2, 0.5, 0.9):
