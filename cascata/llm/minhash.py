@@ -7,10 +7,10 @@ agree estimates the Jaccard similarity of the sets. The empty set has the greate
 
 Near duplicates: texts that agree in all values of a band meet, and are linked if the exact Jaccard
 similarity of their sets is 0.8 or more. With 10 bands of 4 values a pair of just 0.8 meets in 995 of 1,000
-cases. Equal texts are one from the start. In a few turns every text of a band value is compared with one hub
-of the value, another one each turn; after that the texts of band values that hold several groups meet by their
-rarest shingles, where all pairs of different groups that can be alike enough are found and compared, so a
-large group is not paired with itself and no pair that could join two groups is left out.
+cases. Equal texts are one from the start. First every text of a band value is compared with the hub of the
+value, the text that meets most others; after that the texts of band values that hold several groups meet by
+their rarest shingles, where all pairs of different groups that can be alike enough are found and compared, so
+a large group is not paired with itself and no pair that could join two groups is left out.
 
 The next document is the one before in the order of ids, that is by falling id, null ids last, and among
 equal ids by text hash; the first one follows the last. Rows that share id and text are one document: each
@@ -21,6 +21,7 @@ result. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
 from functools import lru_cache
 
@@ -37,9 +38,9 @@ WIDTH = 5
 PERMUTATIONS = 128
 BANDS, ROWS = 10, 4
 SIMILARITY = 0.8
-#: Turns in which each text meets one hub a band value, before texts of different groups meet one another.
-HUBS = 2
 SEED = 11
+#: Counters of shingles, a power of two; they put rare shingles first.
+COUNTERS = 1 << 17
 #: Words that are hashed at once, and words whose hashes are remembered.
 WORDS, WORDS_KEPT = 200_000, 300_000
 #: Texts remembered in a task, to send each of several copies once.
@@ -244,30 +245,63 @@ def open_nodes(index: DataFrame, roots: DataFrame) -> DataFrame:
     return keyed.join(several, "key").select("node", "root").distinct()
 
 
+def counters_of(sets: DataFrame) -> np.ndarray:
+    """How many hashes of all sets fall into each of ``COUNTERS`` cells; counted in tasks, added by cell."""
+
+    def counted(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column("set").flatten().to_numpy() & (COUNTERS - 1), minlength=COUNTERS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"c": some, "v": total[some]})
+
+    found = sets.select("set").mapInArrow(counted, "c long, v long").groupBy("c").agg(F.sum("v").alias("v")).toArrow()
+    cells = np.zeros(COUNTERS, np.int64)
+    cells[found["c"].to_numpy()] = found["v"].to_numpy()
+    return cells
+
+
+def first_shingles(sets: Column, cells, similarity: float) -> Column:
+    """The first ``n - ceil(s n) + 1`` shingles of a set, those of the least counters first, with their places.
+
+    A counter of one tells that a shingle is in no other set; it takes a place but is left out.
+    """
+
+    @F.arrow_udf("array<struct<token: bigint, p: int>>")
+    def first(values: pa.Array) -> pa.Array:
+        tokens, place, ends = [], [], [0]
+        for s in values:
+            hashes = s.values.to_numpy()
+            count = cells.value[hashes & (COUNTERS - 1)]
+            order = np.lexsort((hashes, count))[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1]
+            kept = np.flatnonzero(count[order] > 1)
+            tokens.append(hashes[order[kept]])
+            place.append(kept.astype(np.int32))
+            ends.append(ends[-1] + len(kept))
+        pairs = pa.StructArray.from_arrays(
+            [pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)])), pa.array(np.concatenate([*place, np.zeros(0, np.int32)]))],
+            ["token", "p"],
+        )
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+
+    return first(sets)
+
+
 def pairs_between(opened: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs of texts of different groups that can be ``similarity`` alike; no such pair is missing.
 
-    The shingles of each set are put in order, those in the fewest sets first. A pair so alike shares a shingle
-    among the first ones of both: among the first ``n - ceil(2 s n / (1 + s)) + 1`` of the smaller set and the
-    first ``n - ceil(s n) + 1`` of the larger. What is left of the sets from the first shared place on must
-    reach the overlap needed. Texts that only share a passage, or copies edited more than that, differ in
-    rare shingles and do not meet. Sets without shingles share all band values, so their hub has linked them.
+    The shingles of each set are put in order, rare ones first by counters of fixed number, which steer costs
+    only. A pair so alike shares a shingle among the first ones of both: among the first
+    ``n - ceil(2 s n / (1 + s)) + 1`` of the smaller set and the first ``n - ceil(s n) + 1`` of the larger.
+    What is left of the sets from the first shared place on must reach the overlap needed. Texts that only
+    share a passage, or copies edited more than that, differ in rare shingles and do not meet. Sets without
+    shingles share all band values, so their hub has linked them.
     """
-    held = opened.join(sets, "node").select("node", "root", "n", F.explode("set").alias("token"))
-    often = held.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1")
-    in_order = F.sort_array(F.collect_list(F.struct("_c", "token")))
-    kept = held.join(often, "token").groupBy("node", "root", "n").agg(in_order.alias("_l"))
-    # Shingles of one set only come first and meet nothing, so they count as places but are not kept.
-    rare = F.col("n") - F.size("_l")
-    reach, needed = (F.col("n") - F.ceil(F.col("n") * s - 1e-9) + 1 for s in (similarity, 2 * similarity / (1 + similarity)))
-    first = F.slice("_l", 1, F.greatest(reach - rare, F.lit(0)).cast("int"))
-    placed = kept.select("node", "root", "n", rare.alias("_r"), needed.alias("_i"), F.posexplode(first).alias("_p", "_t"))
-    rows = store(
-        placed.select(
-            F.col("_t.token").alias("token"), "node", "root", "n", (F.col("_r") + F.col("_p")).alias("p"),
-            (F.col("_r") + F.col("_p") < F.col("_i")).alias("short"),
-        ), "prefixes",
-    )
+    held = opened.join(sets, "node").select("node", "root", "n", "set")
+    cells = opened.sparkSession.sparkContext.broadcast(counters_of(held))
+    placed = held.select("node", "root", "n", F.explode(first_shingles(F.col("set"), cells, similarity)).alias("_t"))
+    needed = F.col("n") - F.ceil(2 * similarity / (1 + similarity) * F.col("n") - 1e-9) + 1
+    rows = store(placed.select("_t.token", "_t.p", "node", "root", "n", (F.col("_t.p") < needed).alias("short")), "prefixes")
     a, b = rows.where("short").alias("a"), rows.alias("b")
     left = F.least(F.col("a.n") - F.col("a.p"), F.col("b.n") - F.col("b.p"))
     met = a.join(
@@ -276,7 +310,11 @@ def pairs_between(opened: DataFrame, sets: DataFrame, similarity: float) -> Data
         & (F.struct("a.n", "a.node") < F.struct("b.n", "b.node")) & (F.col("a.n") >= similarity * F.col("b.n") - 1e-9)
         & (left >= similarity / (1 + similarity) * (F.col("a.n") + F.col("b.n")) - 1e-9),
     )
-    return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+    # Stored, so that Spark knows how few they are before it plans how sets are met with them.
+    pairs = met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+    close = store(pairs, "close")
+    release(rows)
+    return close
 
 
 def node_of(text: Column) -> Column:
@@ -294,23 +332,19 @@ def linked_texts(documents: DataFrame, similarity: float = SIMILARITY) -> DataFr
     shared = keys.groupBy("key").agg(F.min(half).alias("_a"), F.max(half).alias("_z")).where("_a < _z").select("key")
     index = store(keys.join(shared, "key").distinct(), "index")
     release(keys)
+    # The weight of a text is the number of texts that it meets: the middle of a group of near copies has the most.
     # Stored first, so that Spark knows its size before it plans how texts are met with it.
-    wanted = store(index.select("node").distinct(), "wanted")
+    sizes = index.groupBy("key").agg(F.count("*").alias("_k"))
+    wanted = store(index.join(sizes, "key").groupBy("node").agg(F.sum("_k").alias("weight")), "wanted")
     sets = store(
-        texts.join(wanted, "node", "left_semi").select("node", shingle_set(F.col("text")).alias("set"))
+        texts.join(wanted.select("node"), "node", "left_semi").select("node", shingle_set(F.col("text")).alias("set"))
         .groupBy("node").agg(F.first("set").alias("set"))
         .select("node", "set", F.size("set").alias("n"), parities(F.col("set")).alias("bits")), "sets",
     )
-    roots = wanted.select("node", F.col("node").alias("root"))
-    for turn in range(HUBS):
-        links = store(verified(hub_pairs(index, roots, turn), sets, similarity), "links")
-        if links.isEmpty():
-            break
-        roots = store(components(links.unionByName(inner_links(roots))), "roots")
+    roots = store(components(verified(hub_pairs(index, wanted), sets, similarity)), "roots")
     opened = store(open_nodes(index, roots), "open")
     release(index)
-    # Stored, so that Spark knows how few they are before it plans how sets are met with them.
-    close = store(pairs_between(opened, sets, similarity), "close")
+    close = pairs_between(opened, sets, similarity)
     more = verified(close, sets, similarity)
     found = store(components(more.unionByName(inner_links(roots))), "linked")
     release(sets, wanted, opened, close)
@@ -321,14 +355,14 @@ def inner_links(roots: DataFrame) -> DataFrame:
     return roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
-def hub_pairs(index: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """Each node of a key with the key's hub, if they are not in one group yet; another hub every turn.
+def hub_pairs(index: DataFrame, weights: DataFrame) -> DataFrame:
+    """Each node of a key with the key's hub, its node of the greatest weight.
 
     At most one pair a node and key, so a large group costs no more than its rows.
     """
-    keyed = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    hub = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), "node", "root")).alias("h")
-    met = keyed.join(keyed.groupBy("key").agg(hub), "key").where("root != h.root")
+    keyed = index.join(weights, "node")
+    hub = F.max(F.struct("weight", "node")).alias("h")
+    met = keyed.join(keyed.groupBy("key").agg(hub), "key").where("node != h.node")
     return met.select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
 
 

@@ -165,7 +165,7 @@ def test_pairs_between_are_complete(spark, most):
         if len(plain[a] & plain[b]) >= 0.8 * len(plain[a] | plain[b]) - 1e-12
     }
     opened = given.select("node", F.col("node").alias("root"))
-    pairs = common.store(minhash.pairs_between(opened, sets, 0.8))
+    pairs = minhash.pairs_between(opened, sets, 0.8)
     met = {(bytes(r.a), bytes(r.b)) for r in pairs.collect()}
     assert want <= met
     # Texts that only share their first part do not meet.
