@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from cascata.llm.common import release, store, text_key, tidy
 from cascata.llm.simhash import components
+from cascata.llm.url_filters import MOST_BYTES, make_level, passes
 
 WIDTH = 5
 PERMUTATIONS = 128
@@ -323,6 +324,28 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in (h1, h2)]))
 
 
+def likely(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts whose name may be among the wanted ones, by a Bloom filter of at most ``MOST_BYTES``.
+
+    It spares the move of most other texts; the join that follows decides. More names than the filter can hold
+    at one false hit in a hundred only let more others pass.
+    """
+    halves = [F.conv(F.hex(F.substring("node", at, 8)), 16, -10).cast("long") for at in (1, 9)]
+    names = wanted.select(halves[0].alias("_h1"), halves[1].alias("_h2"))
+    count = names.count()
+    if not count:
+        return texts.limit(0)
+    bits = min(10 * count, 8 * MOST_BYTES - 64)
+    level = texts.sparkSession.sparkContext.broadcast(make_level(names, count, math.exp(-bits * math.log(2) ** 2 / count), 0))
+
+    @F.arrow_udf("boolean")
+    def held(first: pa.Array, second: pa.Array) -> pa.Array:
+        h1, h2 = (h.to_numpy(zero_copy_only=False).view(np.uint64) for h in (first, second))
+        return pa.array(passes(level.value, 0, h1, h2))
+
+    return texts.where(held(*halves))
+
+
 def linked_texts(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``node, root`` of every text that is linked to a different text; the root names the group."""
     texts = documents.select(node_of(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
@@ -337,7 +360,7 @@ def linked_texts(documents: DataFrame, similarity: float = SIMILARITY) -> DataFr
     sizes = index.groupBy("key").agg(F.count("*").alias("_k"))
     wanted = store(index.join(sizes, "key").groupBy("node").agg(F.sum("_k").alias("weight")), "wanted")
     sets = store(
-        texts.join(wanted.select("node"), "node", "left_semi").select("node", shingle_set(F.col("text")).alias("set"))
+        likely(texts, wanted).join(wanted.select("node"), "node", "left_semi").select("node", shingle_set(F.col("text")).alias("set"))
         .groupBy("node").agg(F.first("set").alias("set"))
         .select("node", "set", F.size("set").alias("n"), parities(F.col("set")).alias("bits")), "sets",
     )

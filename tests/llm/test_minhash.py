@@ -176,6 +176,14 @@ def test_pairs_between_are_complete(spark, most):
     assert minhash.pairs_between(opened.withColumn("root", F.lit(b"one")), sets, 0.8).isEmpty()
 
 
+def test_likely_keeps_all_wanted(spark):
+    texts = spark.range(3000).select(F.col("id"), minhash.node_of(F.col("id").cast("string")).alias("node"))
+    wanted = texts.where("id % 10 = 0").select("node")
+    kept = [r.id for r in minhash.likely(texts, wanted).collect()]
+    assert set(range(0, 3000, 10)) <= set(kept) and len(kept) < 450
+    assert minhash.likely(texts, wanted.limit(0)).isEmpty()
+
+
 def test_parities_never_exceed_the_difference(spark):
     rng = random.Random(4)
     sets = [sorted({rng.randrange(-(2**63), 2**63) for _ in range(n)}) for n in (0, 1, 15, 16, 17, 40, 300, 3000)]
