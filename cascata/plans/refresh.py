@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cascata.operators.waterfall import Cube
 from cascata.plans import grids
 from cascata.sources import sinks, versions
+from cascata.sources.scans import snapshot
 
 Months = Sequence[date | None]
 BASE, CANCELLED, CELL = "mes_base", "dt_cancelado", "Mes_Base"
@@ -32,8 +33,11 @@ def changed_rows(old: DataFrame, new: DataFrame, accounts: DataFrame | None = No
     if accounts is not None:
         ids = accounts.select("advertiser_id").distinct()
         old, new = (df.join(ids, "advertiser_id", "left_semi") for df in (old, new))
-    new = new.select(*old.columns)
-    return old.exceptAll(new).unionByName(new.exceptAll(old))
+    # One grouping of both sides: the copies that one side has more.
+    columns, copies = old.columns, F.abs(F.sum("__side"))
+    sides = [df.select(*columns, F.lit(k).alias("__side")) for df, k in ((old, -1), (new, 1))]
+    counted = sides[0].unionByName(sides[1]).groupBy(*columns).agg(copies.alias("__more")).where("__more <> 0")
+    return counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), "__more"))).drop("col")
 
 
 def base_months(changed: DataFrame) -> list[date | None]:
@@ -106,10 +110,16 @@ def months_of(
     else:
         build = grids.bd_full if version == grids.FULL else grids.bd_full_v2
         # The latest plans are found before rows are left out.
-        cells = build(None, paid, plans, cube=small, day=day)
+        cells = build(None, paid, _plans_reaching(snapshot(plans, day), months), cube=small, day=day)
     return cells.where(_in(F.col(CELL), months))
 
 
+def _plans_reaching(plans: DataFrame, months: Months) -> DataFrame:
+    """Plans that can count in the months: in their own, the next or that of their end."""
+    own, gone = F.col("competencia").cast("date"), F.col("mes_churn").cast("date")
+    return plans.where(_in(own, months) | _in(F.add_months(own, 1), months) | _in(gone, months))
+
+
 def refresh_table(
     version: str,
     path: str,
