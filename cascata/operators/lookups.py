@@ -52,10 +52,12 @@ def exact_or_latest(
     """
     values = [c for c in history.columns if c not in (key, history_at)]
     known = history.where(F.col(key).isNotNull())
-    exact = latest_per(known, [key, history_at], F.col(history_at)).select(
+    by_date = latest_per(known, [key, history_at], F.col(history_at))
+    exact = by_date.select(
         F.col(key).alias("__xk"), F.col(history_at).alias("__xd"), F.struct(*values).alias("__x")
     )
-    latest = latest_per(known, [key], F.col(history_at)).select(
+    # The latest row is the latest of the dates' rows, which both lookups then share.
+    latest = latest_per(by_date, [key], F.col(history_at)).select(
         F.col(key).alias("__lk"), F.struct(*values).alias("__l")
     )
     joined = df.join(

@@ -37,17 +37,18 @@ def add_previous(
     default=None,
     bounded: bool = False,
     hot_rows: int = HOT_ROWS,
+    at_rest: bool = False,
 ) -> DataFrame:
     """Add ``new_name = value of the row before`` for every ``{new_name: column}``.
 
     ``order`` has one or more columns, numbers or dates, and sorts nulls first. Rows that tie on it are ordered by a hash of the whole row, so the result does not
     depend on the partitioning. ``default`` fills the first row of a key. Without ``bounded`` the
-    rows are written once when this is called.
+    rows are written once when this is called, unless they are ``at_rest``: read from storage as they are.
     """
     tie = F.xxhash64(*df.columns)
     if bounded:
         return _lag(df, keys, [*_order_columns(order), tie], values, default)
-    df = stored(df)
+    df = df if at_rest else stored(df)
     match = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
     # With no hot key AQE drops the second scan.
     hot, same = _hot_keys(df, keys, hot_rows), reduce(and_, match)
@@ -162,19 +163,20 @@ def latest_per(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
 
     An aggregate, not a ranked window: each task keeps one candidate per key before the shuffle.
     """
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, order, F.max)
 
 
 def first_per(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     """One row per key, the one with the least ``order``; other columns break ties."""
-    return _pick(df, keys, order, F.min_by)
+    return _pick(df, keys, order, F.min)
 
 
-def _pick(df, keys, order, by):
+def _pick(df, keys, order, best):
+    """The candidate is its own order, so a row is moved once."""
     others = [c for c in df.columns if c not in keys]
-    row = F.struct(*others)
-    picked = df.groupBy(*keys).agg(by(row, F.struct(order, row)).alias("__row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}") for c in df.columns])
+    ranked = F.struct(order.alias("__order"), F.struct(*others).alias("__row"))
+    picked = df.groupBy(*keys).agg(best(ranked).alias("__best"))
+    return picked.select(*[F.col(c) if c in keys else F.col("__best.__row").getField(c).alias(c) for c in df.columns])
 
 
 def add_delta(
@@ -185,9 +187,10 @@ def add_delta(
     name: str = "delta",
     bounded: bool = False,
     hot_rows: int = HOT_ROWS,
+    at_rest: bool = False,
 ) -> DataFrame:
     """Change of ``value`` against the row before of the same key."""
     out = add_previous(
-        df, keys, order, {"__before": value}, bounded=bounded, hot_rows=hot_rows
+        df, keys, order, {"__before": value}, bounded=bounded, hot_rows=hot_rows, at_rest=at_rest
     )
     return out.withColumn(name, F.col(value) - F.col("__before")).drop("__before")
