@@ -16,9 +16,9 @@ from cascata.sources.scans import snapshot
 DIMS = ("Canal", "Equipe", "Regiao_Macro", "Mes_Base", "Tamanho")
 
 
-def _plan_columns(plans: DataFrame, keys, order, online, nd, null_size, bounded, day) -> DataFrame:
+def _plan_columns(plans: DataFrame, keys, order, online, nd, null_size, bounded, day, at_rest) -> DataFrame:
     c = F.col
-    rows = add_delta(snapshot(plans, day), keys, order, "valor_mensal", bounded=bounded)
+    rows = add_delta(snapshot(plans, day), keys, order, "valor_mensal", bounded=bounded, at_rest=at_rest)
     cleaned = rows.withColumns(
         {
             "__state": T.clean_upper(c("estado_conta")),
@@ -38,20 +38,25 @@ def _plan_columns(plans: DataFrame, keys, order, online, nd, null_size, bounded,
     ).drop("__state", "__city", "__channel")
 
 
-def planos_periodicos(plans: DataFrame, bounded: bool = False, day: date | None = None) -> DataFrame:
+def planos_periodicos(
+    plans: DataFrame, bounded: bool = False, day: date | None = None, at_rest: bool = False
+) -> DataFrame:
     """Latest plans with the change per contract; no package number counts as PP.
 
-    ``day`` names the latest snapshot where it is known, here and below.
+    ``day`` names the latest snapshot where it is known, here and below; plans ``at_rest`` are read from
+    storage, so the lag does not write them once more.
     """
     return _plan_columns(
-        plans, ["id_conta_olx", "id_contrato"], ["competencia"], "", "", "PP", bounded, day
+        plans, ["id_conta_olx", "id_contrato"], ["competencia"], "", "", "PP", bounded, day, at_rest
     )
 
 
-def plans_by_account(plans: DataFrame, bounded: bool = False, day: date | None = None) -> DataFrame:
+def plans_by_account(
+    plans: DataFrame, bounded: bool = False, day: date | None = None, at_rest: bool = False
+) -> DataFrame:
     """Latest plans with the change per account (contracts in id order inside a month)."""
     return _plan_columns(
-        plans, ["id_conta_olx"], ["competencia", "id_contrato"], "Online", "ND", None, bounded, day
+        plans, ["id_conta_olx"], ["competencia", "id_contrato"], "Online", "ND", None, bounded, day, at_rest
     )
 
 
@@ -98,13 +103,14 @@ def bd_planos_periodicos(
     separate_ids: bool = False,
     metrics: bool = True,
     day: date | None = None,
+    at_rest: bool = False,
 ) -> DataFrame:
     """Plan waterfall by channel, team, region, month and size.
 
     Contracts are counted by account and contract id joined without a separator, as the source
     report does, so (1, 23) and (12, 3) are one; ``separate_ids`` keeps them apart.
     """
-    rows = plans_by_account(plans, bounded, day).withColumn("mes_churn", F.col("mes_churn").cast("date"))
+    rows = plans_by_account(plans, bounded, day, at_rest).withColumn("mes_churn", F.col("mes_churn").cast("date"))
     joined = "concat(CAST(id_conta_olx AS STRING), CAST(id_contrato AS STRING))"
     source = Source(
         rows,
