@@ -124,6 +124,15 @@ def replace_values(df: DataFrame, path: str, column: str, values: Sequence) -> N
         files.delete(spark, f"{place}/{column}={name}")
 
 
+#: Rows of a bucket: some tens of MB for one task.
+BUCKET_ROWS = 100_000
+
+
+def buckets_for(rows: int, least: int = 1) -> int:
+    """So many buckets that a bucket, which is one task's, stays of one size however many rows there are."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def save_bucketed(
     df: DataFrame, name: str, path: str, keys: Sequence[str], order: Sequence[str] = (), buckets: int = 200
 ) -> None:
