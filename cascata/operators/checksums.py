@@ -74,17 +74,24 @@ def differences(
     """
     a, b = trees or (tree(left, keys, columns, buckets), tree(right, keys, columns, buckets))
     wanted = unlike(a, b, columns)
-    opened = wanted.groupBy("bucket").agg(F.collect_set("column").alias("__columns"))
-
-    def cells(df, sign):
-        named = df.select(*keys, *columns).withColumn("__bucket", bucket_of(keys, buckets))
-        rows = named.join(opened, F.col("__bucket") == opened["bucket"])
-        pairs = [F.struct(F.lit(ROWS).alias("column"), F.lit(None).cast("string").alias("value"))]
-        pairs += [F.struct(F.lit(c).alias("column"), _shown(c).alias("value")) for c in columns]
-        wide = rows.select(*keys, "__columns", F.inline(F.array(*pairs)))
-        live = wide.where(F.array_contains("__columns", F.col("column")))
-        return live.select(*keys, "column", "value", F.lit(sign).alias("__sign"))
-
-    both = cells(left, -1).unionByName(cells(right, 1))
-    sums = both.groupBy(*keys, "column", "value").agg(F.sum("__sign").alias("copies"))
+    names = [ROWS, *columns]
+    marks = [F.max((F.col("column") == name).cast("int")).cast("string") for name in names]
+    opened = wanted.groupBy("bucket").agg(F.concat(*marks).alias("__unlike"))
+
+    def shown(df, sign):
+        named = df.select(*keys, *[_shown(c).alias(c) for c in columns], F.lit(sign).alias("__sign"))
+        named = named.withColumn("__bucket", bucket_of(keys, buckets))
+        return named.join(opened, F.col("__bucket") == opened["bucket"])
+
+    # Whole rows that both sides have cancel first, so only the others are taken apart into cells.
+    both = shown(left, -1).unionByName(shown(right, 1))
+    rows = both.groupBy(*keys, *columns, "__unlike").agg(F.sum("__sign").alias("__more"))
+    values = [F.lit(None).cast("string"), *[F.col(c) for c in columns]]
+    pairs = [
+        F.struct(F.lit(k).alias("__at"), F.lit(name).alias("column"), value.alias("value"))
+        for k, (name, value) in enumerate(zip(names, values), 1)
+    ]
+    wide = rows.where("__more <> 0").select(*keys, "__more", "__unlike", F.inline(F.array(*pairs)))
+    live = wide.where(F.expr("substring(__unlike, __at, 1) = '1'"))
+    sums = live.groupBy(*keys, "column", "value").agg(F.sum("__more").alias("copies"))
     return sums.where("copies <> 0")
