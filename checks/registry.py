@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from cascata.plans import crm, payments, revenue
+from cascata.sources import sinks
 from checks import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +21,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._kept: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return X.table(self.spark, self.folder, name)
@@ -31,9 +33,16 @@ class Inputs:
     def gold(self) -> DataFrame:
         return self.view("gold")
 
-    def discounts(self) -> DataFrame:
+    def kept(self, name: str) -> DataFrame:
+        """A view stored once, as source tables are: each further reader scans it and joins nothing anew."""
+        if name not in self._kept:
+            self._kept[name] = sinks.stored(self.view(name))
+        return self._kept[name]
+
+    def discounts(self, gold: DataFrame | None = None) -> DataFrame:
+        gold = self.gold if gold is None else gold
         return crm.desconto_faseado(
-            self.view("opportunity"), self.view("account"), self.view("crm_user"), self.gold, X.AS_OF
+            self.view("opportunity"), self.view("account"), self.view("crm_user"), gold, X.AS_OF
         )
 
     def cohorts(self) -> DataFrame:
@@ -41,13 +50,20 @@ class Inputs:
 
     def enriched(self, unique_months: bool = True) -> DataFrame:
         """The gold view groups by account and month, so months are unique per account."""
+        gold = self.kept("gold")
         return revenue.receita_enriquecida(
-            self.gold, self.discounts(), self.cohorts(), unique_months=unique_months
+            gold, self.discounts(gold), self.cohorts(), unique_months=unique_months
         )
 
+    def stored_enriched(self) -> DataFrame:
+        """Enriched rows as the chain hands them on, for tables that read them more than once."""
+        return sinks.stored(self.enriched())
+
     def payments(self, unique_months: bool = True, **options) -> DataFrame:
+        """Payments of all months read gold several times, those of two months once."""
+        gold = self.kept("gold") if options.get("all_months") else self._kept.get("gold", self.gold)
         return payments.cb_pagamentos(
-            self.gold, self.view("paids"), X.AS_OF, X.TRANSFER_SINCE, unique_months=unique_months, **options
+            gold, self.view("paids"), X.AS_OF, X.TRANSFER_SINCE, unique_months=unique_months, **options
         )
 
 

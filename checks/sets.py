@@ -553,15 +553,15 @@ def metric_totals(name: str, version: str, build):
         return build(i).groupBy("Mes_Base").agg(*[F.sum(n).alias(n) for n in names])
 
 
-metric_totals("M1_to_M34_by_state", grids.UF, lambda i: grids.bd_planos_uf(i.enriched(), i.payments()))
+metric_totals("M1_to_M34_by_state", grids.UF, lambda i: grids.bd_planos_uf(i.stored_enriched(), i.payments()))
 metric_totals(
     "M1_to_M50_without_state", grids.SVA,
-    lambda i: grids.bd_planos_mensais_sva(i.enriched(), i.payments()),
+    lambda i: grids.bd_planos_mensais_sva(i.stored_enriched(), i.payments()),
 )
 
 
 def _full(build):
-    return lambda i: build(i.enriched(), i.payments(), i.view("planos"))
+    return lambda i: build(i.enriched(), i.payments(), i.kept("planos"))
 
 
 metric_totals("M1_to_M56_full", grids.FULL, _full(grids.bd_full))

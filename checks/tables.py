@@ -43,12 +43,12 @@ def t3(i):
 
 @check("T4_bd_planos_uf", W.waterfall("uf"))
 def t4(i):
-    return grids.bd_planos_uf(i.enriched(), i.payments())
+    return grids.bd_planos_uf(i.stored_enriched(), i.payments())
 
 
 @check("T5_bd_planos_mensais_sva", W.waterfall("sva"))
 def t5(i):
-    return grids.bd_planos_mensais_sva(i.enriched(), i.payments())
+    return grids.bd_planos_mensais_sva(i.stored_enriched(), i.payments())
 
 
 @check(
@@ -59,22 +59,22 @@ def t5(i):
     + f" SELECT {S.doubles('valor_mensal', 'delta')} FROM plan",
 )
 def t6(i):
-    return recurring.planos_periodicos(i.view("planos"), bounded=True)
+    return recurring.planos_periodicos(i.kept("planos"), bounded=True)
 
 
 @check("T7_bd_planos_periodicos", W.plan_waterfall())
 def t7(i):
-    return recurring.bd_planos_periodicos(i.view("planos"), bounded=True)
+    return recurring.bd_planos_periodicos(i.kept("planos"), bounded=True)
 
 
 @check("T8_bd_full", W.waterfall("full"))
 def t8(i):
-    return grids.bd_full(i.enriched(), i.payments(), i.view("planos"))
+    return grids.bd_full(i.enriched(), i.payments(), i.kept("planos"))
 
 
 @check("T9_bd_full_v2", W.waterfall("full2"))
 def t9(i):
-    return grids.bd_full_v2(i.enriched(), i.payments(), i.view("planos"))
+    return grids.bd_full_v2(i.enriched(), i.payments(), i.kept("planos"))
 
 
 def _daily_sql() -> str:
@@ -189,12 +189,12 @@ def t3_default(i):
 
 @check("T6_planos_periodicos_default", ORACLE["T6_planos_periodicos"])
 def t6_default(i):
-    return recurring.planos_periodicos(i.view("planos"))
+    return recurring.planos_periodicos(i.kept("planos"), at_rest=True)
 
 
 @check("T7_bd_planos_periodicos_default", ORACLE["T7_bd_planos_periodicos"])
 def t7_default(i):
-    return recurring.bd_planos_periodicos(i.view("planos"))
+    return recurring.bd_planos_periodicos(i.kept("planos"), at_rest=True)
 
 
 @check("T12_tamanhos_ajustados_default", ORACLE["T12_tamanhos_ajustados"])
@@ -204,7 +204,7 @@ def t12_default(i):
 
 # The four waterfalls from the stored sums and ids of one cube; merged from two parts by account.
 def _cube(i):
-    rows = i.enriched()
+    rows = i.stored_enriched()
     even = F.pmod(F.xxhash64("advertiser_id"), F.lit(2)) == 0
     cubes = [
         grids.cube_of(*[sinks.stored(make(rows.where(part))) for make in (grids.revenue_sums, grids.revenue_ids)])
@@ -215,57 +215,60 @@ def _cube(i):
 
 @check("T4_bd_planos_uf_cube", ORACLE["T4_bd_planos_uf"])
 def t4_cube(i):
-    return grids.bd_planos_uf(None, i.payments(), cube=_cube(i))
+    cube = _cube(i)
+    return grids.bd_planos_uf(None, i.payments(), cube=cube)
 
 
 @check("T5_bd_planos_mensais_sva_cube", ORACLE["T5_bd_planos_mensais_sva"])
 def t5_cube(i):
-    return grids.bd_planos_mensais_sva(None, i.payments(), cube=_cube(i))
+    cube = _cube(i)
+    return grids.bd_planos_mensais_sva(None, i.payments(), cube=cube)
 
 
 @check("T8_bd_full_cube", ORACLE["T8_bd_full"])
 def t8_cube(i):
-    return grids.bd_full(None, i.payments(), i.view("planos"), cube=_cube(i))
+    cube = _cube(i)
+    return grids.bd_full(None, i.payments(), i.kept("planos"), cube=cube)
 
 
 @check("T9_bd_full_v2_cube", ORACLE["T9_bd_full_v2"])
 def t9_cube(i):
-    return grids.bd_full_v2(None, i.payments(), i.view("planos"), cube=_cube(i))
+    cube = _cube(i)
+    return grids.bd_full_v2(None, i.payments(), i.kept("planos"), cube=cube)
 
 
 # Payments of all months, so that their metrics are not zero outside two months.
 @check("T4_bd_planos_uf_all_months", W.waterfall("uf", "TRUE"))
 def t4_all(i):
-    return grids.bd_planos_uf(i.enriched(), i.payments(all_months=True))
+    return grids.bd_planos_uf(i.stored_enriched(), i.payments(all_months=True))
 
 
 @check("T5_bd_planos_mensais_sva_all_months", W.waterfall("sva", "TRUE"))
 def t5_all(i):
-    return grids.bd_planos_mensais_sva(i.enriched(), i.payments(all_months=True))
+    return grids.bd_planos_mensais_sva(i.stored_enriched(), i.payments(all_months=True))
 
 
 @check("T8_bd_full_all_months", W.waterfall("full", "TRUE"))
 def t8_all(i):
-    return grids.bd_full(i.enriched(), i.payments(all_months=True), i.view("planos"))
+    return grids.bd_full(i.enriched(), i.payments(all_months=True), i.kept("planos"))
 
 
 @check("T9_bd_full_v2_all_months", W.waterfall("full2", "TRUE"))
 def t9_all(i):
-    return grids.bd_full_v2(i.enriched(), i.payments(all_months=True), i.view("planos"))
+    return grids.bd_full_v2(i.enriched(), i.payments(all_months=True), i.kept("planos"))
 
 
 def _refreshed(i, version, build):
     """A table of rows as they were before a late correction, brought up to date by its touched months."""
-    folder, now = sinks.scratch_folder(i.spark), sinks.stored(i.enriched())
+    folder, now = sinks.scratch_folder(i.spark), i.stored_enriched()
     wrong = F.col("mes_base").isin(date(1995, 3, 1), date(1997, 11, 1)) & (F.pmod(F.xxhash64("advertiser_id"), F.lit(3)) == 0)
     late = (F.col("mes_base") == date(1996, 7, 1)) & (F.col("canal_conta") == "Online")
-    before = sinks.stored(
-        now.where(~F.coalesce(late, F.lit(False))).withColumns({
-            "faturado_mes": F.when(wrong, F.col("faturado_mes") * 2).otherwise(F.col("faturado_mes")).cast("decimal(18,2)"),
-            "dt_cancelado": F.when(wrong, F.lit(date(1998, 1, 1))).otherwise(F.col("dt_cancelado")),
-        })
-    )
-    paid, plans = sinks.stored(i.payments()), i.view("planos")
+    # A change of stored rows, row by row, so it is not stored itself.
+    before = now.where(~F.coalesce(late, F.lit(False))).withColumns({
+        "faturado_mes": F.when(wrong, F.col("faturado_mes") * 2).otherwise(F.col("faturado_mes")).cast("decimal(18,2)"),
+        "dt_cancelado": F.when(wrong, F.lit(date(1998, 1, 1))).otherwise(F.col("dt_cancelado")),
+    })
+    paid, plans = sinks.stored(i.payments()), i.kept("planos") if version in (grids.FULL, grids.FULL2) else None
     path = f"{folder}/{version}"
     cube = refresh.store_cube(before, folder)
     sinks.overwrite(build(paid, plans, cube), path, refresh.CELL)
@@ -290,5 +293,7 @@ def t12_bucketed(i):
     """From enriched rows stored by account: the lag moves nothing."""
     folder = sinks.scratch_folder(i.spark)
     name = f"cascata_{folder.rsplit('-', 1)[-1]}"
-    sinks.save_bucketed(i.enriched(), name, folder, ["advertiser_id"], ["mes_base"], 8)
+    # Gold has at most a row an order.
+    buckets = sinks.buckets_for(i.table("orders").count(), 8)
+    sinks.save_bucketed(i.enriched(), name, folder, ["advertiser_id"], ["mes_base"], buckets)
     return revenue.tamanhos_ajustados(i.spark.table(name), unique_months=True)
