@@ -171,7 +171,8 @@ def csv_at(
         "file", F.transform(cells(F.col("text")), lambda c: F.lower(F.trim(c))).alias("__names")
     )
     data = lines.where((F.col("line") > header_line) & (F.trim("text") != ""))
-    rows = data.join(header, "file").withColumn("__cells", cells(F.col("text")))
+    # One row a file goes to the lines; dealt by file, the lines of a file would be one task's.
+    rows = data.join(F.broadcast(header), "file").withColumn("__cells", cells(F.col("text")))
 
     def cell(name):
         place = F.array_position("__names", F.lit(name.strip().lower())).cast("int")

@@ -632,6 +632,10 @@ def s16_token(i):
     return scans.full_scan(i.spark, f"{folder}/orders").drop("dt")
 
 
+#: Rows of one exported file.
+EXPORT_ROWS = 1_000_000
+
+
 @check(
     "S12_lines_by_place",
     f"SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(day AS VARCHAR) AS day, o_orderstatus FROM ({ORDERS})",
@@ -641,10 +645,15 @@ def s12_place(i):
     folder = sinks.scratch_folder(i.spark)
     for status, names in (("F", ["o_orderkey", "day", "o_orderstatus"]), ("O", ["o_orderstatus", "o_orderkey", "day"]), ("P", ["day", "o_orderkey", "o_orderstatus"])):
         rows = orders(i).where(F.col("o_orderstatus") == status).select(*[F.col(n).cast("string") for n in names])
-        lines = rows.select(F.lit(5).alias("k"), F.concat_ws(",", *names).alias("value"))
+        # As many exports as the rows fill, each with its titles; a file is one task's.
+        files = max(1, -(-i.table("orders").count() // EXPORT_ROWS))
+        part = F.pmod(F.xxhash64("o_orderkey"), F.lit(files)).cast("int").alias("part")
+        lines = rows.select(part, F.lit(5).alias("k"), F.concat_ws(",", *names).alias("value"))
         titles = ["1,1996-01-01,F", "", "Report", ",".join(names)]
-        top = i.table("region").limit(1).select(F.posexplode(F.array(*map(F.lit, titles))).alias("k", "value"))
-        top.unionByName(lines).coalesce(1).sortWithinPartitions("k").select("value").write.mode("append").text(folder)
+        top = i.table("region").limit(1).select(F.explode(F.sequence(F.lit(0), F.lit(files - 1))).alias("part"))
+        top = top.select("part", F.posexplode(F.array(*map(F.lit, titles))).alias("k", "value"))
+        dealt = top.unionByName(lines).repartition(files, "part").sortWithinPartitions("part", "k")
+        dealt.select("part", "value").write.mode("append").partitionBy("part").text(folder)
     return scans.csv_at(i.spark, folder, ["o_orderkey", "day", "o_orderstatus"], header_line=4)
 
 

@@ -1,5 +1,6 @@
 """What larger tables need: views stored once, rows moved once, tasks of one size."""
 
+import os
 from collections import Counter
 from datetime import date, datetime
 
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from cascata.operators import checksums, ordered
 from cascata.operators.lookups import exact_or_latest
 from cascata.plans import refresh
-from cascata.sources import sinks
+from cascata.sources import scans, sinks
 from checks import registry, tables
+from checks import scans as scan_checks
 
 
 def plan_of(df, kind="executedPlan"):
@@ -137,3 +139,19 @@ def test_differences_of_shown_values(spark):
 def test_buckets_grow_with_the_rows():
     assert sinks.buckets_for(0, 8) == 8 and sinks.buckets_for(800_001, 8) == 9
     assert sinks.buckets_for(54_000_000, 8) == 540
+
+
+def test_exports_are_files_of_one_size(spark, made, monkeypatch):
+    rows = {(str(r.o_orderkey), str(r.o_orderdate.date()), r.o_orderstatus) for r in spark.read.parquet(f"{made}/orders.parquet").collect()}
+    monkeypatch.setattr(scan_checks, "EXPORT_ROWS", 7, raising=False)
+    found = registry.QUERIES["S12_lines_by_place"](spark, made)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(rows)
+    assert len(found.inputFiles()) > 3
+    assert not any(os.path.basename(f).startswith("_") for f in found.inputFiles())
+
+
+def test_lines_of_a_file_are_not_one_tasks(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("t\nname,day\n" + "".join(f"n{k},{k}\n" for k in range(50)))
+    found = scans.csv_at(spark, str(tmp_path), ["name", "day"], 2)
+    # Joined to its header without being dealt by file alone, whatever the sizes.
+    assert "rightHint=(strategy=broadcast)" in plan_of(found, "optimizedPlan") and found.count() == 50
