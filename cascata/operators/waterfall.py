@@ -5,7 +5,8 @@ key (this month's cell, next month's cell, the cell of the cancellation month, t
 account left, ...). Conditions, values and keys are SQL expressions. Many metrics share one pass:
 
 1. each source is grouped once by all columns its roles need. Partial aggregation keeps a hot
-   cell to one row per task;
+   cell to one row per task. Conditions on these columns alone (``Part.cell``) pick grouped rows, so terms
+   that differ only in them share one sum;
 2. each row of the small grouped result is repeated once per role it matters for;
 3. all sources are unioned and grouped once by cell. Some roles also define which cells exist
    (the grid); cells that no such role touches are dropped, so the grid needs no join.
@@ -45,7 +46,10 @@ class Role:
 
 @dataclass(frozen=True)
 class Part:
-    """One term of a metric: rows of ``source`` where ``where`` holds, at ``role``."""
+    """One term of a metric: rows of ``source`` where ``where`` holds, at ``role``.
+
+    ``cell`` is a further condition that reads only columns by which the source is grouped.
+    """
 
     source: str
     role: str
@@ -53,6 +57,12 @@ class Part:
     value: str = ONE  # one per row, that is a count
     sign: int = 1
     distinct: bool = False
+    cell: str | None = None
+
+    @property
+    def test(self) -> str:
+        """Both conditions."""
+        return self.where if self.cell is None else f"({self.cell}) AND ({self.where})"
 
 
 @dataclass(frozen=True)
@@ -80,7 +90,7 @@ class Source:
 
 
 def _measures(parts, name: str) -> dict[tuple[str, str], str]:
-    """A column for every (condition, value); terms that differ only in role or sign share one."""
+    """A column for every (condition, value); terms that differ only in role, sign or cells share one."""
     keys = dict.fromkeys((p.where, p.value) for p in parts if not p.distinct)
     return {key: f"{name}_{k}" for k, key in enumerate(keys)}
 
@@ -119,7 +129,7 @@ class Cube:
 
     @property
     def flags(self) -> list[str]:
-        return list(dict.fromkeys(p.where for p in self.parts if p.distinct))
+        return list(dict.fromkeys(p.test for p in self.parts if p.distinct))
 
     def sums_of(self, frame: DataFrame) -> DataFrame:
         return self._grouped(frame, _sum_columns(self.measures))
@@ -141,10 +151,14 @@ class Cube:
         return rows.groupBy(*self.group, "__id").agg(*[F.bit_or(n).alias(n) for n in words])
 
     def merge(self, other: Cube) -> Cube:
-        """The cube of the rows of both."""
+        """The cube of the rows of both.
+
+        Ids are dealt by id alone, at most a row a cell and side: counts by other cells then find them in place.
+        """
         added = [F.sum(c).alias(c) for c in self.measures.values()]
         sums = self._grouped(self.sums.unionByName(other.sums), added)
-        return Cube(self.parts, self.name, self.group, sums, self._joined(self.ids.unionByName(other.ids)))
+        ids = self._joined(self.ids.unionByName(other.ids).repartition("__id"))
+        return Cube(self.parts, self.name, self.group, sums, ids)
 
     def test(self, where: str) -> str:
         return f"({_bit(self.flags.index(where), '__flags')}) = 1"
@@ -207,27 +221,36 @@ class Waterfall:
             return None
         grid_tests = [(f"__g{k}", role.grid) for k, (_, role) in enumerate(roles) if role.grid]
         measures = _measures([p for _, p in parts], name)
+        # A column for every (cells, condition, value).
+        keys = dict.fromkeys((p.cell, p.where, p.value) for _, p in parts)
+        columns = {key: f"{name}_c{k}" for k, key in enumerate(keys)}
         if source.cube is None:
-            marks = [F.expr(f"bool_or({test})").alias(mark) for mark, test in grid_tests]
+            held, marks = measures, [F.expr(f"bool_or({test})").alias(mark) for mark, test in grid_tests]
             small = source.frame.groupBy(*source.group).agg(*marks, *_sum_columns(measures))
+            marks = [mark for mark, _ in grid_tests]
         else:
             # Tests of the grid read cell columns only, so they hold for a cell as for its rows.
-            held = source.cube.measures
-            small = source.frame.selectExpr(
-                *source.group, *[f"({test}) AS {mark}" for mark, test in grid_tests],
-                *[f"{held[key]} AS {column}" for key, column in measures.items()],
-            )
+            held, small = source.cube.measures, source.frame
+            marks = [f"({test}) AS {mark}" for mark, test in grid_tests]
+        small = small.selectExpr(
+            *source.group, *marks,
+            *[
+                f"{held[where, value]} AS {column}" if cell is None
+                else f"CASE WHEN {cell} THEN {held[where, value]} END AS {column}"
+                for (cell, where, value), column in columns.items()
+            ],
+        )
         guards, grids = [], []
         terms: dict[str, list[tuple[int, str]]] = {}
         for k, (role_name, role) in enumerate(roles):
             used = {}
             for metric, part in parts:
                 if part.role == role_name:
-                    column = measures[part.where, part.value]
+                    column = columns[part.cell, part.where, part.value]
                     used.setdefault(metric, []).append((part.sign, column))
-            for metric, columns in used.items():
-                terms.setdefault(metric, []).append((first_role + k, _added(columns)))
-            seen = dict.fromkeys(column for columns in used.values() for _, column in columns)
+            for metric, signed in used.items():
+                terms.setdefault(metric, []).append((first_role + k, _added(signed)))
+            seen = dict.fromkeys(column for signed in used.values() for _, column in signed)
             touched = " OR ".join(f"{column} IS NOT NULL" for column in seen) or "FALSE"
             guard = f"({self._known(role)} AND ({touched}))"
             if role.grid:
@@ -237,7 +260,7 @@ class Waterfall:
         grid = f"CASE __role {' '.join(grids)} ELSE FALSE END" if grids else "FALSE"
         rows = self._fan_out(small, roles, guards, first_role, [*small.columns])
         return _Piece(
-            rows.selectExpr(*self._dims_of(roles, first_role), f"{grid} AS __grid", "__role", *measures.values()),
+            rows.selectExpr(*self._dims_of(roles, first_role), f"{grid} AS __grid", "__role", *columns.values()),
             terms,
         )
 
@@ -246,7 +269,7 @@ class Waterfall:
         if not parts:
             return None
         roles, cube = list(source.roles.items()), source.cube
-        test = (lambda p: p.where) if cube is None else (lambda p: cube.test(p.where))
+        test = (lambda p: p.test) if cube is None else (lambda p: cube.test(p.test))
         number = {role_name: first_role + k for k, (role_name, _) in enumerate(roles)}
         guards = []
         for role_name, role in roles:
@@ -281,7 +304,7 @@ class Waterfall:
         numbers = {role_name: first_role + k for k, (role_name, _) in enumerate(roles)}
         guards, grids = [], []
         for role_name, role in roles:
-            hits = [f"({p.where})" for _, p in counted + summed if p.role == role_name]
+            hits = [f"({p.test})" for _, p in counted + summed if p.role == role_name]
             guard = f"({self._known(role)}) AND ({' OR '.join(hits) or 'FALSE'})"
             guards.append(f"({role.grid}) OR {guard}" if role.grid else guard)
             if role.grid:
@@ -289,7 +312,7 @@ class Waterfall:
         rows = self._fan_out(
             source.frame.withColumn("__id", F.expr(source.id)), roles, guards, first_role, None
         )
-        at = lambda p: f"__role = {numbers[p.role]} AND ({p.where})"
+        at = lambda p: f"__role = {numbers[p.role]} AND ({p.test})"
         words = _words([f"__id IS NOT NULL AND {at(p)}" for _, p in counted], "__bits")
         values = [f"CASE WHEN {at(p)} THEN {p.value} END AS {name}_{k}" for k, (_, p) in enumerate(summed)]
         sums = [F.sum(f"{name}_{k}").alias(f"{name}_{k}") for k in range(len(summed))]

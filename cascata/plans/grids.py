@@ -42,8 +42,6 @@ def revenue_rows(enriched: DataFrame) -> DataFrame:
             "tam": B.fold_smallest(c("tamanho_ajustado")),
             "reg": c("regionalizacao"),
             "transf": c("id_migracao_pro_field"),
-            # Metrics of full, but for its opening count, leave out rows without size or flag.
-            SIZED: c("tamanho_ajustado").isNotNull() & c("id_migracao_pro_field").isNotNull(),
             # Only migrated rows are read at the cell they left.
             "out_canal": F.when(migrated, c("aux_canal_out")),
             "out_equipe": F.when(migrated, c("coordenador_ajustado_out")),
@@ -58,6 +56,9 @@ def _with_blanks(rows: DataFrame, version: str) -> DataFrame:
     named = {"tam": F.coalesce("tam", F.lit("")), "transf": F.coalesce("transf", F.lit(B.NO))}
     if version == FULL2:
         named["reg"] = F.coalesce("reg", F.lit(""))
+    else:
+        # Metrics of full, but for its opening count, leave out cells without size or flag.
+        named[SIZED] = c("tam").isNotNull() & c("transf").isNotNull()
     return rows.withColumns(named)
 
 
@@ -193,6 +194,9 @@ PLAN_KEPT = "(mes_churn IS NULL OR mes_churn <> competencia)"
 PLAN_KEPT_FULL2 = (
     f"{PLAN_KEPT} AND (canal NOT IN ('Online', 'ND') OR coalesce(coordenador_conta, '') = '')"
 )
+AT_ONCE = "mes_base = dt_cancelado"
+#: Conditions that hold for a whole cell of a source or for none of its rows.
+OF_CELLS = (SIZED, MOVED, KEPT, PLAN_KEPT, AT_ONCE)
 # The amount test binds to the second condition only.
 PLAN_PAYING = "(mes_churn IS NULL OR (mes_churn <> competencia AND valor > 0))"
 # Signed in the last six calendar days and not cancelled in the same month.
@@ -210,8 +214,8 @@ def _sum_of(*columns: str) -> str:
     return " + ".join(f"coalesce({x}, 0)" for x in columns)
 
 
-def _all(*tests: str) -> str:
-    return " AND ".join(tests)
+def _all(*tests: str | tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(x for test in tests for x in (test if isinstance(test, tuple) else (test,)))
 
 
 class _Spec:
@@ -227,7 +231,11 @@ class _Spec:
             roles = [f"{role}:{flag}" for flag in (B.YES, B.NO)]
         else:
             roles = [role]
-        return [Part(source, r, where, value, sign, distinct) for r in roles]
+        # What a cell's columns decide is not part of the sums.
+        tests = _all(where)
+        cell = " AND ".join(t for t in tests if t in OF_CELLS) or None
+        row = " AND ".join(t for t in tests if t not in (*OF_CELLS, ANY)) or ANY
+        return [Part(source, r, row, value, sign, distinct, cell) for r in roles]
 
     def rows(self, role, where, sign=1, sized=True):
         """Revenue rows; distinct accounts where the table counts accounts."""
@@ -327,7 +335,7 @@ def _migration(s: _Spec) -> None:
 
 
 def _full_only(s: _Spec) -> None:
-    at_once = _all(CHURNED, MOVED, "mes_base = dt_cancelado")
+    at_once = _all(CHURNED, MOVED, AT_ONCE)
     for side, role in (("in", "CHURN"), ("out", "OUT_CHURN")):
         s.add(f"churn_{side}_bi_qtd", s.rows(role, at_once, -1))
         s.add(f"churn_{side}_bi_valor", s.total(role, at_once, BILLED, -1))
@@ -391,12 +399,13 @@ def _revenue_source(version, enriched, cube, fix) -> Source:
     roles = fix(_revenue_roles(version))
     if cube is not None:
         sums, ids = _with_blanks(cube.sums, version), _with_blanks(cube.ids, version)
-        return Source(sums, roles, CUBE_GROUP, id=ACCOUNT, cube=cube, id_frame=ids)
+        group = [*CUBE_GROUP, SIZED] if version == FULL else CUBE_GROUP
+        return Source(sums, roles, group, id=ACCOUNT, cube=cube, id_frame=ids)
     group = [g for g in CUBE_GROUP if g not in ("transf", "estado", "out_canal", "out_equipe", "status_migrado")]
     group += ["transf"] if version in (FULL, FULL2) else []
     group += ["estado"] if version == UF else []
-    group += ["out_canal", "out_equipe"] if version != UF else []
-    group += ["status_migrado"] if version == FULL2 else []
+    group += ["out_canal", "out_equipe", "status_migrado"] if version != UF else []
+    group += [SIZED] if version == FULL else []
     return Source(_with_blanks(revenue_rows(enriched), version), roles, group, id=ACCOUNT)
 
 

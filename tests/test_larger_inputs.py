@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from cascata.operators import checksums, ordered
 from cascata.operators.lookups import exact_or_latest
-from cascata.plans import refresh
+from cascata.operators.waterfall import ONE, Cube, Metric, Part, Role, Source, Waterfall
+from cascata.plans import grids, refresh
 from cascata.sources import scans, sinks
 from checks import registry, tables
 from checks import scans as scan_checks
@@ -155,3 +156,46 @@ def test_lines_of_a_file_are_not_one_tasks(spark, tmp_path):
     found = scans.csv_at(spark, str(tmp_path), ["name", "day"], 2)
     # Joined to its header without being dealt by file alone, whatever the sizes.
     assert "rightHint=(strategy=broadcast)" in plan_of(found, "optimizedPlan") and found.count() == 50
+
+
+def test_what_a_cell_decides_is_not_summed():
+    cube = grids.cube_of()
+    decided = (grids.SIZED, grids.MOVED, grids.KEPT, grids.AT_ONCE)
+    assert not [where for where, _ in cube.measures if any(test in where for test in decided)]
+    # The terms still tell them apart.
+    assert {p.cell for p in cube.parts} >= {None, grids.SIZED, grids.MOVED, f"{grids.SIZED} AND {grids.MOVED}"}
+
+
+def test_cell_conditions_pick_grouped_rows(spark):
+    rows = spark.createDataFrame(
+        [("1", "a", "x", 1.0), ("1", "a", "x", 2.0), ("2", "a", "y", 4.0), (None, "a", None, 8.0), ("2", "b", "y", 16.0)],
+        "who string, d string, s string, v double",
+    )
+    small, roles = "s = 'x'", {"HERE": Role({"D": "d"}, "TRUE")}
+    metrics = [
+        Metric("all", (Part("r", "HERE", "v > 1", "v"),)),
+        Metric("small", (Part("r", "HERE", "v > 1", "v", cell=small), Part("r", "HERE", "TRUE", ONE, -1, cell="s <> 'x'"))),
+        Metric("people", (Part("r", "HERE", "v > 0", ONE, 1, True, small), Part("r", "HERE", "TRUE", ONE, 1, True))),
+    ]
+    parts = [p for m in metrics for p in m.parts]
+    cube = Cube(parts, "r", ["d", "s"])
+    cube.sums, cube.ids = cube.sums_of(rows), cube.ids_of(rows, "who")
+    for source in (
+        Source(rows, roles, ["d", "s"], id="who"),
+        Source(rows, roles, ["d", "s"], id="who", one_pass=True),
+        Source(cube.sums, roles, ["d", "s"], id="who", cube=cube, id_frame=cube.ids),
+    ):
+        got = {tuple(r) for r in Waterfall(("D",), metrics, {"r": source}).build().collect()}
+        assert got == {("a", 14.0, 1.0, 3), ("b", 16.0, -1.0, 1)}
+
+
+def test_merged_ids_move_once(spark):
+    cubes = [Cube([Part("s", "HERE", "v > 0", distinct=True)], "s", ["d"]) for _ in range(2)]
+    for k, cube in enumerate(cubes):
+        rows = spark.createDataFrame([("a", "1", 1), ("A", "1", 1), ("b", "2", k)], "d string, who string, v int")
+        cube.sums, cube.ids = cube.sums_of(rows), sinks.stored(cube.ids_of(rows, "who"))
+    merged = cubes[0].merge(cubes[1]).ids
+    assert {tuple(r) for r in merged.collect()} == {("a", "1", 1), ("A", "1", 1), ("b", "2", 1)}
+    wider = merged.groupBy(F.upper("d").alias("D"), "__id").agg(F.bit_or("__flags0").alias("f"))
+    assert plan_of(wider).count("Exchange") == 1
+    assert {tuple(r) for r in wider.collect()} == {("A", "1", 1), ("B", "2", 1)}
