@@ -75,7 +75,7 @@ class Metric:
 class Source:
     """A frame, its roles, the columns the roles read and the id for distinct counts.
 
-    ``one_pass`` carries the sums through the (cell, id) grouping too. It moves wider rows but
+    ``one_pass`` takes sums and ids through one grouping, the sums without an id. It moves wider rows but
     reads the frame once, which pays where the frame is costly and has few sums.
     """
 
@@ -300,25 +300,33 @@ class Waterfall:
 
     def _together(self, name: str, source: Source, first_role: int) -> _Piece:
         counted, summed = self._parts(name, distinct=True), self._parts(name, distinct=False)
-        roles = list(source.roles.items())
-        numbers = {role_name: first_role + k for k, (role_name, _) in enumerate(roles)}
+        # Each role twice: for its sums, which leave the id and so shrink to a row a cell before they move,
+        # and for its ids, which move without sums.
+        roles = [pair for pair in source.roles.items() for _ in range(2)]
+        sum_at = {role_name: first_role + 2 * k for k, role_name in enumerate(source.roles)}
         guards, grids = [], []
-        for role_name, role in roles:
-            hits = [f"({p.test})" for _, p in counted + summed if p.role == role_name]
-            guard = f"({self._known(role)}) AND ({' OR '.join(hits) or 'FALSE'})"
-            guards.append(f"({role.grid}) OR {guard}" if role.grid else guard)
+        for role_name, role in source.roles.items():
+            known = self._known(role)
+            sums, ids = (
+                f"({known}) AND ({' OR '.join(f'({p.test})' for _, p in parts if p.role == role_name) or 'FALSE'})"
+                for parts in (summed, counted)
+            )
+            guards += [f"({role.grid}) OR {sums}" if role.grid else sums, f"__id IS NOT NULL AND {ids}"]
             if role.grid:
-                grids.append(f"WHEN {numbers[role_name]} THEN coalesce({role.grid}, FALSE)")
+                grids.append(f"WHEN {sum_at[role_name]} THEN coalesce({role.grid}, FALSE)")
         rows = self._fan_out(
             source.frame.withColumn("__id", F.expr(source.id)), roles, guards, first_role, None
         )
-        at = lambda p: f"__role = {numbers[p.role]} AND ({p.test})"
-        words = _words([f"__id IS NOT NULL AND {at(p)}" for _, p in counted], "__bits")
-        values = [f"CASE WHEN {at(p)} THEN {p.value} END AS {name}_{k}" for k, (_, p) in enumerate(summed)]
+        words = _words([f"__role = {sum_at[p.role] + 1} AND ({p.test})" for _, p in counted], "__bits")
+        values = [
+            f"CASE WHEN __role = {sum_at[p.role]} AND ({p.test}) THEN {p.value} END AS {name}_{k}"
+            for k, (_, p) in enumerate(summed)
+        ]
         sums = [F.sum(f"{name}_{k}").alias(f"{name}_{k}") for k in range(len(summed))]
         per_id = (
             rows.selectExpr(
-                *self._dims_of(roles, first_role), "__id",
+                *self._dims_of(roles, first_role),
+                f"CASE WHEN (__role - {first_role}) % 2 = 1 THEN __id END AS __id",
                 f"CASE __role {' '.join(grids)} ELSE FALSE END AS __grid" if grids else "FALSE AS __grid",
                 *[f"{e} AS {n}" for n, e in words], *values,
             )

@@ -199,3 +199,13 @@ def test_merged_ids_move_once(spark):
     wider = merged.groupBy(F.upper("d").alias("D"), "__id").agg(F.bit_or("__flags0").alias("f"))
     assert plan_of(wider).count("Exchange") == 1
     assert {tuple(r) for r in wider.collect()} == {("A", "1", 1), ("B", "2", 1)}
+
+
+def test_sums_of_one_pass_leave_the_id(spark):
+    rows = spark.createDataFrame([(k % 3, "a" if k < 9 else None, float(k)) for k in range(12)], "who int, d string, v double")
+    rows = rows.unionByName(spark.createDataFrame([(None, "a", 100.0)], "who int, d string, v double"))
+    metrics = [Metric("v", (Part("r", "HERE", "TRUE", "v"),)), Metric("n", (Part("r", "HERE", "v < 2", ONE, 1, True),))]
+    source = Source(rows, {"HERE": Role({"D": "d"}, "d IS NOT NULL")}, ["d"], id="who", one_pass=True)
+    found = Waterfall(("D",), metrics, {"r": source}).build()
+    assert [tuple(r) for r in found.collect()] == [("a", 136.0, 2)]
+    assert "END AS __id" in plan_of(found, "optimizedPlan")
