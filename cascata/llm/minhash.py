@@ -44,6 +44,8 @@ SEED = 11
 COUNTERS = 1 << 17
 #: Words that are hashed at once, and words whose hashes are remembered.
 WORDS, WORDS_KEPT = 200_000, 300_000
+#: Texts that are compressed and sent at once.
+TEXTS = 256
 #: Texts remembered in a task, to send each of several copies once.
 SEEN = 1 << 16
 _WORDS: dict[bytes, int] = {}
@@ -298,7 +300,8 @@ def pairs_between(opened: DataFrame, sets: DataFrame, similarity: float) -> Data
     share a passage, or copies edited more than that, differ in rare shingles and do not meet. Sets without
     shingles share all band values, so their hub has linked them.
     """
-    held = opened.join(sets, "node").select("node", "root", "n", "set")
+    # Read twice, so stored: the sets are moved once.
+    held = store(opened.join(sets, "node").select("node", "root", "n", "set"), "held")
     cells = opened.sparkSession.sparkContext.broadcast(counters_of(held))
     placed = held.select("node", "root", "n", F.explode(first_shingles(F.col("set"), cells, similarity)).alias("_t"))
     needed = F.col("n") - F.ceil(2 * similarity / (1 + similarity) * F.col("n") - 1e-9) + 1
@@ -314,7 +317,7 @@ def pairs_between(opened: DataFrame, sets: DataFrame, similarity: float) -> Data
     # Stored, so that Spark knows how few they are before it plans how sets are met with them.
     pairs = met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
     close = store(pairs, "close")
-    release(rows)
+    release(rows, held)
     return close
 
 
@@ -424,10 +427,24 @@ def places(batch: pa.RecordBatch) -> np.ndarray:
     )
 
 
-DEALT = "part int, kind int, doc_id long, _h1 long, node binary, text string, class_id long, n long"
+DEALT = "part int, kind int, doc_id long, _h1 long, node binary, text binary, class_id long, n long"
 DOCUMENT, NEXT_ONLY = 1, 2
 
 
+def packed(texts: pa.Array) -> pa.Array:
+    """Texts as they are moved: compressed, behind their length in bytes."""
+    codec = pa.Codec("zstd", compression_level=3)
+    raw = (t.as_buffer() for t in texts)
+    return pa.array([None if r is None else r.size.to_bytes(8, "little") + codec.compress(r, asbytes=True) for r in raw], pa.binary())
+
+
+def unpacked(text: bytes | None) -> str | None:
+    if text is None:
+        return None
+    size = int.from_bytes(text[:8], "little")
+    return pa.Codec("zstd").decompress(text[8:], size, asbytes=True).decode() if size else ""
+
+
 def in_order() -> list[Column]:
     """Ranges one after another; what is only followed comes last, as it opens the next range."""
     follows = F.col("kind") == NEXT_ONLY
@@ -460,12 +477,14 @@ def dealer(starts: np.ndarray):
         count = len(starts)
 
         def made(batch, rows, part, kind, n):
-            taken = batch.take(pa.array(rows))
-            columns = {"part": pa.array(part, pa.int32()), "kind": pa.array(kind, pa.int32())}
-            columns |= {c: taken.column(c) for c in ("doc_id", "_h1", "node", "text")}
-            return pa.RecordBatch.from_pydict(
-                {**columns, "class_id": pa.nulls(len(rows), pa.int64()), "n": pa.array(n, pa.int64())}
-            )
+            for at in range(0, len(rows), TEXTS):
+                some = slice(at, at + TEXTS)
+                taken = batch.take(pa.array(rows[some]))
+                columns = {"part": pa.array(part[some], pa.int32()), "kind": pa.array([kind] * len(taken), pa.int32())}
+                columns |= {c: taken.column(c) for c in ("doc_id", "_h1", "node")} | {"text": packed(taken.column("text"))}
+                yield pa.RecordBatch.from_pydict(
+                    {**columns, "class_id": pa.nulls(len(taken), pa.int64()), "n": pa.array([n] * len(taken), pa.int64())}
+                )
 
         def repeats():
             many = [(p, d, h, node, n) for (p, d, h, node), n in seen.items() if n]
@@ -475,7 +494,7 @@ def dealer(starts: np.ndarray):
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array(part, pa.int32()), "kind": pa.array([DOCUMENT] * len(many), pa.int32()),
                     "doc_id": pa.array(ids, pa.int64()), "_h1": pa.array(hashes, pa.int64()),
-                    "node": pa.array(nodes, pa.binary()), "text": pa.nulls(len(many), pa.string()),
+                    "node": pa.array(nodes, pa.binary()), "text": pa.nulls(len(many), pa.binary()),
                     "class_id": pa.nulls(len(many), pa.int64()), "n": pa.array(n, pa.int64()),
                 })
 
@@ -493,10 +512,10 @@ def dealer(starts: np.ndarray):
                     rows.append(k)
             rows = np.array(rows, np.int64)
             if len(rows):
-                yield made(batch, rows, part[rows], [DOCUMENT] * len(rows), [1] * len(rows))
+                yield from made(batch, rows, part[rows], DOCUMENT, 1)
             rows = rows[edge[rows]]
             if len(rows):
-                yield made(batch, rows, (part[rows] - 1) % count, [NEXT_ONLY] * len(rows), [0] * len(rows))
+                yield from made(batch, rows, (part[rows] - 1) % count, NEXT_ONLY, 0)
             if len(seen) >= SEEN:
                 yield from repeats()
         yield from repeats()
@@ -552,11 +571,12 @@ def compared(batches):
             again = held and held[-1][:3] == [*name]
             if again and held[-1][6] == (kind == DOCUMENT):
                 held[-1][4] += n
-                held[-1][5] = text if held[-1][5] is None else held[-1][5]
+                held[-1][5] = unpacked(text) if held[-1][5] is None else held[-1][5]
                 continue
             if len(held) > 1 and room > 6 * WORDS:
                 yield results(held)
                 held, room = held[-1:], 0
+            text = unpacked(text)
             held.append([*name, marks.get(name, doc_id), n, text, kind == DOCUMENT])
             room += len(text or "")
     if len(held) > 1:
@@ -566,8 +586,8 @@ def compared(batches):
 def fingerprint_documents(documents: DataFrame, partitions: int | None = None) -> DataFrame:
     """Every document's fingerprint, that of its edited text, how alike they and the next one's are, its class.
 
-    ``class_id`` is the least id of its near duplicates, itself included. Texts are moved once, to ranges of
-    ids of about equal numbers of documents; classes travel with them.
+    ``class_id`` is the least id of its near duplicates, itself included. Texts are moved once, compressed, to ranges
+    of ids of about equal numbers of documents; classes travel with them.
     """
     spark = documents.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -589,7 +609,7 @@ def fingerprint_documents(documents: DataFrame, partitions: int | None = None) -
     half = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
     marks = classes.select("doc_id", half.alias("_h1"), "node", "class_id").select(
         range_of("doc_id", "_h1").alias("part"), F.lit(0).alias("kind"), "doc_id", "_h1", "node",
-        F.lit(None).cast("string").alias("text"), "class_id", F.lit(0).cast("long").alias("n"),
+        F.lit(None).cast("binary").alias("text"), "class_id", F.lit(0).cast("long").alias("n"),
     )
     ordered = dealt.unionByName(marks).repartitionById(count, F.col("part")).sortWithinPartitions(*in_order())
     return ordered.mapInArrow(compared, RESULT)

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -176,6 +177,29 @@ def test_pairs_between_are_complete(spark, most):
     assert minhash.pairs_between(opened.withColumn("root", F.lit(b"one")), sets, 0.8).isEmpty()
 
 
+def test_open_sets_move_once(spark, monkeypatch):
+    rows = [(bytes([k]), bytes([k]), list(range(k, k + 20))) for k in range(4)]
+    frame = spark.createDataFrame(rows, "node binary, root binary, set array<long>").withColumn("n", F.size("set"))
+    seen, count = [], minhash.counters_of
+    monkeypatch.setattr(minhash, "counters_of", lambda held: seen.append(held) or count(held))
+    found = minhash.pairs_between(frame.select("node", "root"), frame.drop("root"), 0.8)
+    assert {(r.a[0], r.b[0]) for r in found.collect()} >= {(0, 1), (1, 2), (2, 3)}
+    assert "Join" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_move_compressed():
+    texts = ["", None, "ção \U0001f600 " * 50, "x", "word " * 400]
+    moved = minhash.packed(pa.array(texts))
+    assert [minhash.unpacked(m) for m in moved.to_pylist()] == texts
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array(range(len(texts)), pa.int64()), "_h1": pa.array(range(len(texts)), pa.int64()),
+        "node": pa.array([bytes([k]) for k in range(len(texts))], pa.binary()), "text": pa.array(texts),
+    })
+    starts = minhash.place_of(np.zeros(1, bool), np.array([2**62]), np.zeros(1, np.int64))
+    dealt = [b for b in minhash.dealer(starts)([batch])]
+    assert sum(b.column("text").nbytes for b in dealt) < 600
+
+
 def test_likely_keeps_all_wanted(spark):
     texts = spark.range(3000).select(F.col("id"), minhash.node_of(F.col("id").cast("string")).alias("node"))
     wanted = texts.where("id % 10 = 0").select("node")
